@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import q_hits, q_relational, q_structure, q_text  # noqa: F401 - they register their queries
+from .registry import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
