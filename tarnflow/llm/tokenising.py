@@ -14,9 +14,18 @@ import json
 import os
 import re
 
+import numpy as np
+
 #: White space, or characters that libraries may class differently.  A text
 #: with a piece that holds one is encoded whole.
 _UNSAFE = re.compile("[\\s\\0\\x1c-\\x1f\\x85\\u180e\\u200b\\u2060\\ufeff]")
+#: Those of them that Python doesn't split at.
+_UNLIKE = re.compile("[\\0\\u180e\\u200b\\u2060\\ufeff]")
+
+#: Stands for ids that aren't known yet.
+_HOLE = b"?"
+#: A word that is put between pieces; pieces that hold it are encoded alone.
+_APART = "\x01"
 
 
 def tokenizer_digest(path: str) -> str:
@@ -34,25 +43,15 @@ def tokenizer_digest(path: str) -> str:
     return hashlib.sha256(version.encode() + b"\0" + body).hexdigest()
 
 
-class _Odd(Exception):
-    """A piece that can't be encoded apart from its text."""
-
-
-class _Pieces(dict):
-    """piece -> its ids, encoded when first asked for; emptied when full."""
+class _Cache(dict):
+    """piece -> ids; what is missing is noted and leaves a hole."""
 
-    LIMIT = 500_000
-
-    def __init__(self, owner: "Encoder"):
-        self.owner = owner
+    def __init__(self, hole):
+        self.hole, self.missing = hole, []
 
     def __missing__(self, piece: str):
-        value = self.owner.piece(piece)
-        if len(piece) <= 64:  # longer ones seldom come again
-            if len(self) >= self.LIMIT:
-                self.clear()
-            self[piece] = value
-        return value
+        self.missing.append(piece)
+        return self.hole
 
 
 class Encoder:
@@ -60,9 +59,14 @@ class Encoder:
     their number if ``counts``.  No begin, end or other special tokens are
     added; special strings inside texts are handled as the library's default."""
 
+    #: Pieces kept (about 200 bytes each); all go when there are more.
+    LIMIT = 1_200_000
+    #: Pieces that are encoded in one call.
+    CALL = 4096
+
     def __init__(self, path: str, counts: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.counts, self.cache = counts, _Pieces(self)
+        self.counts, self.cache = counts, _Cache(-1 if counts else _HOLE)
         if path.endswith(".model"):
             import sentencepiece
 
@@ -73,7 +77,19 @@ class Encoder:
         self.sp, self.tok = None, Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.mode = self._mode(json.loads(self.tok.to_str()))
+        spec = json.loads(self.tok.to_str())
+        self.mode = self._mode(spec)
+        self.special = [a["content"] for a in spec["added_tokens"]]
+        if self.mode == "blank-led":
+            # Bytes of each token: its text has one character for each byte.
+            names = self.tok.get_vocab(with_added_tokens=True)
+            self.width = np.zeros(max(names.values()) + 1, np.int64)
+            for name, token in names.items():
+                self.width[token] = len(name)
+        elif self.mode == "blank-parted":
+            # A word of its own that is one token keeps pieces apart.
+            ids = self.tok.encode(_APART, add_special_tokens=False).ids
+            self.apart = ids[0] if len(ids) == 1 else None
 
     @staticmethod
     def _mode(spec: dict) -> str:
@@ -103,43 +119,114 @@ class Encoder:
         ids = self.sp.encode(text, num_threads=1) if self.sp else self.tok.encode(text, add_special_tokens=False).ids
         return self._pack(ids)
 
-    def _pieces(self, text: str) -> list[str]:
+    def _pieces(self, text: str) -> list[str] | None:
         if self.mode == "blank-parted":
             return text.replace("\n", " ").split(" ")
-        if "\0" in text:
-            raise _Odd
+        if self.mode == "whole" or "\0" in text:
+            return None
         # A blank or line end between two other characters starts a token and
         # no token goes on over it.  \0 marks the piece at the text's start.
         pieces = text.replace("\n", " \n").split(" ")
         pieces[0] = "\0" + pieces[0]
         return pieces
 
-    def piece(self, piece: str):
-        """The ids of one piece as it stands in a text."""
+    def _unit(self, piece: str) -> str | None:
+        """The piece as it stands in a text; None if it can't stand alone."""
         if self.mode == "blank-parted":
-            unit = piece
+            return piece
+        led = piece[:1] in ("\0", "\n")
+        body = piece[1:] if led else piece
+        if not body or _UNSAFE.search(body):
+            return None
+        return body if piece[0] == "\0" else piece if led else " " + piece
+
+    def _alone(self, unit: str) -> bytes:
+        return array.array("I", self.tok.encode(unit, add_special_tokens=False).ids).tobytes()
+
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """The ids of units that begin with white space or, in the other mode,
+        are words: many in one call, then parted where each one ends."""
+        parted = self.mode == "blank-parted"
+        if parted:
+            text = f" {_APART} ".join(units)
         else:
-            led = piece[:1] in ("\0", "\n")
-            body = piece[1:] if led else piece
-            if not body or _UNSAFE.search(body):
-                raise _Odd
-            unit = body if piece[0] == "\0" else piece if led else " " + piece
-        return self._pack(self.tok.encode(unit, add_special_tokens=False).ids)
-
-    def _one(self, text: str):
-        if self.mode == "whole":
-            return self._whole(text)
-        if not text:
-            return self._pack([])
-        try:
-            values = map(self.cache.__getitem__, self._pieces(text))
-            return sum(values) if self.counts else b"".join(values)
-        except _Odd:
-            return self._whole(text)
+            text = "".join(units)
+        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        if parted:
+            at = np.flatnonzero(ids == self.apart)
+            edges = (4 * np.concatenate(([-1], at, [len(ids)]))).tolist()
+            bounds = [(a + 4, z) for a, z in zip(edges, edges[1:])]
+        else:
+            ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) for u in units])
+            done = np.cumsum(self.width[ids])
+            at = np.searchsorted(done, ends)
+            if not np.array_equal(done[at], ends):
+                raise RuntimeError("a token goes on over two pieces")
+            edges = (4 * np.concatenate(([0], at + 1))).tolist()
+            bounds = list(zip(edges, edges[1:]))
+        if len(bounds) != len(units):
+            raise RuntimeError("pieces and their ids differ in number")
+        body = ids.tobytes()
+        return [body[a:z] for a, z in bounds]
+
+    def _learn(self, pieces: set[str]) -> set[str]:
+        """Adds pieces to the cache; returns those that can't stand alone."""
+        parted, pack = self.mode == "blank-parted", (lambda b: len(b) >> 2) if self.counts else (lambda b: b)
+        names = [p for p in pieces if p] if parted else [p for p in pieces if p[:1] != "\0"]
+        units = names if parted else [p if p[:1] == "\n" else " " + p for p in names]
+        alone = pieces.difference(names)
+        for i in range(0, len(units), self.CALL):
+            some, text = units[i : i + self.CALL], names[i : i + self.CALL]
+            if self._plain(some):
+                self.cache.update(zip(text, map(pack, self._encode_units(some))))
+            else:
+                alone.update(text)
+        odd = set()
+        for p in alone:
+            unit = self._unit(p)
+            if unit is None:
+                odd.add(p)
+            else:
+                self.cache[p] = pack(self._alone(unit) if unit else b"")
+        return odd
+
+    def _plain(self, units: list[str]) -> bool:
+        """Whether all may go in one call: no special strings, and each a blank
+        or line end and then no other white space."""
+        text = "".join(units)
+        if any(x in text for x in self.special):
+            return False
+        if self.mode == "blank-parted":
+            return self.apart is not None and _APART not in text
+        return text.split() == [u[1:] for u in units] and not _UNLIKE.search(text)
 
     def encode(self, texts: list[str]) -> list:
         """Empty texts have no ids."""
-        return [self._one(t) for t in texts]
+        cache = self.cache
+        if len(cache) > self.LIMIT:
+            cache.clear()
+        cache.missing = []
+        rows = []
+        for t in texts:
+            pieces, before = self._pieces(t) if t else [], len(cache.missing)
+            rows.append((None if pieces is None else list(map(cache.__getitem__, pieces)), before, len(cache.missing)))
+        missing, cache.missing = cache.missing, []
+        odd = self._learn(set(missing))
+        out = []
+        for t, (values, a, z) in zip(texts, rows):
+            new = missing[a:z]
+            if values is None or (odd and not odd.isdisjoint(new)):
+                out.append(self._whole(t))
+                continue
+            at = -1
+            for p in new:
+                at = values.index(cache.hole, at + 1)
+                values[at] = cache[p]
+            out.append(sum(values) if self.counts else b"".join(values))
+        for p in missing:
+            if len(p) > 64:  # long pieces seldom come again
+                cache.pop(p, None)
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
