@@ -108,6 +108,11 @@ def hypergeometric_p(x: str, m: str, k: str, n: str) -> Column:
     return F.pandas_udf(_tails, "double")(x, m, k, n)
 
 
+def hypergeometric_score(x: str, m: str, k: str, n: str) -> Column:
+    """-ln of the tail, at most about 690; what can't happen has the most."""
+    return -F.log(F.greatest(hypergeometric_p(x, m, k, n), F.lit(1e-300)))
+
+
 def rm1(qcov: Column, scov: Column, pide: Column, taxdist: Column, accepted: Column, documented: bool = False) -> Column:
     """Regression score of a hit; 0 for hits that weren't accepted.  The terms
     are bound as in use; ``documented`` binds them by name."""

@@ -112,7 +112,7 @@ def class_scores(sheets: Sheets, p: Params) -> Sheets:
     x = x.withColumn("gsz", S.gsz(F.col("n"), F.col("score"), F.col("m"), F.col("v"), F.col("b"), F.col("root")))
     s = S.class_scores(F.col("k"), F.col("b"), F.col("n"), F.col("bits"), F.col("total_bits"), F.col("root"), F.col("gsz"))
     x = x.withColumns({f"{k}_score": c for k, c in s.items()})
-    x = x.withColumn("hyge_score", -F.log(S.hypergeometric_p("k", "root", "n", "b")))
+    x = x.withColumn("hyge_score", S.hypergeometric_score("k", "root", "n", "b"))
     ppv = {"rm3": S.ppv_rm3, "argot": S.ppv_argot, "jac": S.ppv_jaccard, "hyge": S.ppv_hypergeometric}
     x = x.withColumns({f"{k}_ppv": f(F.col(f"{k}_score")) for k, f in ppv.items()} | {"sans_ppv": F.col("sans_score"), "bg_ppv": F.col("bg_score")})
     rank = lambda k: F.row_number().over(Window.partitionBy(q, "ontology").orderBy(F.desc(f"{k}_ppv"), F.asc("goid")))

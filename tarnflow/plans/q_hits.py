@@ -14,7 +14,12 @@ from tarnflow.operators import hits as H
 from .registry import Tables, query
 
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
-BY_BITS = [F.desc("bits"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")]
+
+
+def by_bits() -> list[Column]:
+    return [F.desc("bits"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")]
+
+
 
 #: The hit table in SQL.
 HITS = """hits AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice AS bits, 1 - l_discount AS pide,
@@ -53,7 +58,7 @@ def filter_permissive(t):
     sum(CASE WHEN {OK} THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey ORDER BY {SQL_BITS} ROWS UNBOUNDED PRECEDING) <= 2 AS status FROM hits""",
 )
 def first_n(t):
-    return H.first_accepted(hits(t), ["l_orderkey"], BY_BITS, accepted(), 2).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "status")
+    return H.first_accepted(hits(t), ["l_orderkey"], by_bits(), accepted(), 2).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "status")
 
 
 _RM1 = f"CASE WHEN {OK} THEN 0.21 * log10(100 * qcov) + 0.26 * scov * pide + 0.40 * pide * 0.5 ELSE 0 END"
@@ -74,7 +79,7 @@ def rm1_score(t):
     SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {SQL_BITS}) AS r FROM (SELECT *, {_RM1} AS rm1 FROM hits WHERE {OK})) WHERE r = 1""",
 )
 def rm1_top(t):
-    best = H.top(with_rm1(t).filter(accepted()), ["l_orderkey"], BY_BITS)
+    best = H.top(with_rm1(t).filter(accepted()), ["l_orderkey"], by_bits())
     return best.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.round("rm1", 6).alias("rm1"))
 
 
@@ -152,7 +157,7 @@ def class_rank(t):
 @query("q_hyge")
 def hyge(t):
     g = class_table(t)
-    return g.select("q", "p_type", "k", S.hypergeometric_p("k", "t", "n", "b").alias("p")).withColumn("score", F.round(-F.log("p"), 6)).drop("p")
+    return g.select("q", "p_type", "k", F.round(S.hypergeometric_score("k", "t", "n", "b"), 6).alias("score"))
 
 
 @query(
@@ -160,7 +165,7 @@ def hyge(t):
     f"WITH {HITS} SELECT l_orderkey, l_partkey, bits FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {SQL_BITS}) AS r FROM hits) WHERE r = 1",
 )
 def best_hit(t):
-    return H.top(hits(t), ["l_orderkey"], BY_BITS).select("l_orderkey", "l_partkey", "bits")
+    return H.top(hits(t), ["l_orderkey"], by_bits()).select("l_orderkey", "l_partkey", "bits")
 
 
 @query(
@@ -170,7 +175,7 @@ def best_hit(t):
 )
 def best_informative(t):
     named = hits(t).join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey").filter(F.length("p_name") > 9)
-    return H.top(named, ["l_orderkey"], BY_BITS).select("l_orderkey", "p_name", "bits")
+    return H.top(named, ["l_orderkey"], by_bits()).select("l_orderkey", "p_name", "bits")
 
 
 @query(
@@ -205,7 +210,7 @@ b AS (SELECT l_suppkey, l_partkey, l_orderkey, pide, CAST(floor((pide + 0.005) *
 
 
 def profile(t: Tables) -> DataFrame:
-    best = H.best_per(hits(t), ["l_orderkey"], "l_suppkey", BY_BITS, 5)
+    best = H.best_per(hits(t), ["l_orderkey"], "l_suppkey", by_bits(), 5)
     return best.withColumn("bin", H.identity_bin(F.col("pide")))
 
 
@@ -286,7 +291,7 @@ def cluster_stats(t):
     c = classed(t)
     bg = t.part.groupBy("p_name").agg(F.count(F.lit(1)).alias("cnt"))
     sized = c.groupBy("l_orderkey", "p_type").agg(F.count(F.lit(1)).alias("size"), F.round(F.sum("bits"), 4).alias("bits"))
-    owners = H.top(c, ["l_orderkey", "p_name"], BY_BITS)
+    owners = H.top(c, ["l_orderkey", "p_name"], by_bits())
     back = owners.join(bg, "p_name").groupBy("l_orderkey", "p_type").agg(F.sum("cnt").alias("background"))
     return sized.join(back, ["l_orderkey", "p_type"], "left").withColumn("background", F.coalesce("background", F.lit(0)))
 

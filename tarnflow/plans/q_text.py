@@ -101,8 +101,9 @@ def desc_similarity(t):
       FROM lineitem JOIN part ON p_partkey = l_partkey),
     e AS (SELECT l_orderkey, hit, bits, unnest(ws) AS word FROM h), n AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split(upper(p_name), ' ')) AS word FROM part) GROUP BY 1),
     s AS (SELECT l_orderkey, word, sum(bits) AS wb, count(*) AS wc FROM e GROUP BY ALL), t AS (SELECT l_orderkey, 1 + sum(bits) AS total FROM e GROUP BY 1),
-    k AS (SELECT l_orderkey, word, wb / total AS v, wc / CAST(greatest(coalesce(cnt, 1), 5) AS DOUBLE) AS j FROM s LEFT JOIN n USING (word) JOIN t USING (l_orderkey))
-    SELECT l_orderkey, hit, round(avg(v), 6) AS value, round(avg(v * j), 6) AS jaccard FROM e JOIN k USING (l_orderkey, word) GROUP BY ALL""",
+    k AS (SELECT l_orderkey, word, wb / total AS v, wc / CAST(greatest(coalesce(cnt, 1), 5) AS DOUBLE) AS j FROM s LEFT JOIN n USING (word) JOIN t USING (l_orderkey)),
+    m AS (SELECT l_orderkey, hit, round(avg(v), 6) AS value, round(avg(v * j), 6) AS jaccard FROM e JOIN k USING (l_orderkey, word) GROUP BY ALL)
+    SELECT h.l_orderkey, h.hit, coalesce(value, 0) AS value, coalesce(jaccard, 0) AS jaccard FROM h LEFT JOIN m ON m.l_orderkey = h.l_orderkey AND m.hit = h.hit""",
 )
 def wordscores(t):
     h = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
