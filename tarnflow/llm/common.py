@@ -52,15 +52,23 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/tarnflow/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
+#: Rows of a file of a narrow table.
+FILE_ROWS = 1_000_000
+
+
+def materialise(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
-    survives lost executors and is computed once however often it is read."""
+    survives lost executors and is computed once however often it is read.
+
+    rows: about how many narrow rows there will be at most; the table then has
+    as many files as that needs, but at least one for each core, and not one
+    for each shuffle partition.
+    """
     spark = df.sparkSession
     path = scratch(spark, tag)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -109,6 +117,20 @@ def text_or_empty(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Ids up to this many are sent to all tasks (8 bytes each).
+SENT_IDS = 2_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose key is among ``ids`` (one column).  The
+    ids are stored and counted first: few of them go to all tasks, so that
+    texts needn't be moved; more are joined by key.  Rows without a key stay."""
+    gone = materialise(ids.select(F.col(ids.columns[0]).alias("__gone")).filter("__gone is not null").distinct(), "gone")
+    if gone.count() <= SENT_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept for words already seen; emptied when
     full, so memory is bounded whatever the vocabulary."""

@@ -4,11 +4,15 @@
    MinHash bands and its odd sketch (every MinHash sample toggles one bit).
 2. Documents with equal sets are one class, stood for by the least doc_id.
 3. Representatives that share a band are candidates.  In each bucket all are
-   compared with one pivot, so a bucket of m costs m - 1 pairs, not m * m / 2;
-   components then tell which buckets are settled.  After two such rounds,
-   what is left is compared across components.
+   compared with one pivot, so a bucket of m costs m - 1 pairs, not m * m / 2.
+   The first bands join most of a group of copies; the others then compare
+   only what lies in different components, first with the pivot and, where
+   that leaves several components among the rest, with each other.
 4. A candidate must pass the sketches' estimate (population count of the XOR)
-   and is then confirmed on the full sets of both texts.
+   and is then confirmed on the full sets of both texts.  A second bitmap holds
+   the parity of the whole set: its XOR never has more bits than the sets have
+   different shingles, so it rules out pairs for certain, and nearly all that
+   fall short where texts are not very long.
 
 At similarity 0.8, 40 bands of 6 miss a pair with probability 5e-6, and the
 margin of the sketch test is more than five standard deviations.
@@ -36,6 +40,7 @@ class NearRule:
     percent: int = 80  # least similarity
     bands: int = 40
     rows: int = 6
+    first: int = 4  # bands of the first round
     bits: int = 1024  # of a sketch
     margin: float = 0.15  # the sketch's estimate may be so much too low
 
@@ -88,17 +93,23 @@ class _Hasher:
 
     def sketch(self, least: np.ndarray) -> np.ndarray:
         at = mix64(self.sample + least) % np.uint64(self.rule.bits)
+        return self._parity(at)
+
+    def whole(self, shingles: np.ndarray) -> np.ndarray:
+        return self._parity(shingles % np.uint64(self.rule.bits))
+
+    def _parity(self, at: np.ndarray) -> np.ndarray:
         odd = np.bincount(at.astype(np.int64), minlength=self.rule.bits) & 1
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-_SIGNATURE = "doc bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>"
+_SIGNATURE = "doc bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>, whole array<bigint>"
 
 
 def _signatures(rule: NearRule, batches):
     hasher = _Hasher(rule)
     for b in batches:
-        n, digest, bands, sketch = [], [], [], []
+        n, digest, bands, sketch, whole = [], [], [], [], []
         for text in b.column("t").to_pylist():
             s = shingle_set(space_words(text) if text else [], rule.shingle)
             n.append(len(s))
@@ -107,14 +118,16 @@ def _signatures(rule: NearRule, batches):
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 bands.append(hasher.keys(least))
                 sketch.append(hasher.sketch(least))
+                whole.append(hasher.whole(s))
             else:
                 digest.append(None)
                 bands.append(None)
                 sketch.append(None)
+                whole.append(None)
         kind = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, kind), pa.array(sketch, kind)],
-            ["doc", "n_shingles", "digest", "bands", "sketch"],
+            [b.column("doc"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, kind), pa.array(sketch, kind), pa.array(whole, kind)],
+            ["doc", "n_shingles", "digest", "bands", "sketch", "whole"],
         )
 
 
@@ -145,38 +158,44 @@ def _confirm(rule: NearRule, batches):
 BROADCAST_IDS = 2_000_000
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: NearRule, rows: int) -> DataFrame:
     """The pairs (a, z) that are links; pairs are distinct."""
-    side = reps.select("doc", "n_shingles", "sketch")
-    left = side.select(F.col("doc").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-    right = side.select(F.col("doc").alias("z"), F.col("n_shingles").alias("nz"), F.col("sketch").alias("sz"))
-    sized = 100 * F.least("na", "nz") >= rule.percent * F.greatest("na", "nz")
-    likely = materialise(pairs.join(left, "a").join(right, "z").filter(sized & _close("sa", "sz", rule)).select("a", "z").distinct(), "likely")
-    ids = materialise(likely.select(F.explode(F.array("a", "z")).alias("id")).distinct(), "ids")
+    left, right = _side(reps, "a"), _side(reps, "z")
+    likely = materialise(pairs.join(left, "a").join(right, "z").filter(_likely(rule)).select("a", "z").distinct(), "likely", rows)
+    ids = materialise(likely.select(F.explode(F.array("a", "z")).alias("id")).distinct(), "ids", rows)
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.join(ids, F.col("doc") == F.col("id"), "left_semi")
     with_a = likely.join(texts.select(F.col("doc").alias("a"), F.col("t").alias("ta")), "a")
     whole = with_a.join(texts.select(F.col("doc").alias("z"), F.col("t").alias("tz")), "z")
-    return materialise(whole.select("a", "z", "ta", "tz").mapInArrow(partial(_confirm, rule), "a bigint, z bigint"), "links")
+    return materialise(whole.select("a", "z", "ta", "tz").mapInArrow(partial(_confirm, rule), "a bigint, z bigint"), "links", rows)
 
 
-def _close(a: str, b: str, rule: NearRule):
-    odd = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
-    return odd <= rule.most_odd
+def _side(reps: DataFrame, name: str) -> DataFrame:
+    return reps.select(F.col("doc").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"), F.col("whole").alias(f"w{name}"))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def _likely(rule: NearRule):
+    """By size, by the whole sets' parity (both for certain) and by the odd
+    sketches: sets as similar as asked for have at most (na + nz) (1 - s) /
+    (1 + s) different shingles."""
+    odd = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
+    sized = 100 * F.least("na", "nz") >= rule.percent * F.greatest("na", "nz")
+    certain = (100 + rule.percent) * odd("wa", "wz") <= (100 - rule.percent) * (F.col("na") + F.col("nz"))
+    return sized & certain & (odd("sa", "sz") <= rule.most_odd)
+
+
+def components(edges: DataFrame, rows: int, rounds: int = 60) -> DataFrame:
     """(node, component) of all nodes of edges (a, z), component being the
     least node that can be reached.  Large-star and small-star steps: each
     hangs neighbours on the least one around, and no step gathers a node's
     neighbours in one place."""
-    now = materialise(_star(_star(edges.select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).filter("a < z"), True), False), "star")
+    now = materialise(_star(_star(edges.select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).filter("a < z"), True), False), "star", rows)
     seen = _sum(now)
     for _ in range(rounds):
         if seen[0] == 0:
             break
-        after = materialise(_star(_star(now, True), False), "star")
+        after = materialise(_star(_star(now, True), False), "star", rows)
         sums = _sum(after)
         if sums == seen:
             return now.select(F.col("z").alias("node"), F.col("a").alias("component")).unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
@@ -205,7 +224,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
-    return members.join(parts, members.doc == parts.node, "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
+    """Adds each member's component, itself where it has no link."""
+    return members.join(parts, members.doc == parts.node, "left").select(*members.columns, F.coalesce("component", "doc").alias("component"))
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    """Each member with its bucket's pivot, once."""
+    return members.filter("doc != pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("z")).distinct()
 
 
 def near_classes(docs: DataFrame, rule: NearRule = NearRule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,49 +241,47 @@ def near_classes(docs: DataFrame, rule: NearRule = NearRule(), id_col: str = "do
     the row of that id.  Null, empty and blank texts have no shingles and are
     linked with nothing; a text of fewer words than a shingle is one shingle;
     rows that repeat an id count as one document, with all their texts' links;
+    a row without an id takes its copies' component and is kept if it has none;
     long texts are read whole; an empty table gives an empty result; other
     columns are not read.
     """
     tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("t"))
     signed = materialise(rows.mapInArrow(partial(_signatures, rule), _SIGNATURE), "signatures")
+    rows_in = signed.count()
     narrow = signed.select("doc", "n_shingles", "digest")
-    classes = materialise(narrow.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc").alias("rep")), "classes")
+    classes = materialise(narrow.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc").alias("rep")), "classes", rows_in)
     reps = materialise(
-        signed.join(classes, (signed.digest == classes.digest) & (signed.doc == classes.rep), "left_semi").select("doc", "n_shingles", "bands", "sketch"), "reps"
+        signed.join(classes, (signed.digest == classes.digest) & (signed.doc == classes.rep), "left_semi").select("doc", "n_shingles", "bands", "sketch", "whole"), "reps", 10 * rows_in
     )
-    keyed = reps.select(F.explode("bands").alias("key"), "doc")
+    keyed = reps.select(F.posexplode("bands").alias("band", "key"), "doc")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("pivot")).filter("n > 1").select("key", "pivot")
-    members = materialise(keyed.join(shared, "key"), "members")
-
-    links, parts, rest = None, None, members
-    for again in (False, True):
-        if again:
-            pivots = rest.groupBy("key").agg(F.min_by("doc", F.xxhash64("doc", "key")).alias("pivot"))
-            rest = materialise(rest.select("key", "doc").join(pivots, "key"), "members")
-        pairs = rest.filter("doc != pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("z")).distinct()
-        found = _links(pairs, reps, rows, rule)
-        links = found if links is None else links.unionByName(found)
-        parts = components(links)
-        # Pairs with the pivot are settled; others of one component need none.
-        open_rows = _labelled(rest.filter("doc != pivot"), parts)
-        mixed = open_rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-        rest = materialise(open_rows.join(mixed, "key", "left_semi").select("key", "doc", "component"), "rest")
-        if rest.isEmpty():
-            break
+    members = materialise(keyed.join(shared, "key"), "members", 10 * rows_in)
+
+    # A few bands first: they join most of a group of copies, and then no
+    # other band compares what is in one component already.
+    links = _links(_pairs(members.filter(F.col("band") < rule.first)), reps, rows, rule, rows_in)
+    parts = components(links, rows_in)
+    placed = materialise(_labelled(members.select("key", "doc", "pivot"), parts), "placed", 10 * rows_in)
+    home = parts.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
+    apart = placed.join(home, "pivot", "left").filter(F.col("component") != F.coalesce("home", "pivot"))
+    links = links.unionByName(_links(_pairs(apart), reps, rows, rule, rows_in))
+    parts = components(links, rows_in)
+    # Pairs with the pivot are settled; others of one component need none.
+    open_rows = _labelled(placed.filter("doc != pivot").select("key", "doc"), parts)
+    mixed = open_rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
+    rest = materialise(open_rows.join(mixed, "key", "left_semi").select("key", "doc", "component"), "rest", 10 * rows_in)
     if not rest.isEmpty():
-        side = rest.join(reps.select("doc", "n_shingles", "sketch"), "doc")
-        x = side.select("key", F.col("doc").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-        y = side.select("key", F.col("doc").alias("z"), F.col("component").alias("cz"), F.col("n_shingles").alias("nz"), F.col("sketch").alias("sz"))
-        sized = 100 * F.least("na", "nz") >= rule.percent * F.greatest("na", "nz")
+        x = rest.select("key", F.col("doc").alias("a"), F.col("component").alias("ca")).join(_side(reps, "a"), "a")
+        y = rest.select("key", F.col("doc").alias("z"), F.col("component").alias("cz")).join(_side(reps, "z"), "z")
         # What fails the sketches never leaves the join.
-        cross = x.join(y, (x.key == y.key) & (F.col("a") < F.col("z")) & (F.col("ca") != F.col("cz")) & sized & _close("sa", "sz", rule))
-        links = links.unionByName(_links(cross.select("a", "z").distinct(), reps, rows, rule))
-        parts = components(links)
+        cross = x.join(y, (x.key == y.key) & (F.col("a") < F.col("z")) & (F.col("ca") != F.col("cz")) & _likely(rule))
+        links = links.unionByName(_links(cross.select("a", "z").distinct(), reps, rows, rule, rows_in))
+        parts = components(links, rows_in)
     named = classes.join(parts, classes.rep == parts.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return narrow.join(named, "digest", "left").select(
         F.col("doc").alias(id_col),
         "n_shingles",
         F.coalesce("component_id", "doc").alias("component_id"),
-        (F.coalesce("component_id", "doc") == F.col("doc")).alias("kept"),
+        F.coalesce(F.coalesce("component_id", "doc") == F.col("doc"), F.col("component_id").isNull()).alias("kept"),
     )
