@@ -138,6 +138,16 @@ def scored(docs: DataFrame, keep: list[str], threshold: float = 0.5, text_col: s
     )
 
 
+def kept_rows(docs: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their own columns, which
+    may have any names.  Rows go through the statistics' pass whole, so no join
+    is needed to pick them."""
+    inner = {c: f"__{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(c).alias(n) for c, n in inner.items()])
+    out = scored(renamed, list(inner.values()), threshold, inner[text_col]).filter("kept")
+    return out.select(*[F.col(n).alias(c) for c, n in inner.items()])
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """(doc_id, the base counts, base_failed, kept, posterior); see scored."""
     return scored(docs, ["doc_id"]).select("doc_id", *COUNTS, "base_failed", "kept", "posterior")
