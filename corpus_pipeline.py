@@ -11,15 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnflow.llm import decontam, line_dedup, near_dup, packing, quality_rules
-from tarnflow.llm.common import scratch
+from tarnflow.llm.common import scratch, without
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    kept = quality_rules.scored(docs, ["doc_id"]).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return quality_rules.kept_rows(docs.select(*COLUMNS))
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +29,15 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the least doc_id."""
-    kept = near_dup.near_classes(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    copies = near_dup.near_classes(docs).filter(~F.col("kept")).select("doc_id")
+    return without(docs, copies).select(*COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    dirty = decontam.contamination(docs, benchmark).filter("contaminated").select("doc_id").distinct()
-    return docs.join(dirty, "doc_id", "left_anti").select(*COLUMNS)
+    dirty = decontam.contamination(docs, benchmark).filter("contaminated").select("doc_id")
+    return without(docs, dirty).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
