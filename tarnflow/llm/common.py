@@ -131,6 +131,21 @@ def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
 
 
+#: What a Python worker keeps between its tasks: name -> how to let go of it.
+_KEPT: dict[object, object] = {}
+_USER: list[object] = [None]
+
+
+def claim(user: object, release) -> None:
+    """A worker serves many operators in turn.  The one that is at work keeps
+    its store; all others' are let go, so that they never add up."""
+    if _USER[0] != user:
+        for name in [n for n in _KEPT if n != user]:
+            _KEPT.pop(name)()
+        _USER[0] = user
+    _KEPT[user] = release
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept for words already seen; emptied when
     full, so memory is bounded whatever the vocabulary."""
@@ -153,6 +168,7 @@ _HASHES = WordHashes()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    claim("word hashes", _HASHES.clear)
     return _HASHES.of(words)
 
 

@@ -16,6 +16,8 @@ import re
 
 import numpy as np
 
+from .common import claim
+
 #: White space, or characters that libraries may class differently.  A text
 #: with a piece that holds one is encoded whole.
 _UNSAFE = re.compile("[\\s\\0\\x1c-\\x1f\\x85\\u180e\\u200b\\u2060\\ufeff]")
@@ -234,6 +236,7 @@ _ENCODERS: dict[tuple, Encoder] = {}
 
 def encoder(path: str, counts: bool = False) -> Encoder:
     """The worker's encoder of this file, made once for each Python worker."""
+    claim((path, counts), lambda: _ENCODERS.pop((path, counts), None))
     if (path, counts) not in _ENCODERS:
         _ENCODERS[path, counts] = Encoder(path, counts)
     return _ENCODERS[path, counts]
