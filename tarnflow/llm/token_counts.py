@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, text_or_empty, tune
+from .common import materialise, scratch, text_or_empty, tune
 from .tokenising import encoder, tokenizer_digest
 
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
@@ -79,8 +79,11 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     counted = misses.mapInArrow(partial(_count, tokenizer), "content_digest binary, n_tokens long")
     counted.select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode("append").option("compression", "zstd").parquet(cache)
 
+    # The counts of this table's digests, stored, so that Spark sees two plain
+    # sides and can split a digest that very many rows share.
+    counts = materialise(keyed.select("dg").distinct().join(_read_cache(spark, cache, version), "dg"), "counts")
     rows = keyed.select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), "dg")
-    return rows.join(_read_cache(spark, cache, version), "dg").select(
+    return rows.join(counts, "dg").select(
         "doc_id",
         "n_bytes",
         "n_tokens",
