@@ -32,11 +32,19 @@ BITS = 60 // COUNTS
 ESCAPE = 15
 BLOCK = 4096
 MAGIC = 0x31304238534E5254
+#: Stands for a missing doc_id in a file.
+NO_ID = -(1 << 63)
 #: Ids of one segment at most, but for a longer single document.
 SEGMENT = 1 << 19
 
 
+#: Bits of each number below 2**16.
+_SHORT = np.maximum(np.frexp(np.arange(1 << 16, dtype=np.float64))[1], 1).astype(np.uint8)
+
+
 def _bit_lengths(ids: np.ndarray) -> np.ndarray:
+    if ids.max(initial=0) < 1 << 16:
+        return _SHORT[ids]
     need = np.ones(len(ids), np.uint8)
     for b in range(1, 64):
         over = ids >> np.uint64(b)
@@ -56,10 +64,12 @@ def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    need = _bit_lengths(ids)
+    # What is after the end is too wide for any word.
+    size = blocks * BLOCK
+    need = np.full(size, 255, np.uint8)
+    need[:n] = _bit_lengths(ids)
     # most[i]: selector of the fullest word that can start at i in its block.
-    most = np.full(n, ESCAPE, np.uint8)
-    room = np.minimum(BLOCK - np.arange(n) % BLOCK, n - np.arange(n))
+    most = np.full(size, ESCAPE, np.uint8)
     widest = {1: need}
     for selector in range(len(COUNTS) - 1, -1, -1):
         c, bits = int(COUNTS[selector]), int(BITS[selector])
@@ -67,15 +77,21 @@ def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             half = max(k for k in widest if k < c)
             run, shift = widest[half], c - half
             while shift > half:
-                run = np.concatenate([np.maximum(run[:-half], run[half:]), run[-half:]])[:n] if n > half else run
+                run = np.concatenate([np.maximum(run[:-half], run[half:]), run[-half:]])
                 widest[min(2 * half, c)] = run
                 half = min(2 * half, c)
                 shift = c - half
             longer = run.copy()
-            if n > shift > 0:
+            if shift:
                 longer[:-shift] = np.maximum(run[:-shift], run[shift:])
             widest[c] = longer
-        most[(widest[c] <= bits) & (room >= c)] = selector
+        fits = widest[c] <= bits
+        if not fits.any():
+            if c > 1:
+                break  # then no longer run of still narrower ids fits
+            continue
+        fits.reshape(blocks, BLOCK)[:, BLOCK - c + 1 :] = False
+        most[fits] = selector
     at = np.arange(blocks, dtype=np.int64) * BLOCK
     end = np.minimum(at + BLOCK, n)
     out: list[tuple[np.ndarray, np.ndarray]] = []  # blocks and starts of each step
@@ -170,7 +186,7 @@ def _write(folder: str, tokenizer: str, end_id: int, batches):
     parts, doc_ids, bodies, size, docs, ids = [], [], [], 0, 0, 0
     for b in batches:
         for doc, body in zip(b.column("doc_id").to_pylist(), encoder(tokenizer).encode(b.column("t").to_pylist())):
-            doc_ids.append(doc)
+            doc_ids.append(NO_ID if doc is None else doc)
             bodies.append(body + end)
             size += len(body) // 4 + 1
             if size >= SEGMENT:
@@ -194,9 +210,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     ascending doc_id order over numbered files; returns the files' list with
     the ids before each: (shard, path, docs, ids, bytes, start).
 
-    Null and empty texts are the end id alone; a null doc_id is not accepted
-    by the format and is an error; rows with the same doc_id stay together in
-    order of a hash of their text; an empty table writes no file.
+    Null and empty texts are the end id alone; a null doc_id comes first and is
+    stored as NO_ID; rows with the same doc_id stay together in order of a hash
+    of their text; an empty table writes no file.
     """
     spark = docs.sparkSession
     tune(spark)
@@ -223,7 +239,7 @@ def _read(batches):
                     body = memoryview(ids.astype("<u4").tobytes())
                     crc = [zlib.crc32(body[4 * a : 4 * z]) for a, z in zip([0, *to.tolist()[:-1]], to.tolist())]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids, pa.int64()), pa.array(start + to - lengths.astype(np.int64)), pa.array(lengths.astype(np.int64)), pa.array(crc, pa.int64())],
+                        [pa.array(doc_ids, pa.int64(), mask=doc_ids == NO_ID), pa.array(start + to - lengths.astype(np.int64)), pa.array(lengths.astype(np.int64)), pa.array(crc, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
                     start += len(ids)
