@@ -150,7 +150,7 @@ class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept for words already seen; emptied when
     full, so memory is bounded whatever the vocabulary."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, on_table, text_or_empty, tune
-from .tokenising import encoder
+from .tokenising import Encoder, encoder
 
 
 @dataclass(frozen=True)
@@ -120,11 +120,11 @@ def pack(pieces: DataFrame, cap: Capacity = Capacity()) -> DataFrame:
     return once.filter("full").unionByName(again).drop("full")
 
 
-def _tokenise(path: str, longest: int, end_id: int, batches):
+def _tokenise(path: str, longest: int, end_id: int, kept: int, batches):
     end = np.uint32(end_id).tobytes()
     for b in batches:
         rows: list[tuple] = []
-        for doc, body in zip(b.column("doc_id").to_pylist(), encoder(path).encode(b.column("t").to_pylist())):
+        for doc, body in zip(b.column("doc_id").to_pylist(), encoder(path, limit=kept).encode(b.column("t").to_pylist())):
             body += end
             step = 4 * longest
             for piece, at in enumerate(range(0, len(body), step)):
@@ -137,21 +137,22 @@ def _tokenise(path: str, longest: int, end_id: int, batches):
         )
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 0) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 0, kept: int = Encoder.LIMIT) -> DataFrame:
     """Pieces of every document: its ids, then ``end_id``, cut every
     ``longest`` tokens.  Stored, so that packing may read it twice."""
     tune(docs.sparkSession)
     texts = docs.select(F.col("doc_id"), text_or_empty("text").alias("t"))
-    return materialise(texts.mapInArrow(partial(_tokenise, tokenizer, longest, end_id), PIECES), "pieces")
+    return materialise(texts.mapInArrow(partial(_tokenise, tokenizer, longest, end_id, kept), PIECES), "pieces")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, cap: Capacity = Capacity(), end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, cap: Capacity = Capacity(), end_id: int = 0, kept: int = Encoder.LIMIT) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
     Null and empty texts are a piece of the end id alone; a text longer than a
     sequence is cut; rows that repeat are packed each; ties between bins go to
     the oldest; an empty table gives an empty result; only doc_id and text are
-    read, so other columns' names can't clash.
+    read, so other columns' names can't clash.  ``kept``: words whose ids a
+    worker keeps, which trades its memory for time.
     """
-    pieces = cut_documents(docs, tokenizer, cap.tokens, end_id)
+    pieces = cut_documents(docs, tokenizer, cap.tokens, end_id, kept)
     return pack(pieces, cap).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -46,14 +46,24 @@ def tokenizer_digest(path: str) -> str:
 
 
 class _Cache(dict):
-    """piece -> ids; what is missing is noted and leaves a hole."""
+    """piece -> ids; what is missing is noted and leaves a hole.  When it is
+    full, its pieces become the old ones and those that were old go; an old
+    piece that is asked for is new again, so frequent ones stay."""
 
     def __init__(self, hole):
-        self.hole, self.missing = hole, []
+        self.hole, self.missing, self.old = hole, [], {}
 
     def __missing__(self, piece: str):
-        self.missing.append(piece)
-        return self.hole
+        value = self.old.get(piece)
+        if value is None:
+            self.missing.append(piece)
+            return self.hole
+        self[piece] = value
+        return value
+
+    def age(self) -> None:
+        self.old = dict(self)
+        self.clear()
 
 
 class Encoder:
@@ -61,8 +71,8 @@ class Encoder:
     their number if ``counts``.  No begin, end or other special tokens are
     added; special strings inside texts are handled as the library's default."""
 
-    #: Pieces kept (about 200 bytes each); all go when there are more.
-    LIMIT = 1_200_000
+    #: New pieces kept, and as many old ones (about 190 bytes each).
+    LIMIT = 600_000
     #: Pieces that are encoded in one call.
     CALL = 4096
 
@@ -153,36 +163,37 @@ class Encoder:
             text = f" {_APART} ".join(units)
         else:
             text = "".join(units)
-        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.frombuffer(array.array("I", self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids), "<u4")
         if parted:
             at = np.flatnonzero(ids == self.apart)
-            edges = (4 * np.concatenate(([-1], at, [len(ids)]))).tolist()
-            bounds = [(a + 4, z) for a, z in zip(edges, edges[1:])]
+            starts, stops = np.concatenate(([0], 4 * at + 4)).tolist(), np.append(4 * at, 4 * len(ids)).tolist()
         else:
-            ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) for u in units])
+            sizes = map(len, units) if text.isascii() else [len(u.encode("utf-8", "surrogatepass")) for u in units]
+            ends = np.cumsum(np.fromiter(sizes, np.int64, len(units)))
             done = np.cumsum(self.width[ids])
             at = np.searchsorted(done, ends)
             if not np.array_equal(done[at], ends):
                 raise RuntimeError("a token goes on over two pieces")
-            edges = (4 * np.concatenate(([0], at + 1))).tolist()
-            bounds = list(zip(edges, edges[1:]))
-        if len(bounds) != len(units):
+            stops = (4 * at + 4).tolist()
+            starts = [0, *stops[:-1]]
+        if len(stops) != len(units):
             raise RuntimeError("pieces and their ids differ in number")
         body = ids.tobytes()
-        return [body[a:z] for a, z in bounds]
+        return [body[a:z] for a, z in zip(starts, stops)]
 
     def _learn(self, pieces: set[str]) -> set[str]:
         """Adds pieces to the cache; returns those that can't stand alone."""
         parted, pack = self.mode == "blank-parted", (lambda b: len(b) >> 2) if self.counts else (lambda b: b)
-        names = [p for p in pieces if p] if parted else [p for p in pieces if p[:1] != "\0"]
+        alone = [p for p in pieces if not p] if parted else [p for p in pieces if p[:1] == "\0"]
+        names = list(pieces.difference(alone))
         units = names if parted else [p if p[:1] == "\n" else " " + p for p in names]
-        alone = pieces.difference(names)
         for i in range(0, len(units), self.CALL):
             some, text = units[i : i + self.CALL], names[i : i + self.CALL]
             if self._plain(some):
-                self.cache.update(zip(text, map(pack, self._encode_units(some))))
+                bodies = self._encode_units(some)
+                self.cache.update(zip(text, map(pack, bodies) if self.counts else bodies))
             else:
-                alone.update(text)
+                alone += text
         odd = set()
         for p in alone:
             unit = self._unit(p)
@@ -206,7 +217,7 @@ class Encoder:
         """Empty texts have no ids."""
         cache = self.cache
         if len(cache) > self.LIMIT:
-            cache.clear()
+            cache.age()
         cache.missing = []
         rows = []
         for t in texts:
@@ -234,9 +245,10 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, counts: bool = False) -> Encoder:
+def encoder(path: str, counts: bool = False, limit: int = Encoder.LIMIT) -> Encoder:
     """The worker's encoder of this file, made once for each Python worker."""
     claim((path, counts), lambda: _ENCODERS.pop((path, counts), None))
     if (path, counts) not in _ENCODERS:
         _ENCODERS[path, counts] = Encoder(path, counts)
+    _ENCODERS[path, counts].LIMIT = limit
     return _ENCODERS[path, counts]
