@@ -41,8 +41,9 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 2048, packed."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Token sequences of at most 2048, packed.  Workers keep fewer words than
+    by default, as executors hold what the joins before have left."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), kept=150_000)
 
 
 STAGES = [
