@@ -81,7 +81,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
 
     # The counts of this table's digests, stored, so that Spark sees two plain
     # sides and can split a digest that very many rows share.
-    counts = materialise(keyed.select("dg").distinct().join(_read_cache(spark, cache, version), "dg"), "counts")
+    counts = materialise(keyed.select("dg").distinct().join(_read_cache(spark, cache, version), "dg"), "counts", docs.count())
     rows = keyed.select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), "dg")
     return rows.join(counts, "dg").select(
         "doc_id",
