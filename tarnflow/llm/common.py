@@ -113,6 +113,22 @@ def on_table(function, *arguments):
     return run
 
 
+def gathered(batches, column: str = "t", size: int = 8 << 20):
+    """Batches joined until their texts have ``size`` bytes: what is done once
+    for each distinct word of a batch is done less often."""
+    import pyarrow as pa
+
+    held, total = [], 0
+    for b in batches:
+        held.append(b)
+        total += b.column(column).nbytes
+        if total >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def text_or_empty(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

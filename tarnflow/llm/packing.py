@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, on_table, text_or_empty, tune
+from .common import gathered, materialise, on_table, text_or_empty, tune
 from .tokenising import Encoder, encoder
 
 
@@ -122,9 +122,9 @@ def pack(pieces: DataFrame, cap: Capacity = Capacity()) -> DataFrame:
 
 def _tokenise(path: str, longest: int, end_id: int, kept: int, batches):
     end = np.uint32(end_id).tobytes()
-    for b in batches:
+    for b in gathered(batches):
         rows: list[tuple] = []
-        for doc, body in zip(b.column("doc_id").to_pylist(), encoder(path, limit=kept).encode(b.column("t").to_pylist())):
+        for doc, body in zip(b.column("doc_id").to_pylist(), encoder(path, limit=kept).encode(b.column("t"))):
             body += end
             step = 4 * longest
             for piece, at in enumerate(range(0, len(body), step)):

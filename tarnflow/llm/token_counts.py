@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch, text_or_empty, tune
+from .common import gathered, materialise, scratch, text_or_empty, tune
 from .tokenising import encoder, tokenizer_digest
 
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
@@ -33,12 +33,12 @@ def _first_seen(batches):
 
 def _count(path: str, batches):
     seen: set[bytes] = set()
-    for b in batches:
+    for b in gathered(batches):
         new = {d: i for i, d in enumerate(b.column("dg").to_pylist()) if d not in seen}
         if not new:
             continue
         seen.update(new)
-        texts = b.column("t").take(pa.array(list(new.values()), pa.int64())).to_pylist()
+        texts = b.column("t").take(pa.array(list(new.values()), pa.int64()))
         counts = encoder(path, counts=True).encode(texts)
         yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.binary()), pa.array(counts, pa.int64())], ["content_digest", "n_tokens"])
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, scratch, text_or_empty, tune, write_file
+from .common import filesystem, gathered, scratch, text_or_empty, tune, write_file
 from .tokenising import encoder
 
 #: Ids in a word and bits of each, by selector; 15 is the escape.
@@ -184,8 +184,8 @@ def _write(folder: str, tokenizer: str, end_id: int, batches):
     end = np.uint32(end_id).tobytes()
     shard = TaskContext.get().partitionId()
     parts, doc_ids, bodies, size, docs, ids = [], [], [], 0, 0, 0
-    for b in batches:
-        for doc, body in zip(b.column("doc_id").to_pylist(), encoder(tokenizer).encode(b.column("t").to_pylist())):
+    for b in gathered(batches):
+        for doc, body in zip(b.column("doc_id").to_pylist(), encoder(tokenizer).encode(b.column("t"))):
             doc_ids.append(NO_ID if doc is None else doc)
             bodies.append(body + end)
             size += len(body) // 4 + 1

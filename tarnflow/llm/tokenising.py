@@ -15,6 +15,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import claim
 
@@ -50,8 +52,8 @@ class _Cache(dict):
     full, its pieces become the old ones and those that were old go; an old
     piece that is asked for is new again, so frequent ones stay."""
 
-    def __init__(self, hole):
-        self.hole, self.missing, self.old = hole, [], {}
+    def __init__(self, hole, empty):
+        self.hole, self.empty, self.missing, self.old = hole, empty, [], {}
 
     def __missing__(self, piece: str):
         value = self.old.get(piece)
@@ -78,7 +80,7 @@ class Encoder:
 
     def __init__(self, path: str, counts: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.counts, self.cache = counts, _Cache(-1 if counts else _HOLE)
+        self.counts, self.cache = counts, (_Cache(-1, 0) if counts else _Cache(_HOLE, b""))
         if path.endswith(".model"):
             import sentencepiece
 
@@ -131,17 +133,6 @@ class Encoder:
         ids = self.sp.encode(text, num_threads=1) if self.sp else self.tok.encode(text, add_special_tokens=False).ids
         return self._pack(ids)
 
-    def _pieces(self, text: str) -> list[str] | None:
-        if self.mode == "blank-parted":
-            return text.replace("\n", " ").split(" ")
-        if self.mode == "whole" or "\0" in text:
-            return None
-        # A blank or line end between two other characters starts a token and
-        # no token goes on over it.  \0 marks the piece at the text's start.
-        pieces = text.replace("\n", " \n").split(" ")
-        pieces[0] = "\0" + pieces[0]
-        return pieces
-
     def _unit(self, piece: str) -> str | None:
         """The piece as it stands in a text; None if it can't stand alone."""
         if self.mode == "blank-parted":
@@ -213,32 +204,60 @@ class Encoder:
             return self.apart is not None and _APART not in text
         return text.split() == [u[1:] for u in units] and not _UNLIKE.search(text)
 
-    def encode(self, texts: list[str]) -> list:
-        """Empty texts have no ids."""
+    def _cut(self, texts: pa.Array) -> pa.ListArray:
+        """Pieces of each text.  A blank or line end between two other
+        characters starts a token and no token goes on over it; \\0 marks the
+        piece at a text's start."""
+        if self.mode == "blank-parted":
+            return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        return pc.split_pattern(pc.binary_join_element_wise("\0", pc.replace_substring(texts, "\n", " \n"), ""), " ")
+
+    def encode(self, texts: pa.Array | list[str]) -> list:
+        """Ids (or their number) of each text; empty texts have none.
+
+        Texts are cut and their distinct pieces found by Arrow; only these are
+        looked up, and Arrow strings their ids together again."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if self.mode == "whole" or not len(texts):
+            return [self._whole(t) for t in texts.to_pylist()]
+        cut = self._cut(texts)
+        bounds = cut.offsets.to_numpy()
+        pieces = cut.flatten().dictionary_encode()
+        place, names = pieces.indices.to_numpy(), pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+
         cache = self.cache
         if len(cache) > self.LIMIT:
             cache.age()
         cache.missing = []
-        rows = []
-        for t in texts:
-            pieces, before = self._pieces(t) if t else [], len(cache.missing)
-            rows.append((None if pieces is None else list(map(cache.__getitem__, pieces)), before, len(cache.missing)))
+        values = list(map(cache.__getitem__, names))
         missing, cache.missing = cache.missing, []
         odd = self._learn(set(missing))
-        out = []
-        for t, (values, a, z) in zip(texts, rows):
-            new = missing[a:z]
-            if values is None or (odd and not odd.isdisjoint(new)):
-                out.append(self._whole(t))
-                continue
-            at = -1
-            for p in new:
-                at = values.index(cache.hole, at + 1)
-                values[at] = cache[p]
-            out.append(sum(values) if self.counts else b"".join(values))
+        at = -1
+        for p in missing:
+            at = values.index(cache.hole, at + 1)
+            values[at] = cache.get(p, cache.empty)
         for p in missing:
             if len(p) > 64:  # long pieces seldom come again
                 cache.pop(p, None)
+
+        if self.counts:
+            sums = np.concatenate(([0], np.cumsum(np.array(values, np.int64)[place])))
+            out = (sums[bounds[1:]] - sums[bounds[:-1]]).tolist()
+        else:
+            joined = pa.array(values, pa.large_binary()).take(pieces.indices)
+            _, edges, body = joined.buffers()
+            edges = np.frombuffer(edges, np.int64)[joined.offset : joined.offset + len(joined) + 1][bounds].tolist()
+            body = memoryview(body) if body is not None else memoryview(b"")
+            out = [bytes(body[a:z]) for a, z in zip(edges, edges[1:])]
+        whole = set()
+        if odd:
+            bad = np.flatnonzero(np.fromiter((n in odd for n in names), bool, len(names))[place])
+            whole.update((np.searchsorted(bounds, bad, side="right") - 1).tolist())
+        if self.mode == "blank-led":
+            whole.update(np.flatnonzero(pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)).tolist())
+        for i in whole:
+            out[i] = self._whole(texts[i].as_py())
         return out
 
 
