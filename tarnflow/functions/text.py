@@ -22,6 +22,11 @@ UNINFORMATIVE = [
 ]
 
 
+def ascii_upper(c: Column | str) -> Column:
+    """A-Z for a-z and nothing else: the same on any engine, for any language."""
+    return F.translate(c, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 def clean_description(c: Column, drop_codes: bool = False) -> Column:
     """Upper-cased description without tag tail, brackets and punctuation.
 
@@ -41,11 +46,11 @@ def clean_description(c: Column, drop_codes: bool = False) -> Column:
     return F.trim(F.upper(F.when(coded, F.lit("Hypothetical protein")).otherwise(many)))
 
 
-def form_factor(c: Column) -> Column:
+def form_factor(c: Column, upper=F.upper) -> Column:
     """Share of a description that informs: one less the penalties for other
     characters than letters, for codes and for the terms above, over length.
-    Empty and null texts have 0."""
-    t = F.upper(c)
+    Empty and null texts have 0.  ``upper`` is the upper-casing of letters."""
+    t = upper(c)
     words = F.filter(F.split(t, r"\s+"), lambda w: w != "")
     penalty = F.lit(3.0) + 2.0 * F.length(F.regexp_replace(t, r"[A-Z '-]", ""))
     penalty = penalty + 4.0 * F.size(F.filter(words, lambda w: w.rlike("[A-Z][0-9]")))

@@ -11,7 +11,7 @@ from tarnflow.operators import hits as H
 from tarnflow.operators import joins as J
 
 from .q_hits import _LINEAGE, lineages
-from .registry import Tables, query
+from .registry import ORACLES, Tables, query
 
 #: English documents whose text is printable ASCII and line ends: upper-casing
 #: and character classes agree there on both sides.
@@ -22,6 +22,20 @@ def english(t: Tables):
     return t.documents.filter((F.col("lang") == "en") & F.col("text").rlike(r"^[\x20-\x7E\n]*$")).select("doc_id", "text")
 
 
+#: All documents; upper-casing is of A-Z alone on both sides.
+EVERY = "en AS (SELECT doc_id, text FROM documents)"
+_UPPER = "translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')"
+
+
+def every(t: Tables):
+    return t.documents.select("doc_id", "text")
+
+
+def over_all(name: str) -> str:
+    """The SQL of a query over English documents, for all documents."""
+    return ORACLES[name].replace(ASCII, EVERY).replace("upper(text)", _UPPER)
+
+
 _CLEAN = r"""trim(regexp_replace(regexp_replace(regexp_replace(trim({c}), ' \w\w=.*$', '', 'g'), '[()\[\]{{}}]', '', 'g'), '["/=\\:;,|%.#!<>?_''^+-]', ' ', 'g'))"""
 
 
@@ -48,16 +62,26 @@ def form_factor(t):
     return english(t).select("doc_id", F.round(X.form_factor(F.col("text")), 6).alias("ff"))
 
 
+@query("q_form_factor_all", over_all("q_form_factor"))
+def form_factor_all(t):
+    return every(t).select("doc_id", F.round(X.form_factor(F.col("text"), X.ascii_upper), 6).alias("ff"))
+
+
 _W = "w AS (SELECT doc_id, list_filter(string_split_regex(upper(text), '[^A-Z]+'), lambda w: w <> '') AS ws FROM en)"
 
 
-def words(t: Tables):
-    return english(t).select("doc_id", F.filter(F.split(F.upper("text"), "[^A-Z]+"), lambda w: w != "").alias("ws"))
+def words(t: Tables, docs=english):
+    return docs(t).select("doc_id", F.filter(F.split(X.ascii_upper("text"), "[^A-Z]+"), lambda w: w != "").alias("ws"))
 
 
 @query("q_word_counts", f"WITH {ASCII}, {_W} SELECT word, count(*) AS cnt FROM (SELECT unnest(ws) AS word FROM w) GROUP BY word")
-def word_counts(t):
-    return words(t).select(F.explode("ws").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+def word_counts(t, docs=english):
+    return words(t, docs).select(F.explode("ws").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("q_word_counts_all", over_all("q_word_counts"))
+def word_counts_all(t):
+    return word_counts(t, every)
 
 
 _TFIDF = f"""WITH {ASCII}, {_W}, n AS (SELECT word, count(*) AS cnt FROM (SELECT unnest(ws) AS word FROM w) GROUP BY word), s AS (SELECT sum(cnt) AS total FROM n),
@@ -65,21 +89,31 @@ e AS (SELECT DISTINCT doc_id, unnest(ws) AS word FROM w), v AS (SELECT doc_id, w
 """
 
 
-def tfidf(t: Tables):
-    counts = word_counts(t)
+def tfidf(t: Tables, docs=english):
+    counts = word_counts(t, docs)
     total = counts.agg(F.sum("cnt").alias("total"))
-    each = words(t).crossJoin(F.broadcast(total))
+    each = words(t, docs).crossJoin(F.broadcast(total))
     return H.tfidf(each.withColumn("doc", F.struct("doc_id", "total")), "doc", F.col("ws"), counts, F.col("doc.total").cast("double")).select("doc.doc_id", "word", "cnt", "idf")
 
 
 @query("q_tfidf_words", _TFIDF + "SELECT doc_id, word, cnt, round(idf, 6) AS idf FROM v")
-def tfidf_words(t):
-    return tfidf(t).withColumn("idf", F.round("idf", 6))
+def tfidf_words(t, docs=english):
+    return tfidf(t, docs).withColumn("idf", F.round("idf", 6))
+
+
+@query("q_tfidf_words_all", over_all("q_tfidf_words"))
+def tfidf_words_all(t):
+    return tfidf_words(t, every)
 
 
 @query("q_tfidf_norm", _TFIDF + "SELECT doc_id, round(sqrt(sum(idf * idf)), 5) AS norm, count(*) AS n_words FROM v GROUP BY doc_id")
-def tfidf_norm(t):
-    return H.vector_norms(tfidf(t), "doc_id").withColumn("norm", F.round("norm", 5))
+def tfidf_norm(t, docs=english):
+    return H.vector_norms(tfidf(t, docs), "doc_id").withColumn("norm", F.round("norm", 5))
+
+
+@query("q_tfidf_norm_all", over_all("q_tfidf_norm"))
+def tfidf_norm_all(t):
+    return tfidf_norm(t, every)
 
 
 @query(
@@ -89,10 +123,15 @@ def tfidf_norm(t):
     d AS (SELECT p.a, p.b, sum(x.idf * y.idf) AS dot FROM p JOIN v x ON x.doc_id = p.a JOIN v y ON y.doc_id = p.b AND x.word = y.word GROUP BY ALL)
     SELECT p.a, p.b, round(coalesce(dot / nullif(na.norm * nb.norm, 0), 0), 6) AS similarity FROM p LEFT JOIN d ON d.a = p.a AND d.b = p.b LEFT JOIN nm na ON na.doc_id = p.a LEFT JOIN nm nb ON nb.doc_id = p.b""",
 )
-def desc_similarity(t):
-    ids = words(t).select("doc_id")
+def desc_similarity(t, docs=english):
+    ids = words(t, docs).select("doc_id")
     pairs = ids.select(F.col("doc_id").alias("a"), (F.col("doc_id") + 1).alias("b")).join(ids.select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b")
-    return H.text_similarity(pairs, tfidf(t), "doc_id", "a", "b").withColumn("similarity", F.round("similarity", 6))
+    return H.text_similarity(pairs, tfidf(t, docs), "doc_id", "a", "b").withColumn("similarity", F.round("similarity", 6))
+
+
+@query("q_desc_similarity_all", over_all("q_desc_similarity"))
+def desc_similarity_all(t):
+    return desc_similarity(t, every)
 
 
 @query(
@@ -184,10 +223,18 @@ def translate_reduced(t):
 
 @query("q_orf_split", "SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, orf FROM (SELECT doc_id, unnest(f) AS orf, unnest(range(1, len(f) + 1)) AS pos FROM (SELECT doc_id, list_filter(string_split_regex(text, '[ex]+'), lambda s: length(s) >= 20) AS f FROM documents WHERE lang = 'en'))")
 def orf_split(t):
-    d = t.documents.filter(F.col("lang") == "en")
+    return orfs(t.documents.filter(F.col("lang") == "en"))
+
+
+def orfs(d):
     return d.select("doc_id", F.posexplode(F.filter(F.split("text", "[ex]+"), lambda s: F.length(s) >= 20)).alias("pos", "orf"))
 
 
+@query("q_orf_split_all", ORACLES["q_orf_split"].replace(" WHERE lang = 'en'", ""))
+def orf_split_all(t):
+    return orfs(every(t))
+
+
 @query("q_wrap60", "SELECT p_partkey, regexp_replace(regexp_replace(p_name || p_type || p_brand || p_name, '(.{10})', '\\1' || chr(10), 'g'), '\\n$', '') AS wrapped FROM part")
 def wrap60(t):
     return t.part.select("p_partkey", X.wrap(F.concat("p_name", "p_type", "p_brand", "p_name"), 10).alias("wrapped"))
