@@ -27,11 +27,12 @@ def ascii_upper(c: Column | str) -> Column:
     return F.translate(c, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
-def clean_description(c: Column, drop_codes: bool = False) -> Column:
+def clean_description(c: Column, drop_codes: bool = False, upper=F.upper) -> Column:
     """Upper-cased description without tag tail, brackets and punctuation.
 
     A description left as one word with a digit becomes HYPOTHETICAL PROTEIN;
-    ``drop_codes`` removes words that mix letters and digits.  Null stays null.
+    ``drop_codes`` removes words that mix letters and digits.  ``upper`` is
+    the upper-casing of letters.  Null stays null.
     """
     t = F.regexp_replace(F.trim(c), r" \w{2}=.*$", "")
     t = F.regexp_replace(t, r"[()\[\]{}]", "")
@@ -43,7 +44,7 @@ def clean_description(c: Column, drop_codes: bool = False) -> Column:
     else:
         many = t
     coded = (F.size(words) == 1) & t.rlike("[0-9]")
-    return F.trim(F.upper(F.when(coded, F.lit("Hypothetical protein")).otherwise(many)))
+    return F.trim(upper(F.when(coded, F.lit("Hypothetical protein")).otherwise(many)))
 
 
 def form_factor(c: Column, upper=F.upper) -> Column:

@@ -11,7 +11,7 @@ from tarnflow.operators import features as G
 from tarnflow.operators import taxonomy as T
 
 from .q_structure import _PAIRS, _UP, closure, intervals, next_pairs, tree
-from .registry import query
+from .registry import ORACLES, query
 
 
 @query(
@@ -59,10 +59,18 @@ def feature_aggregate(t):
 
 @query("q_database_offsets", "SELECT count(*) AS n, CAST(sum(length(left(p_name, 8)) + 1) AS BIGINT) AS total, 0 AS overlaps FROM part")
 def database_offsets(t):
-    d = G.split_database(t.part.select("p_partkey", F.col("p_name").alias("seq")), "p_partkey", 8)
+    return offsets(G.split_database(t.part.select("p_partkey", F.col("p_name").alias("seq")), "p_partkey", 8))
+
+
+def offsets(d):
     return d.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("offset") + F.length("seq") + 1).alias("total"), (F.count(F.lit(1)) - F.count_distinct("offset")).cast("int").alias("overlaps"))
 
 
+@query("q_database_offsets_all", ORACLES["q_database_offsets"].replace("left(p_name, 8)", "left(p_name, 64000)"))
+def database_offsets_all(t):
+    return offsets(G.split_database(t.part.select("p_partkey", F.col("p_name").alias("seq")), "p_partkey"))
+
+
 @query("q_gc_model", "SELECT p_partkey, CAST(least(70, greatest(30, floor(100.0 * length(regexp_replace(upper(p_name), '[^GCAT]', '', 'g')) / length(p_name) + 0.5))) AS INTEGER) AS model FROM part")
 def gc_model(t):
     share = 100.0 * F.length(F.regexp_replace(F.upper("p_name"), "[^GCAT]", "")) / F.length("p_name")

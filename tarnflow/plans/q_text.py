@@ -48,6 +48,14 @@ def clean_text(t):
     return english(t).select("doc_id", X.clean_description(F.split("text", "\n")[0]).alias("cleaned"))
 
 
+@query("q_clean_text_all")
+def clean_text_all(t):
+    """Every line of every document as a description of its own; a null text
+    has one row without a line."""
+    lines = every(t).select("doc_id", F.posexplode_outer(F.split("text", "\r?\n", -1)).alias("line", "text"))
+    return lines.select("doc_id", "line", X.clean_description(F.col("text"), upper=X.ascii_upper).alias("cleaned"))
+
+
 _TERMS = " + ".join(f"CASE WHEN contains(t, '{k}') THEN {v} ELSE 0 END" for k, v in X.PENALTIES.items())
 
 
@@ -62,7 +70,7 @@ def form_factor(t):
     return english(t).select("doc_id", F.round(X.form_factor(F.col("text")), 6).alias("ff"))
 
 
-@query("q_form_factor_all", over_all("q_form_factor"))
+@query("q_form_factor_all", over_all("q_form_factor").replace("length(t) = 0", "coalesce(length(t), 0) = 0"))
 def form_factor_all(t):
     return every(t).select("doc_id", F.round(X.form_factor(F.col("text"), X.ascii_upper), 6).alias("ff"))
 

@@ -18,18 +18,22 @@ TEXTS = [
     (4, "los niños words here ıſ", "es"),
     (5, "Rows of no language words here; a long unusual bit of plain prosaic copy", None),
     (6, "", "en"),
+    (7, "Kinase (beta) OS=Some species\r\nP53\n\nnaïve a/b-c", "fr"),
+    (8, None, "en"),
 ]
+NAMES = ["short", "a name of more than eight characters", "n" * 300]
 
 
 @pytest.fixture(scope="module")
 def few(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("few")
+    pd.DataFrame([(i, n) for i, n in enumerate(NAMES)], columns=["p_partkey", "p_name"]).to_parquet(folder / "part.parquet")
     pd.DataFrame(TEXTS, columns=["doc_id", "text", "lang"]).to_parquet(folder / "documents.parquet")
     return str(folder)
 
 
 def brute_counts():
-    return Counter(w for _, t, _ in TEXTS for w in re.findall("[A-Z]+", re.sub("[a-z]", lambda m: m[0].upper(), t)))
+    return Counter(w for _, t, _ in TEXTS if t for w in re.findall("[A-Z]+", re.sub("[a-z]", lambda m: m[0].upper(), t)))
 
 
 def run(spark, name, folder):
@@ -41,13 +45,13 @@ def test_words_of_all_languages_count(spark, few):
     assert counts["WORDS"] == 5 and "STRA" in counts and "STRASSE" not in counts
     assert {r.word: r.cnt for r in run(spark, "q_word_counts_all", few)} == counts
     total = sum(counts.values())
-    of = {i: {w: math.log(total / counts[w]) for w in re.findall("[A-Z]+", re.sub("[a-z]", lambda m: m[0].upper(), t))} for i, t, _ in TEXTS}
+    of = {i: {w: math.log(total / counts[w]) for w in re.findall("[A-Z]+", re.sub("[a-z]", lambda m: m[0].upper(), t))} for i, t, _ in TEXTS if t}
     norm = {i: math.sqrt(sum(x * x for x in v.values())) for i, v in of.items()}
     got = {(r.doc_id, r.word): r.idf for r in run(spark, "q_tfidf_words_all", few)}
     assert got == {(i, w): pytest.approx(x, abs=1e-6) for i, v in of.items() for w, x in v.items()}
     assert {r.doc_id: r.norm for r in run(spark, "q_tfidf_norm_all", few)} == {i: pytest.approx(n, abs=1e-5) for i, n in norm.items() if n}
-    dot = lambda a, b: sum(x * of[b].get(w, 0) for w, x in of[a].items())
-    want = {(a, a + 1): pytest.approx(dot(a, a + 1) / (norm[a] * norm[a + 1]) if norm[a] * norm[a + 1] else 0, abs=1e-6) for a in range(1, 6)}
+    dot = lambda a, b: sum(x * of.get(b, {}).get(w, 0) for w, x in of.get(a, {}).items())
+    want = {(a, a + 1): pytest.approx(dot(a, a + 1) / (norm[a] * norm[a + 1]) if norm.get(a) and norm.get(a + 1) else 0, abs=1e-6) for a in range(1, 8)}
     assert {(r.a, r.b): r.similarity for r in run(spark, "q_desc_similarity_all", few)} == want
 
 
@@ -58,3 +62,23 @@ def test_all_documents_equal_sql(spark, few, name):
     got = sorted(tuple(r) for r in run(spark, name, few))
     assert got == sorted(con.execute(catalogue.oracle_sql()[name]).fetchall())
     assert {r[0] for r in got} >= {1, 5}
+
+
+def plain_clean(line):
+    t = re.sub(r" \w\w=.*$", "", line.strip(" "), flags=re.A)
+    t = re.sub(r"""["/=\\:;,|%.#!<>?_'^+-]""", " ", re.sub(r"[()\[\]{}]", "", t))
+    words = [w for w in re.split(r"\s+", t, flags=re.A) if w]
+    t = "Hypothetical protein" if len(words) == 1 and re.search("[0-9]", t) else t
+    return re.sub("[a-z]", lambda m: m[0].upper(), t).strip(" ")
+
+
+def test_every_line_is_cleaned(spark, few):
+    want = {(i, k): plain_clean(x) for i, t, _ in TEXTS if t is not None for k, x in enumerate(re.split("\r?\n", t))}
+    got = {(r.doc_id, r.line): r.cleaned for r in run(spark, "q_clean_text_all", few)}
+    assert got == want | {(8, None): None}
+    assert got[7, 0] == "KINASE BETA" and got[7, 1] == "HYPOTHETICAL PROTEIN" and got[7, 3] == "NAïVE A B C"
+
+
+def test_whole_names_have_offsets(spark, few):
+    (r,) = run(spark, "q_database_offsets_all", few)
+    assert (r.n, r.total, r.overlaps) == (3, sum(len(n) + 1 for n in NAMES), 0)
