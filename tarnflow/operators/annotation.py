@@ -15,6 +15,7 @@ from tarnflow.functions import scores as S
 from tarnflow.functions import text as X
 from tarnflow.params import Params
 
+from . import clustering as C
 from . import hits as H
 from . import joins as J
 from .registry import Sheets, operator
@@ -90,6 +91,29 @@ def word_scores(sheets: Sheets, p: Params) -> Sheets:
     return {"data": d.join(s, [p.block_column, "spid"])}
 
 
+@operator("tfidf", needs=("word", "spid"))
+def tfidf(sheets: Sheets, p: Params) -> Sheets:
+    """A map from a hit's words to their idf; unknown words count once, as in
+    word_scores."""
+    q, d = p.block_column, sheets["data"]
+    total = F.broadcast(sheets["words"].agg(F.sum("cnt").cast("double").alias("total")))
+    each = d.select(q, "spid", F.explode(F.array_distinct("word")).alias("w")).join(sheets["words"].select(F.col("word").alias("w"), "cnt"), "w", "left").crossJoin(total)
+    idf = F.log(F.col("total") / F.greatest(F.coalesce("cnt", F.lit(1)), F.lit(1)))
+    vectors = each.groupBy(q, "spid").agg(F.map_from_entries(F.collect_list(F.struct("w", F.coalesce(idf, F.lit(0.0))))).alias("termidf"))
+    return {"data": d.join(vectors, [q, "spid"], "left").withColumn("termidf", F.coalesce("termidf", F.create_map().cast("map<string,double>")))}
+
+
+@operator("clustering", needs=("termidf", "spid"))
+def clustering(sheets: Sheets, p: Params) -> Sheets:
+    """Average linkage of all of a block's hits by the cosine of their idf
+    vectors, cut at cluster_cut."""
+    q, d = p.block_column, sheets["data"]
+    features = d.groupBy(q).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("termidf"))))).alias("features"))
+    vector = F.transform("features", lambda w: F.coalesce(F.try_element_at("termidf", w), F.lit(0.0)))
+    ids = C.cluster(d.join(features, q).select(q, "spid", vector.alias("vector")), q, "spid", "vector", p.cluster_cut)
+    return {"data": d.join(ids, [q, "spid"])}
+
+
 @operator("terms", needs=("status", "spid"))
 def terms(sheets: Sheets, p: Params) -> Sheets:
     """Terms of accepted hits, one row each."""
@@ -140,23 +164,26 @@ def summary(sheets: Sheets, p: Params) -> Sheets:
     return {"anno": out}
 
 
-@operator("best_description", needs=("de_status", "value", "jaccard", "ff", "cleandesc", "rm1"))
+@operator("best_description", needs=("de_status", "value", "jaccard", "ff", "cleandesc", "rm1", "clusid"))
 def best_description(sheets: Sheets, p: Params) -> Sheets:
-    """Clusters hits by cleaned description, scores the clusters and keeps each
-    block's best with its most informative description."""
+    """Scores the clusters of a block's hits and keeps the best one with its
+    most informative description.  A cluster's size in the background is the
+    sum of its different descriptions' counts."""
     q, d = p.block_column, sheets["data"].filter("de_status")
     block = H.sample_statistics(d, [q], F.col("rm1"))
     n_all = sheets["descriptions"].agg(F.sum("cnt").alias("all"))
-    c = d.groupBy(q, "cleandesc").agg(
-        F.count(F.lit(1)).alias("size"), F.sum("rm1").alias("rm1sum"), F.avg("value").alias("val"), F.avg("jaccard").alias("jac"), F.max_by("desc", F.struct("ff", F.col("bits").cast("double"))).alias("desc")
+    informs = F.struct("ff", F.col("bits").cast("double"), "desc")
+    c = d.groupBy(q, "clusid").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("rm1").alias("rm1sum"), F.avg("value").alias("val"), F.avg("jaccard").alias("jac"), F.max_by("desc", informs).alias("desc"), F.max_by("cleandesc", informs).alias("cleandesc")
     )
-    c = J.lookup(c, F.col("cleandesc"), sheets["descriptions"].select(F.col("cleandesc").alias("__d"), "cnt"), "__d", {"cnt": 1}).join(block, q).crossJoin(F.broadcast(n_all))
+    kinds = J.lookup(d.select(q, "clusid", "cleandesc").distinct(), F.col("cleandesc"), sheets["descriptions"].select(F.col("cleandesc").alias("__d"), "cnt"), "__d", {"cnt": 1})
+    c = c.join(kinds.groupBy(q, "clusid").agg(F.sum("cnt").alias("cnt")), [q, "clusid"]).join(block, q).crossJoin(F.broadcast(n_all))
     c = c.withColumn("gsz", S.gsz(F.col("n"), F.col("rm1sum"), F.col("mean"), F.col("variance"), F.col("cnt"), F.col("all")))
     c = c.withColumn("rm2", S.rm2(F.col("val"), F.col("jac"), F.col("gsz")))
-    return {"cluster": H.top(c, [q], [F.desc("rm2"), F.asc("cleandesc")]).drop("rank", "all", "mean", "variance")}
+    return {"cluster": H.top(c, [q], [F.desc("rm2"), F.asc("cleandesc"), F.asc("clusid")]).drop("rank", "all", "mean", "variance")}
 
 
 #: Plans by name.
-DESCRIBE = ["filter", "form_factor", "description_status", "clean_description", "lineage", "taxonomic_distance", "rm1", "words", "word_scores", "best_description"]
+DESCRIBE = ["filter", "form_factor", "description_status", "clean_description", "lineage", "taxonomic_distance", "rm1", "words", "word_scores", "tfidf", "clustering", "best_description"]
 PREDICT = ["filter", "lineage", "taxonomic_distance", "rm1", "terms", "class_scores"]
 ANNOTATE = [*DESCRIBE, "terms", "class_scores", "summary"]

@@ -42,7 +42,7 @@ def sheets(t: Tables) -> registry.Sheets:
 
 #: Sheets that later operators read several times, by the operator after which
 #: they are stored.
-STORED = {"rm1": "data", "word_scores": "data", "class_scores": "goclass"}
+STORED = {"rm1": "data", "word_scores": "data", "clustering": "data", "class_scores": "goclass"}
 
 
 def run(plan: list[str], s: registry.Sheets) -> registry.Sheets:

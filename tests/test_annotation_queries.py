@@ -6,6 +6,8 @@ from collections import Counter
 import pandas as pd
 import pytest
 
+from tarnflow.operators import annotation, registry
+from tarnflow.params import Params
 from tarnflow.plans import catalogue
 
 
@@ -37,3 +39,23 @@ def test_terms_of_all_accepted_hits(spark, sf, lines):
     want = Counter((r.l_orderkey, x) for r in lines.itertuples() for x in (r.p_type, r.p_brand))
     assert {(r.qpid, r.goid): r.k for r in got.itertuples()} == dict(want)
     assert (got[got.argot_rank == 1].groupby(["qpid", "ontology"]).size() == 1).all()
+
+
+def test_worded_variants_are_one_cluster(spark):
+    descs = ["Serine kinase alpha", "Serine kinase", "Serine kinase beta", "Sugar permease", "Sugar permease"]
+    hits = [("q", f"A{i}", 100.0 - i, 0.9, 0.9, 0.8 - i / 100, 200.0, x, "S1") for i, x in enumerate(descs)]
+    words = {"SERINE": 20, "KINASE": 30, "ALPHA": 400, "BETA": 400, "SUGAR": 20, "PERMEASE": 10}
+    sheets = {
+        "data": spark.createDataFrame(hits, "qpid string, spid string, bits double, qcov double, scov double, pide double, lali double, desc string, species string"),
+        "lineage": spark.createDataFrame([("S1", "Bacteria; A; Y")], "species string, lineage string"),
+        "words": spark.createDataFrame(list(words.items()), "word string, cnt long"),
+        "descriptions": spark.createDataFrame([("SERINE KINASE", 40), ("SERINE KINASE ALPHA", 5), ("SUGAR PERMEASE", 60)], "cleandesc string, cnt long"),
+    }
+    out = registry.run(annotation.DESCRIBE, sheets)
+    ids = {r.spid: r.clusid for r in out["data"].collect()}
+    assert ids["A0"] == ids["A1"] == ids["A2"] != ids["A3"] == ids["A4"]
+    (best,) = out["cluster"].collect()
+    # Counts of the variants; the unknown one counts once.
+    assert (best.desc, best.size, best.cnt) == ("Serine kinase alpha", 3, 46)
+    cut = registry.run(annotation.DESCRIBE, sheets, Params(cluster_cut=0.0001))["data"]
+    assert cut.select("clusid").distinct().count() == 4
