@@ -23,7 +23,7 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are boilerplate of their source go; n_chars follows."""
-    cut = line_dedup.drop_boilerplate(docs, F.col("source"))
+    cut = line_dedup.drop_boilerplate(docs, F.col("source"), line_dedup.EVERY_SITE)
     return cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

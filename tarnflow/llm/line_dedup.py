@@ -28,6 +28,12 @@ class LineRule:
     #: Hosts of fewer pages keep all lines; lines on fewer pages are kept.
     min_pages: int = 20
     min_line_pages: int = 5
+    #: Whether pages that would lose all their lines are kept as they are.
+    keep_copies: bool = True
+
+
+#: The ratio alone, for sites of any size: a line on two pages or more.
+EVERY_SITE = LineRule(min_pages=2, min_line_pages=2)
 
 
 def url_host(url: Column) -> Column:
@@ -62,7 +68,9 @@ def drop_boilerplate(docs: DataFrame, host: Column, rule: LineRule = LineRule(),
 
     A page's boilerplate lines go.  A page that would lose all its lines that
     aren't blank is kept as it is: its lines are common because the page was
-    copied, which is for document-level stages to judge.  Lines count once for
+    copied, which is for document-level stages to judge.  Without keep_copies
+    such a page loses them too, they count, and a column all_boilerplate marks
+    it.  Lines count once for
     a page and are compared without blanks at their ends; blank lines stay.  A
     null text stays null; a null host has no site, so the page keeps all
     lines; rows that repeat are pages of their own; an empty table gives an
@@ -90,9 +98,12 @@ def drop_boilerplate(docs: DataFrame, host: Column, rule: LineRule = LineRule(),
     kept = F.filter(lines, lambda s: (_trimmed(s) == "") | ~is_bad(s))
     marked = joined.withColumn(inner["lines"], F.when(F.col(inner["bad"]).isNotNull() & text.isNotNull(), kept))
     some = F.exists(F.col(inner["lines"]), lambda s: _trimmed(s) != "")
-    changed = F.coalesce(some & (F.size(inner["lines"]) < F.size(lines)), F.lit(False))
+    fewer = F.coalesce(F.size(inner["lines"]) < F.size(lines), F.lit(False))
+    changed = F.coalesce(some, F.lit(False)) & fewer if rule.keep_copies else fewer
+    mark = {} if rule.keep_copies else {"all_boilerplate": fewer & ~some}
     return marked.withColumns(
-        {
+        mark
+        | {
             "n_dropped": F.when(changed, F.size(lines) - F.size(inner["lines"])).otherwise(0).cast("long"),
             text_col: F.when(changed, F.array_join(inner["lines"], "\n")).otherwise(text),
         }
