@@ -2,8 +2,9 @@
 cluster's shared folder, word hashing, and session settings for Arrow batches.
 
 Scratch tables live under ``spark.checkpoint.dir`` (a folder that the driver
-and all executors see).  Where that setting is missing, as in tests, a local
-temporary folder stands in for it.
+and all executors see).  Where that setting is missing and driver and
+executors are one machine, as in tests, a temporary folder stands in for it; on
+a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that all machines share, from ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL:
             _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="tarnflow-")
@@ -52,22 +55,13 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/tarnflow/{tag}-{uuid.uuid4().hex}"
 
 
-#: Rows of a file of a narrow table.
-FILE_ROWS = 1_000_000
-
-
-def materialise(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
+def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     survives lost executors and is computed once however often it is read.
-
-    rows: about how many narrow rows there will be at most; the table then has
-    as many files as that needs, but at least one for each core, and not one
-    for each shuffle partition.
-    """
+    Nothing is coalesced in front of the write, as that would take the
+    parallelism from the work; Spark joins small partitions by itself."""
     spark = df.sparkSession
     path = scratch(spark, tag)
-    if rows is not None:
-        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -94,13 +88,39 @@ def filesystem(uri: str):
 def write_file(uri: str, *buffers) -> None:
     """Write whole and then rename, so that a retried or speculative task
     leaves either nothing or a complete file."""
+    write_stream(uri, buffers)
+
+
+def write_stream(uri: str, buffers) -> int:
+    """write_file of buffers that are made one by one; their bytes."""
     fs, path = filesystem(uri)
     fs.create_dir(path.rpartition("/")[0], recursive=True)
-    temporary = f"{path}.{uuid.uuid4().hex}.tmp"
+    temporary, size = f"{path}.{uuid.uuid4().hex}.tmp", 0
     with fs.open_output_stream(temporary) as out:
         for b in buffers:
             out.write(b)
+            size += len(b)
     fs.move(temporary, path)
+    return size
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Column names like ``names`` that aren't among ``taken``."""
+    lower = {t.lower() for t in taken}
+    out = []
+    for n in names:
+        while n.lower() in lower:
+            n += "_"
+        lower.add(n.lower())
+        out.append(n)
+    return out
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Spark's own estimate of a plan's size; of a scan, its files' bytes.
+    Nothing is read.  None where there is no estimate, as for local rows."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 55 else None
 
 
 def on_table(function, *arguments):
@@ -133,30 +153,17 @@ def text_or_empty(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-#: Ids up to this many are sent to all tasks (8 bytes each).
-SENT_IDS = 2_000_000
-
-
-def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose key is among ``ids`` (one column).  The
-    ids are stored and counted first: few of them go to all tasks, so that
-    texts needn't be moved; more are joined by key.  Rows without a key stay."""
-    gone = materialise(ids.select(F.col(ids.columns[0]).alias("__gone")).filter("__gone is not null").distinct(), "gone")
-    if gone.count() <= SENT_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
-
-
 #: What a Python worker keeps between its tasks: name -> how to let go of it.
 _KEPT: dict[object, object] = {}
 _USER: list[object] = [None]
 
 
-def claim(user: object, release) -> None:
+def claim(user: object, release, beside: object = None) -> None:
     """A worker serves many operators in turn.  The one that is at work keeps
-    its store; all others' are let go, so that they never add up."""
+    its store (and that of ``beside``, which works with it); all others' are
+    let go, so that they never add up."""
     if _USER[0] != user:
-        for name in [n for n in _KEPT if n != user]:
+        for name in [n for n in _KEPT if n not in (user, beside)]:
             _KEPT.pop(name)()
         _USER[0] = user
     _KEPT[user] = release
@@ -184,7 +191,7 @@ _HASHES = WordHashes()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    claim("word hashes", _HASHES.clear)
+    claim("word hashes", _HASHES.clear, beside="benchmark index")
     return _HASHES.of(words)
 
 
@@ -216,3 +223,15 @@ def space_words(text: str) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased and nothing else.
     On UTF-8 bytes both are what bytes.lower and bytes.split do."""
     return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+#: Bytes for each core below which a table is dealt out before Python work.
+SPREAD_BYTES = 4 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table may lie in one row group, which one task would read: below
+    SPREAD_BYTES a core its rows are dealt to all cores.  Larger tables have
+    row groups enough and stay where they are."""
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, input_bytes(df)
+    return df.repartition(2 * cores) if size is not None and size < SPREAD_BYTES * cores else df

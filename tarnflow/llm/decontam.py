@@ -9,20 +9,27 @@ ten words or more are hits.
 
 Items of fewer than ten words are one window of their own length.  No
 winnowing reaches them, so all runs of that length are looked up.
+
+Words are compared by their 64-bit hashes.  A benchmark of up to BLOCK_BYTES
+goes to all tasks as sorted arrays, and documents are read once and not moved.
+A larger one stays where it is: documents' fingerprints that pass a bitmap of
+the benchmark's are joined with these by hash, and matches are extended where
+the document's and the items' words meet, also after one pass over the texts.
 """
 
 from __future__ import annotations
 
-import hashlib
 import pickle
+import uuid
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, materialise, tune, word_hashes
+from .common import claim, gram_hashes, materialise, mix64, spread, tune, word_hashes
 
 #: Words are runs of 0-9, a-z (A-Z lower-cased) and all that isn't ASCII.
 _WORD = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
@@ -57,77 +64,105 @@ def winnowed(grams: np.ndarray, w: int) -> np.ndarray:
     return np.unique(place + np.arange(n))
 
 
+def prints_of(words: np.ndarray, how: Winnow) -> tuple[np.ndarray, np.ndarray, int]:
+    """(hashes, places, words of a gram) of an item's fingerprints."""
+    if len(words) < how.window:
+        return gram_hashes(words, len(words)), np.zeros(1, np.int64), len(words)
+    grams = gram_hashes(words, how.k)
+    places = winnowed(grams, how.w)
+    return grams[places], places, how.k
+
+
+def sized(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Tells grams of different lengths apart."""
+    return mix64(hashes + np.uint64(n))
+
+
+def same_run(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the common start."""
+    n = min(len(x), len(y))
+    differ = x[:n] != y[:n]
+    first = int(differ.argmax()) if n else 0
+    return first if n and differ[first] else n
+
+
+def extend(words: np.ndarray, other: np.ndarray, p: int, q: int, n: int) -> tuple[int, int] | None:
+    """The longest common run around words[p:p+n] == other[q:q+n]."""
+    if same_run(words[p : p + n], other[q : q + n]) < n:
+        return None
+    a = p - same_run(words[max(0, p - q) : p][::-1], other[:q][::-1])
+    return a, p + n + same_run(words[p + n :], other[q + n :])
+
+
+class Extender:
+    """Spans of one document from matches with one item after another."""
+
+    def __init__(self, words: np.ndarray, how: Winnow):
+        self.words, self.how, self.spans = words, how, []
+
+    def item(self, other: np.ndarray, places: list[tuple[int, int]]) -> bool:
+        """places: (p, q) of equal grams, by p.  Whether a window occurs."""
+        short = len(other) < self.how.window
+        n, found = len(other) if short else self.how.k, False
+        reached: dict[int, int] = {}  # diagonal -> end of its last run
+        for p, q in places:
+            if reached.get(p - q, -1) > p and not short:
+                continue
+            run = (p, p + n) if short and same_run(self.words[p : p + n], other) == n else None if short else extend(self.words, other, p, q, n)
+            if run is None:
+                continue
+            reached[p - q] = run[1]
+            if short or run[1] - run[0] >= self.how.window:
+                self.spans.append(run)
+                found = True
+        return found
+
+
 class Index:
-    """Fingerprints of one block of benchmark items."""
+    """Fingerprints of a benchmark as sorted arrays."""
 
     def __init__(self, items: list[tuple[object, str | None]], how: Winnow):
-        self.how, self.items = how, []
-        prints: dict[int, list[tuple[int, int]]] = {}
-        self.short: dict[int, dict[int, list[int]]] = {}
+        self.how, self.names, self.words = how, [], []
+        keys, owners, places = [], [], []
+        self.lengths: set[int] = set()  # of items that are one shorter window
         for item_id, text in items:
-            words = words_of(text)
-            if not words:
+            words = word_hashes(words_of(text))
+            if not len(words):
                 continue
-            at = len(self.items)
-            self.items.append((item_id, words))
-            hashes = word_hashes(words)
+            hashes, at, n = prints_of(words, how)
             if len(words) < how.window:
-                n = len(words)
-                self.short.setdefault(n, {}).setdefault(int(gram_hashes(hashes, n)[0]), []).append(at)
-                continue
-            grams = gram_hashes(hashes, how.k)
-            for q in winnowed(grams, how.w).tolist():
-                prints.setdefault(int(grams[q]), []).append((at, q))
-        self.keys = np.array(sorted(prints), np.uint64)
-        self.places = [prints[int(k)] for k in self.keys]
-        self.short_keys = {n: np.array(sorted(d), np.uint64) for n, d in self.short.items()}
-
-    @staticmethod
-    def _found(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places in values, places in keys) of equal ones."""
-        if not len(keys) or not len(values):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-        hit = np.flatnonzero(keys[at] == values)
-        return hit, at[hit]
-
-    def match(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+                self.lengths.add(n)
+            keys.append(sized(hashes, n))
+            owners.append(np.full(len(at), len(self.names), np.int64))
+            places.append(at)
+            self.names.append(None if item_id is None else str(item_id))
+            self.words.append(words)
+        keys, owners, places = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (keys, owners, places))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners, self.places = keys[order].astype(np.uint64), owners[order], places[order]
+
+    def match(self, words: np.ndarray) -> tuple[list[tuple[int, int]], set[int]]:
         """(spans of words that are hit, items with a window that occurs)."""
-        spans: list[tuple[int, int]] = []
-        items: set[int] = set()
-        if not words:
-            return spans, items
-        hashes, how = word_hashes(words), self.how
-        grams = gram_hashes(hashes, how.k)
-        kept = winnowed(grams, how.w)
-        reached: dict[tuple[int, int], int] = {}  # (item, diagonal) -> end of its last run
-        hit, key = self._found(self.keys, grams[kept])
-        for p, k in zip(kept[hit].tolist(), key.tolist()):
-            for item, q in self.places[k]:
-                if reached.get((item, p - q), -1) > p:
-                    continue
-                other = self.items[item][1]
-                if words[p : p + how.k] != other[q : q + how.k]:
-                    continue
-                a, b = p, q
-                while a and b and words[a - 1] == other[b - 1]:
-                    a, b = a - 1, b - 1
-                z, y = p + how.k, q + how.k
-                while z < len(words) and y < len(other) and words[z] == other[y]:
-                    z, y = z + 1, y + 1
-                reached[item, p - q] = z
-                if z - a >= how.window:
-                    spans.append((a, z))
-                    items.add(item)
-        for n, keys in self.short_keys.items():
-            grams = gram_hashes(hashes, n)
-            hit, key = self._found(keys, grams)
-            for p, k in zip(hit.tolist(), key.tolist()):
-                for item in self.short[n][int(keys[k])]:
-                    if words[p : p + n] == self.items[item][1]:
-                        spans.append((p, p + n))
-                        items.add(item)
-        return spans, items
+        look = Extender(words, self.how)
+        matches: dict[int, list[tuple[int, int]]] = {}
+        for keys, at in looked_up(words, self.how, self.lengths):
+            low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
+            for i in np.flatnonzero(high > low).tolist():
+                for j in range(low[i], high[i]):
+                    matches.setdefault(int(self.owners[j]), []).append((int(at[i]), int(self.places[j])))
+        found = {item for item, places in matches.items() if look.item(self.words[item], sorted(places))}
+        return look.spans, found
+
+
+def looked_up(words: np.ndarray, how: Winnow, lengths: set[int]):
+    """(keys, places) of a document's fingerprints: its winnowed grams, and all
+    runs of the shorter windows' lengths."""
+    grams = gram_hashes(words, how.k)
+    kept = winnowed(grams, how.w)
+    yield sized(grams[kept], how.k), kept
+    for n in sorted(lengths):
+        grams = gram_hashes(words, n)
+        yield sized(grams, n), np.arange(len(grams))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -140,46 +175,153 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-#: Bytes of benchmark text that go to all tasks at once.  A larger benchmark
-#: is taken in blocks, one pass over the documents for each.
+#: Bytes of benchmark text that go to all tasks; a larger one is joined.
 BLOCK_BYTES = 32 << 20
-_SPANS = "doc bigint, n_words bigint, spans array<struct<a:bigint,z:bigint>>, items array<string>"
-
-
-def _matcher(broadcast, how: Winnow):
-    def run(batches):
-        index = None
-        for b in batches:
-            if index is None:
-                index = Index(pickle.loads(broadcast.value), how)
-            rows = []
-            for text in b.column("t").to_pylist():
-                words = words_of(text)
-                spans, items = index.match(words)
-                rows.append((len(words), [{"a": a, "z": z} for a, z in merged(spans)], sorted({str(index.items[i][0]) for i in items})))
-            n, spans, items = zip(*rows) if rows else ([], [], [])
+_SPAN = pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))
+_SPANS = "n_words bigint, spans array<struct<a:bigint,z:bigint>>, items array<string>"
+_INDEXES: dict[str, Index] = {}
+
+
+def _spans_column(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"a": a, "z": z} for a, z in s] for s in spans], _SPAN)
+
+
+def _index(name: str, broadcast, how: Winnow) -> Index:
+    """Built once in a worker, not in every task."""
+    claim("benchmark index", _INDEXES.clear, beside="word hashes")
+    if name not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[name] = Index(pickle.loads(broadcast.value), how)
+    return _INDEXES[name]
+
+
+def _matcher(name: str, broadcast, how: Winnow, batches):
+    index = None
+    for b in batches:
+        index = index or _index(name, broadcast, how)
+        n, spans, items = [], [], []
+        for text in b.column("t").to_pylist():
+            words = word_hashes(words_of(text))
+            s, found = index.match(words)
+            n.append(len(words))
+            spans.append(merged(s))
+            items.append(sorted({index.names[i] for i in found} - {None}))
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc"), pa.array(n, pa.int64()), _spans_column(spans), pa.array(items, pa.list_(pa.string()))], ["doc", "n_words", "spans", "items"]
+        )
+
+
+def _clean(name: str, broadcast, how: Winnow, text_col: str, batches):
+    index = None
+    for b in batches:
+        index = index or _index(name, broadcast, how)
+        yield b.filter(pa.array([not index.match(word_hashes(words_of(t)))[0] for t in b.column(text_col).to_pylist()], pa.bool_()))
+
+
+# The way for a benchmark that is too large to send.
+
+
+def _item_words(batches):
+    for b in batches:
+        hashes = [word_hashes(words_of(t)).tobytes() for t in b.column("t").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("name"), pa.array(hashes, pa.binary())], ["name", "words"])
+
+
+def _item_prints(how: Winnow, batches):
+    for b in batches:
+        for item, raw in zip(b.column("item").to_pylist(), b.column("words").to_pylist()):
+            hashes, at, n = prints_of(np.frombuffer(raw, np.uint64), how)
             yield pa.RecordBatch.from_arrays(
-                [
-                    b.column("doc"),
-                    pa.array(n, pa.int64()),
-                    pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))),
-                    pa.array(items, pa.list_(pa.string())),
-                ],
-                ["doc", "n_words", "spans", "items"],
+                [pa.array(sized(hashes, n).view(np.int64)), pa.array(np.full(len(at), item, np.int64)), pa.array(at.astype(np.int64)), pa.array(np.full(len(at), n if n < how.k or len(raw) < 8 * how.window else 0, np.int32))],
+                ["key", "item", "q", "short"],
             )
 
-    return run
 
+def _document_prints(bitmap, bits: int, how: Winnow, lengths: set[int], batches):
+    """One row a document: its words' number and, where some fingerprint passes
+    the bitmap, those and its words."""
+    marks = np.frombuffer(bitmap.value, np.uint8)
+    for b in batches:
+        n, keys, places, words = [], [], [], []
+        for text in b.column("t").to_pylist():
+            own = word_hashes(words_of(text))
+            some = list(looked_up(own, how, lengths))
+            key, at = np.concatenate([k for k, _ in some]), np.concatenate([p for _, p in some])
+            place = key >> np.uint64(64 - bits)
+            there = np.flatnonzero((marks[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1)
+            n.append(len(own))
+            keys.append(key[there].view(np.int64))
+            places.append(at[there].astype(np.int64))
+            words.append(own.tobytes() if len(there) else None)
+        kind = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64()), pa.array(keys, kind), pa.array(places, kind), pa.array(words, pa.binary())], ["doc", "n_words", "keys", "places", "words"])
+
+
+def _extend_rows(how: Winnow, batches):
+    """Rows in order of a document's number, each led by the document's own
+    words (its item is null) and followed by the items that it meets."""
+    row, look, names = None, None, set()
+
+    def done() -> pa.RecordBatch:
+        some = look is not None and look.spans
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row] if some else [], pa.int64()), _spans_column([merged(look.spans)] if some else []), pa.array([sorted(names - {None})] if some else [], pa.list_(pa.string()))], ["row", "spans", "items"]
+        )
 
-def _blocks(benchmark: DataFrame) -> list[bytes]:
-    """Pickled (item_id, text) lists, each of a bounded size."""
-    items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    count = 1 + total // BLOCK_BYTES
-    if count == 1:
-        return [items]
-    spread = items.withColumn("__block", F.pmod(F.xxhash64("text"), F.lit(2 * count)))
-    return [spread.filter(F.col("__block") == i).drop("__block") for i in range(2 * count)]
+    for b in batches:
+        for r, item, name, at, raw in zip(*(b.column(c).to_pylist() for c in ("row", "item", "name", "at", "words"))):
+            words = np.frombuffer(raw, np.uint64)
+            if item is None:
+                yield done()
+                row, look, names = r, Extender(words, how), set()
+            elif look.item(words, sorted((x["p"], x["q"]) for x in at)):
+                names.add(name)
+    yield done()
+
+
+def _bitmap(keys: DataFrame) -> tuple[bytes, int]:
+    """A bitmap of the keys' leading bits, of 16 MB at most: ten bits a key up
+    to 13 million keys, beyond that it lets more pass, and the join drops them."""
+    bits = int(np.clip(np.ceil(np.log2(10 * max(1, keys.count()))), 10, 27))
+    place = F.shiftrightunsigned("key", 64 - bits)
+    found = keys.select(F.shiftright(place, 3).alias("byte"), F.expr(f"shiftleft(1, cast(shiftrightunsigned(key, {64 - bits}) % 8 AS int))").alias("bit")).groupBy("byte").agg(F.bit_or("bit").alias("marks")).toArrow()
+    marks = np.zeros(1 << (bits - 3), np.uint8)
+    marks[found.column("byte").to_numpy()] = found.column("marks").to_numpy()
+    return marks.tobytes(), bits
+
+
+def _joined(rows: DataFrame, items: DataFrame, how: Winnow) -> DataFrame:
+    """(doc, n_words, spans, items) of rows (doc, t) by joins."""
+    spark = rows.sparkSession
+    bench = materialise(items.mapInArrow(_item_words, "name string, words binary").filter(F.length("words") > 0).withColumn("item", F.monotonically_increasing_id()), "items")
+    prints = materialise(bench.select("item", "words").mapInArrow(partial(_item_prints, how), "key bigint, item bigint, q bigint, short int"), "prints")
+    lengths = {r[0] for r in prints.filter("short > 0").select("short").distinct().collect()}  # below the window
+    marks, bits = _bitmap(prints.select("key").distinct())
+    shape = "doc bigint, n_words bigint, keys array<bigint>, places array<bigint>, words binary"
+    shape = shape.replace("doc bigint", f"doc {rows.schema['doc'].dataType.simpleString()}")
+    signed = spread(rows).mapInArrow(partial(_document_prints, spark.sparkContext.broadcast(marks), bits, how, lengths), shape)
+    signed = materialise(signed.withColumn("row", F.monotonically_increasing_id()), "documents")
+    each = signed.filter("words is not null").select("row", F.explode(F.arrays_zip("keys", "places")).alias("k")).select("row", F.col("k.keys").alias("key"), F.col("k.places").alias("p"))
+    met = each.join(prints.select("key", "item", "q"), "key").groupBy("row", "item").agg(F.collect_list(F.struct("p", "q")).alias("at"))
+    met = materialise(met.join(bench, "item").select("row", "item", "name", "at", "words"), "met")
+    lead = signed.select("row", "words").join(met.select("row").distinct(), "row", "left_semi")
+    lead = lead.select("row", F.lit(None).cast("long").alias("item"), F.lit(None).cast("string").alias("name"), F.lit(None).cast(met.schema["at"].dataType).alias("at"), "words")
+    ordered = lead.unionByName(met).repartition("row").sortWithinPartitions("row", F.asc_nulls_first("item"))
+    hits = ordered.mapInArrow(partial(_extend_rows, how), "row bigint, spans array<struct<a:bigint,z:bigint>>, items array<string>")
+    out = signed.select("row", "doc", "n_words").join(hits, "row", "left")
+    none = lambda c: F.array().cast(hits.schema[c].dataType)
+    return out.select("doc", "n_words", *[F.coalesce(c, none(c)).alias(c) for c in ("spans", "items")])
+
+
+def _items(benchmark: DataFrame) -> tuple[DataFrame, bool]:
+    """(name, t) of the items, and whether they are few enough to be sent."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("t"))
+    size = items.agg(F.sum(F.octet_length("t")).alias("t"), F.sum(F.octet_length("name")).alias("n"), F.count(F.lit(1)).alias("c")).first()
+    return items, (size["t"] or 0) + (size["n"] or 0) + 16 * size["c"] <= BLOCK_BYTES
+
+
+def _sent(items: DataFrame):
+    return uuid.uuid4().hex, items.sparkSession.sparkContext.broadcast(pickle.dumps([tuple(r) for r in items.collect()]))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, how: Winnow = Winnow(), id_col: str = "doc_id") -> DataFrame:
@@ -187,31 +329,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, how: Winnow = Winnow(),
     every row; spans are the hit words' runs [a, z).
 
     Null and empty texts have no words; items without words have no window;
-    item ids that repeat count once; long texts are read whole; documents'
-    other columns are not read; empty tables give empty results or no hits.
+    item ids that repeat count once; an item without an id marks words but is
+    counted in neither n_items nor items_sha256; rows that repeat an id have a
+    row each; long texts are read whole; documents' other columns are not read;
+    empty tables give empty results or no hits.
     """
-    spark = docs.sparkSession
-    tune(spark)
+    tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc"), F.col("text").cast("string").alias("t"))
-    blocks = _blocks(benchmark)
-    parts = []
-    for block in blocks:
-        sent = spark.sparkContext.broadcast(pickle.dumps([(r["item_id"], r["text"]) for r in block.collect()]))
-        parts.append((rows, sent))
-    if len(parts) == 1:
-        found = rows.mapInArrow(_matcher(parts[0][1], how), _SPANS)
+    items, few = _items(benchmark)
+    if few:
+        kind = rows.schema["doc"].dataType.simpleString()
+        found = spread(rows).mapInArrow(partial(_matcher, *_sent(items), how), f"doc {kind}, {_SPANS}")
     else:
-        # Number the rows once, so that each block's hits meet again.
-        numbered = materialise(rows.withColumn("doc_row", F.monotonically_increasing_id()), "numbered")
-        each = [numbered.select(F.col("doc_row").alias("doc"), "t").mapInArrow(_matcher(sent, how), _SPANS).filter(F.size("items") > 0) for _, sent in parts]
-        hits = each[0]
-        for e in each[1:]:
-            hits = hits.unionByName(e)
-        grouped = hits.groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-        words = numbered.select("doc", "doc_row", F.size(F.filter(F.split(F.translate("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda s: s != "")).cast("long").alias("n_words"))
-        found = words.join(grouped.withColumnRenamed("doc", "doc_row"), "doc_row", "left").select(
-            "doc", F.greatest(F.coalesce("n_words", F.lit(0)), F.lit(0)).alias("n_words"), _union("spans").alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
-        )
+        found = _joined(rows, items, how)
     # n_hit from the merged spans
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["z"] - x["a"])
     return found.select(
@@ -220,20 +350,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, how: Winnow = Winnow(),
         hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("items") > 0).alias("contaminated"),
+        (F.size("spans") > 0).alias("contaminated"),
         "spans",
     )
 
 
-def _union(column: str):
-    """Runs joined where they touch or overlap."""
-    kind = "struct<a:bigint,z:bigint>"
-    ordered = F.array_sort(F.coalesce(F.col(column), F.array().cast(f"array<{kind}>")))
-    return F.aggregate(
-        ordered,
-        F.array().cast(f"array<{kind}>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["z"] >= x["a"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.try_element_at(done, F.lit(-1))["a"].alias("a"), F.greatest(F.try_element_at(done, F.lit(-1))["z"], x["z"]).alias("z")))),
-        ).otherwise(F.concat(done, F.array(x))),
-    )
+def clean_rows(docs: DataFrame, benchmark: DataFrame, how: Winnow = Winnow(), text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, whole; columns may have
+    any names.  Nulls, repeats and empty tables are as in contamination; rows
+    are judged one by one, so ids aren't needed."""
+    tune(docs.sparkSession)
+    items, few = _items(benchmark)
+    if few:
+        inner = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+        plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+        out = spread(plain).mapInArrow(partial(_clean, *_sent(items), how, inner[text_col]), plain.schema)
+        return out.select(*[F.col(n).alias(c) for c, n in inner.items()])
+    # Texts are named by 128 bits, so equal ones share a verdict.
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2")).alias("h"))
+    texts = docs.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2"), text.alias("t"))
+    dirty = _joined(texts.select(F.concat_ws(" ", "h1", "h2").alias("doc"), "t"), items, how).filter(F.size("spans") > 0).select("doc").distinct()
+    return rows.join(materialise(dirty, "dirty"), F.concat_ws(" ", "h.h1", "h.h2") == F.col("doc"), "left_anti").select("r.*")

@@ -1,18 +1,22 @@
 """Near-duplicate documents: MinHash bands, odd sketches, full sets.
 
-1. One pass makes each document's shingle set, its digest, the keys of its
-   MinHash bands and its odd sketch (every MinHash sample toggles one bit).
-2. Documents with equal sets are one class, stood for by the least doc_id.
+1. One pass makes each row's shingle set, its digest, the keys of its MinHash
+   bands and its odd sketch (every MinHash sample toggles one bit), and numbers
+   the rows.  All that follows goes by these numbers, so ids may be missing or
+   repeat.
+2. Rows with equal sets are one class, stood for by the least row.
 3. Representatives that share a band are candidates.  In each bucket all are
    compared with one pivot, so a bucket of m costs m - 1 pairs, not m * m / 2.
    The first bands join most of a group of copies; the others then compare
    only what lies in different components, first with the pivot and, where
-   that leaves several components among the rest, with each other.
+   that leaves several components among the rest, with each other, in cells of
+   bounded size.
 4. A candidate must pass the sketches' estimate (population count of the XOR)
    and is then confirmed on the full sets of both texts.  A second bitmap holds
    the parity of the whole set: its XOR never has more bits than the sets have
    different shingles, so it rules out pairs for certain, and nearly all that
-   fall short where texts are not very long.
+   fall short where texts are not very long.  Only candidates' sets move, each
+   pivot's once for each bounded part of its partners.
 
 At similarity 0.8, 40 bands of 6 miss a pair with probability 5e-6, and the
 margin of the sketch test is more than five standard deviations.
@@ -22,16 +26,15 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import OrderedDict
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, materialise, mix64, space_words, tune, word_hashes
+from .common import gram_hashes, materialise, mix64, scratch, space_words, spread, tune, word_hashes
 
 
 @dataclass(frozen=True)
@@ -103,7 +106,12 @@ class _Hasher:
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-_SIGNATURE = "doc bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>, whole array<bigint>"
+_SIGNATURE = "doc bigint, h1 bigint, h2 bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch array<bigint>, whole array<bigint>"
+
+
+def text_key(text: Column) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2")]
 
 
 def _signatures(rule: NearRule, batches):
@@ -126,53 +134,86 @@ def _signatures(rule: NearRule, batches):
                 whole.append(None)
         kind = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, kind), pa.array(sketch, kind), pa.array(whole, kind)],
-            ["doc", "n_shingles", "digest", "bands", "sketch", "whole"],
+            [*(b.column(c) for c in ("doc", "h1", "h2")), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, kind), pa.array(sketch, kind), pa.array(whole, kind)],
+            ["doc", "h1", "h2", "n_shingles", "digest", "bands", "sketch", "whole"],
         )
 
 
-def _confirm(rule: NearRule, batches):
-    """Pairs whose full sets are similar enough."""
-    sets: OrderedDict[int, np.ndarray] = OrderedDict()
-
-    def of(doc: int, text: str) -> np.ndarray:
-        if doc in sets:
-            sets.move_to_end(doc)
-            return sets[doc]
-        sets[doc] = s = shingle_set(space_words(text or ""), rule.shingle)
-        if len(sets) > 16:
-            sets.popitem(last=False)
-        return s
-
+def _sets(rule: NearRule, batches):
+    """Full sets of candidates' texts; of rows that repeat, one from each task."""
+    seen: set[int] = set()
     for b in batches:
-        keep = []
-        for a, z, ta, tz in zip(*(b.column(c).to_pylist() for c in ("a", "z", "ta", "tz"))):
-            x, y = of(a, ta), of(z, tz)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= rule.percent * (len(x) + len(y) - both))
-        yield b.select(["a", "z"]).filter(pa.array(keep, pa.bool_()))
-
+        nodes, sets = [], []
+        for node, alone, text in zip(*(b.column(c).to_pylist() for c in ("node", "alone", "t"))):
+            if node in seen:
+                continue
+            if not alone:
+                seen.add(node)
+            nodes.append(node)
+            sets.append(shingle_set(space_words(text or ""), rule.shingle).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-#: Ids up to this many are sent to all tasks to pick the texts of candidates
-#: (8 bytes each); beyond it, texts are dealt out by id.
-BROADCAST_IDS = 2_000_000
 
-
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: NearRule, rows: int) -> DataFrame:
-    """The pairs (a, z) that are links; pairs are distinct."""
+def _confirm(rule: NearRule, batches):
+    """Links among rows in order of (a, part), each led by a's own set (its z
+    is null) and followed by its partners'."""
+    at, x = None, None
+    for b in batches:
+        found: list[tuple[int, int]] = []
+        shingles = b.column("shingles")
+        for i, (a, part, z) in enumerate(zip(*(b.column(c).to_pylist() for c in ("a", "part", "z")))):
+            own = np.frombuffer(shingles[i].as_py(), np.uint64)
+            if z is None:
+                at, x = (a, part), own
+                continue
+            if at != (a, part):
+                raise ValueError("a set came before its pivot's")
+            both = int((x[np.minimum(np.searchsorted(x, own), len(x) - 1)] == own).sum())
+            if 100 * both >= rule.percent * (len(x) + len(own) - both):
+                found.append((a, z))
+        columns = list(zip(*found)) or [[], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "z"])
+
+
+#: Rows up to this many are sent to all tasks (about 100 bytes each) to pick
+#: the texts of candidates; beyond it, texts are dealt out by key.
+BROADCAST_KEYS = 1_000_000
+#: Shingles of the partners that one copy of a pivot's set meets.
+PART_SHINGLES = 2_000_000
+#: Members of one block of a bucket; a cell compares two blocks.
+CELL = 1_000
+
+
+def pick(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """docs (r, doc, h1, h2) joined with stored keys (kdoc, k1, k2) of rows."""
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    same = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("doc").eqNullSafe(F.col("kdoc"))
+    return docs.join(keys, same, how)
+
+
+def _links(pairs: DataFrame, reps: DataFrame, rows: DataFrame, rule: NearRule) -> DataFrame:
+    """The pairs (a, z) of nodes that are links; pairs are distinct."""
     left, right = _side(reps, "a"), _side(reps, "z")
-    likely = materialise(pairs.join(left, "a").join(right, "z").filter(_likely(rule)).select("a", "z").distinct(), "likely", rows)
-    ids = materialise(likely.select(F.explode(F.array("a", "z")).alias("id")).distinct(), "ids", rows)
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.join(ids, F.col("doc") == F.col("id"), "left_semi")
-    with_a = likely.join(texts.select(F.col("doc").alias("a"), F.col("t").alias("ta")), "a")
-    whole = with_a.join(texts.select(F.col("doc").alias("z"), F.col("t").alias("tz")), "z")
-    return materialise(whole.select("a", "z", "ta", "tz").mapInArrow(partial(_confirm, rule), "a bigint, z bigint"), "links", rows)
+    likely = materialise(pairs.join(left, "a").join(right, "z").filter(_likely(rule)).select("a", "z", "nz"), "likely")
+    if likely.isEmpty():
+        return likely.select("a", "z")
+    nodes = likely.select(F.explode(F.array("a", "z")).alias("node")).distinct()
+    wanted = materialise(reps.select("node", "alone", F.col("doc").alias("kdoc"), F.col("h1").alias("k1"), F.col("h2").alias("k2")).join(nodes, "node", "left_semi"), "wanted")
+    texts = pick(rows, wanted, "inner").select("node", "alone", "t")
+    each = materialise(texts.mapInArrow(partial(_sets, rule), "node bigint, shingles binary"), "sets")
+    # Only a class of several rows can have a set more than once.
+    sets = each.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    parts = likely.groupBy("a").agg(F.ceil(F.sum("nz") / PART_SHINGLES).cast("int").alias("parts"))
+    own = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("z"), F.col("a").alias("node"))
+    others = likely.join(parts, "a").select("a", F.pmod(F.xxhash64("z"), F.col("parts")).cast("int").alias("part"), "z", F.col("z").alias("node"))
+    meeting = own.unionByName(others).join(sets, "node").select("a", "part", "z", "shingles")
+    ordered = meeting.repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("z"))
+    return materialise(ordered.mapInArrow(partial(_confirm, rule), "a bigint, z bigint"), "links")
 
 
 def _side(reps: DataFrame, name: str) -> DataFrame:
-    return reps.select(F.col("doc").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"), F.col("whole").alias(f"w{name}"))
+    return reps.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"), F.col("whole").alias(f"w{name}"))
 
 
 def _likely(rule: NearRule):
@@ -185,29 +226,31 @@ def _likely(rule: NearRule):
     return sized & certain & (odd("sa", "sz") <= rule.most_odd)
 
 
-def components(edges: DataFrame, rows: int, rounds: int = 60) -> DataFrame:
+def _weighed(edges: DataFrame, tag: str) -> tuple[DataFrame, tuple[int, int]]:
+    """Stored edges with their number and a sum that tells sets of edges apart,
+    both taken while they are written."""
+    seen = Observation()
+    spark, path = edges.sparkSession, scratch(edges.sparkSession, tag)
+    edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "z").bitwiseAND(F.lit((1 << 40) - 1))).alias("s")).write.parquet(path)
+    return spark.read.schema(edges.schema).parquet(path), (seen.get["n"], seen.get["s"] or 0)
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes of edges (a, z), component being the
     least node that can be reached.  Large-star and small-star steps: each
     hangs neighbours on the least one around, and no step gathers a node's
-    neighbours in one place."""
-    now = materialise(_star(_star(edges.select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).filter("a < z"), True), False), "star", rows)
-    seen = _sum(now)
-    for _ in range(rounds):
-        if seen[0] == 0:
-            break
-        after = materialise(_star(_star(now, True), False), "star", rows)
-        sums = _sum(after)
+    neighbours in one place.  The steps end for any graph, in a number that
+    grows with the square of the logarithm of its nodes at most, so there is
+    no bound on rounds."""
+    ordered = edges.select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).filter("a < z")
+    now, seen = _weighed(_star(_star(ordered, True), False), "star")
+    while seen[0]:
+        after, sums = _weighed(_star(_star(now, True), False), "star")
         if sums == seen:
-            return now.select(F.col("z").alias("node"), F.col("a").alias("component")).unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+            break
         now, seen = after, sums
-    if seen[0] == 0:
-        return now.select(F.col("z").alias("node"), F.col("a").alias("component"))
-    raise RuntimeError("components did not settle")
-
-
-def _sum(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "z").bitwiseAND(F.lit((1 << 40) - 1)))).first()
-    return r[0], r[1] or 0
+    tops = now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
+    return now.select(F.col("z").alias("node"), F.col("a").alias("component")).unionByName(tops)
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -225,63 +268,128 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Adds each member's component, itself where it has no link."""
-    return members.join(parts, members.doc == parts.node, "left").select(*members.columns, F.coalesce("component", "doc").alias("component"))
+    named = parts.select(F.col("node").alias("__n"), "component")
+    return members.join(named, members.node == named["__n"], "left").select(*members.columns, F.coalesce("component", "node").alias("component"))
 
 
 def _pairs(members: DataFrame) -> DataFrame:
     """Each member with its bucket's pivot, once."""
-    return members.filter("doc != pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("z")).distinct()
-
-
-def near_classes(docs: DataFrame, rule: NearRule = NearRule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row.
-
-    Two rows are linked if their shingle sets' similarity is at least
-    ``percent``; component_id is the least id that can be reached; kept marks
-    the row of that id.  Null, empty and blank texts have no shingles and are
-    linked with nothing; a text of fewer words than a shingle is one shingle;
-    rows that repeat an id count as one document, with all their texts' links;
-    a row without an id takes its copies' component and is kept if it has none;
-    long texts are read whole; an empty table gives an empty result; other
-    columns are not read.
-    """
+    return members.filter("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("z")).distinct()
+
+
+def _crossed(rest: DataFrame, reps: DataFrame, rule: NearRule) -> DataFrame:
+    """Likely pairs of one bucket's members in different components.  A large
+    bucket is cut into blocks, and two blocks at a time meet in a cell, so no
+    task has more than CELL * CELL comparisons of one bucket at once."""
+    sizes = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
+    blocked = rest.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    x = blocked.select("key", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.col("node").alias("a"), F.col("component").alias("ca"))
+    y = blocked.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("node").alias("z"), F.col("component").alias("cz"))
+    x, y = x.join(_side(reps, "a"), "a"), y.join(_side(reps, "z"), "z")
+    once = (F.col("x.i") < F.col("x.j")) | (F.col("a") < F.col("z"))
+    # What fails the sketches never leaves the join.
+    met = x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")) & once & (F.col("ca") != F.col("cz")) & _likely(rule))
+    return met.select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).distinct()
+
+
+def _groups(docs: DataFrame, rule: NearRule, id_col: str, text_col: str, by_id: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, repeated): every row (row, doc, h1, h2, n_shingles,
+    digest); every class of equal sets (digest, group, component_id, several),
+    group being the least row that can be reached and component_id the least
+    id; ids of several rows (doc).  by_id: whether an id's texts are linked."""
     tune(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("t"))
-    signed = materialise(rows.mapInArrow(partial(_signatures, rule), _SIGNATURE), "signatures")
-    rows_in = signed.count()
-    narrow = signed.select("doc", "n_shingles", "digest")
-    classes = materialise(narrow.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc").alias("rep")), "classes", rows_in)
-    reps = materialise(
-        signed.join(classes, (signed.digest == classes.digest) & (signed.doc == classes.rep), "left_semi").select("doc", "n_shingles", "bands", "sketch", "whole"), "reps", 10 * rows_in
-    )
-    keyed = reps.select(F.posexplode("bands").alias("band", "key"), "doc")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("pivot")).filter("n > 1").select("key", "pivot")
-    members = materialise(keyed.join(shared, "key"), "members", 10 * rows_in)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("t"), *text_key(text))
+    signed = materialise(spread(rows).mapInArrow(partial(_signatures, rule), _SIGNATURE).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    narrow = signed.select("row", "doc", "h1", "h2", "n_shingles", "digest")
+    filled = narrow.filter("n_shingles > 0")
+    classes = materialise(filled.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc").alias("least"), (F.count(F.lit(1)) == 1).alias("alone")), "classes")
+    chosen = classes.select(F.col("digest").alias("d"), "rep", "alone")
+    reps = materialise(signed.join(chosen, (F.col("digest") == F.col("d")) & (F.col("row") == F.col("rep"))).drop("digest", "d", "rep").withColumnRenamed("row", "node"), "reps")
+    keyed = reps.select(F.posexplode("bands").alias("band", "key"), "node")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter("n > 1").select("key", "pivot")
+    members = materialise(keyed.join(shared, "key"), "members")
+
+    repeated = narrow.filter("doc is not null").groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc")
+    repeated = materialise(repeated if by_id else repeated.filter("false"), "repeated")
+    twins = filled.join(repeated, "doc", "left_semi").join(classes.select("digest", "rep"), "digest")
+    first = twins.groupBy("doc").agg(F.min("rep").alias("a"))
+    links = materialise(twins.join(first, "doc").select("a", F.col("rep").alias("z")).filter("a < z").distinct(), "same")
 
     # A few bands first: they join most of a group of copies, and then no
     # other band compares what is in one component already.
-    links = _links(_pairs(members.filter(F.col("band") < rule.first)), reps, rows, rule, rows_in)
-    parts = components(links, rows_in)
-    placed = materialise(_labelled(members.select("key", "doc", "pivot"), parts), "placed", 10 * rows_in)
+    links = links.unionByName(_links(_pairs(members.filter(F.col("band") < rule.first)), reps, rows, rule))
+    parts = components(links)
+    placed = materialise(_labelled(members.select("key", "node", "pivot"), parts), "placed")
     home = parts.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
     apart = placed.join(home, "pivot", "left").filter(F.col("component") != F.coalesce("home", "pivot"))
-    links = links.unionByName(_links(_pairs(apart), reps, rows, rule, rows_in))
-    parts = components(links, rows_in)
+    more = _links(_pairs(apart), reps, rows, rule)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        parts = components(links)
     # Pairs with the pivot are settled; others of one component need none.
-    open_rows = _labelled(placed.filter("doc != pivot").select("key", "doc"), parts)
+    open_rows = _labelled(placed.filter("node != pivot").select("key", "node"), parts)
     mixed = open_rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-    rest = materialise(open_rows.join(mixed, "key", "left_semi").select("key", "doc", "component"), "rest", 10 * rows_in)
+    rest = materialise(open_rows.join(mixed, "key", "left_semi").select("key", "node", "component"), "rest")
     if not rest.isEmpty():
-        x = rest.select("key", F.col("doc").alias("a"), F.col("component").alias("ca")).join(_side(reps, "a"), "a")
-        y = rest.select("key", F.col("doc").alias("z"), F.col("component").alias("cz")).join(_side(reps, "z"), "z")
-        # What fails the sketches never leaves the join.
-        cross = x.join(y, (x.key == y.key) & (F.col("a") < F.col("z")) & (F.col("ca") != F.col("cz")) & _likely(rule))
-        links = links.unionByName(_links(cross.select("a", "z").distinct(), reps, rows, rule, rows_in))
-        parts = components(links, rows_in)
-    named = classes.join(parts, classes.rep == parts.node, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    return narrow.join(named, "digest", "left").select(
-        F.col("doc").alias(id_col),
-        "n_shingles",
-        F.coalesce("component_id", "doc").alias("component_id"),
-        F.coalesce(F.coalesce("component_id", "doc") == F.col("doc"), F.col("component_id").isNull()).alias("kept"),
+        more = _links(_crossed(rest, reps, rule), reps, rows, rule)
+        if not more.isEmpty():
+            parts = components(links.unionByName(more))
+    placed = classes.join(parts, classes.rep == parts.node, "left").select("digest", "rep", "least", "alone", "component")
+    lowest = placed.filter("component is not null").groupBy("component").agg(F.min("least").alias("low")).withColumnRenamed("component", "c")
+    named = placed.join(lowest, F.col("component") == F.col("c"), "left").select(
+        "digest",
+        F.coalesce("component", "rep").alias("group"),
+        F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("low")).alias("component_id"),
+        (F.col("component").isNotNull() | ~F.col("alone")).alias("several"),
     )
+    return narrow, named, repeated
+
+
+def near_classes(docs: DataFrame, rule: NearRule = NearRule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row.
+
+    Two rows are linked if their shingle sets' similarity is at least
+    ``percent``; component_id is the least id that can be reached; kept marks
+    the rows of that id.  Null, empty and blank texts have no shingles and are
+    linked with nothing; a text of fewer words than a shingle is one shingle;
+    rows that repeat an id count as one document, with all their texts' links;
+    a row without an id takes its copies' component and is kept if none of them
+    has an id and it is the first; long texts are read whole; an empty table
+    gives an empty result; other columns are not read.
+    """
+    narrow, named, repeated = _groups(docs, rule, id_col, text_col, True)
+    out = narrow.join(named, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc")).otherwise(F.col("component_id")))
+    if not repeated.isEmpty():
+        # An id's rows without words go with its others.
+        lowest = out.join(repeated, "doc", "left_semi").groupBy("doc").agg(F.min("component_id").alias("low"))
+        out = out.join(lowest, "doc", "left").withColumn("component_id", F.coalesce("low", "component_id"))
+    first = F.col("component_id").isNull() & (F.col("row") == F.coalesce("group", "row"))
+    return out.select(F.col("doc").alias(id_col), "n_shingles", "component_id", F.when(F.col("doc").isNull(), first).otherwise(F.col("doc") == F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, rule: NearRule = NearRule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each group of near copies: that of the
+    least id, or one of several rows that have it; of a group without ids, the
+    first.  Rows without words all stay.  Links are those of texts alone: an
+    id that repeats with another text is a document of its own.  Columns may
+    have any names; an empty table gives an empty result.
+
+    Rows are told apart by id and text.  Those that equal the chosen one in
+    both are brought together, and one of them stays, whatever their other
+    columns hold.
+    """
+    narrow, named, _ = _groups(docs, rule, id_col, text_col, False)
+    members = narrow.join(named.filter("several").select("digest", "group"), "digest")
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "h1", "h2")
+    chosen = members.groupBy("group").agg(F.min(order).alias("c"))
+    others = members.join(chosen, "group").filter(F.col("row") != F.col("c.row"))
+    twin = F.col("doc").eqNullSafe(F.col("c.doc")) & (F.col("h1") == F.col("c.h1")) & (F.col("h2") == F.col("c.h2"))
+    gone = materialise(others.select(F.col("doc").alias("kdoc"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), twin.alias("twin")).distinct(), "gone")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col(id_col).cast("long").alias("doc"), *text_key(text))
+    left = pick(rows, gone.filter("not twin").drop("twin"), "left_anti")
+    twins = gone.filter("twin").drop("twin")
+    if not twins.isEmpty():
+        left = pick(left, twins, "left_anti").unionByName(pick(left, twins, "left_semi").dropDuplicates(["doc", "h1", "h2"]))
+    return left.select("r.*")

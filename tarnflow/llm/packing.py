@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gathered, materialise, on_table, text_or_empty, tune
+from .common import gathered, materialise, on_table, spread, text_or_empty, tune
 from .tokenising import Encoder, encoder
 
 
@@ -142,7 +142,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id:
     ``longest`` tokens.  Stored, so that packing may read it twice."""
     tune(docs.sparkSession)
     texts = docs.select(F.col("doc_id"), text_or_empty("text").alias("t"))
-    return materialise(texts.mapInArrow(partial(_tokenise, tokenizer, longest, end_id, kept), PIECES), "pieces")
+    return materialise(spread(texts).mapInArrow(partial(_tokenise, tokenizer, longest, end_id, kept), PIECES), "pieces")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, cap: Capacity = Capacity(), end_id: int = 0, kept: int = Encoder.LIMIT) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix64, text_or_empty, tune, word_hashes
+from .common import gram_hashes, mix64, spread, text_or_empty, tune, word_hashes
 
 #: Fixed by the rules' definition.
 _SYMBOLS = b"#*$%&|<>"
@@ -100,4 +100,4 @@ def statistics(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
     tune(docs.sparkSession)
     rows = docs.select(*keep, text_or_empty(text_col).alias("t"))
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(_statistics, f"{head}, {SCHEMA}")
+    return spread(rows).mapInArrow(_statistics, f"{head}, {SCHEMA}")

@@ -17,7 +17,7 @@ RULE = line_dedup.LineRule(ratio=0.3, min_pages=4, min_line_pages=3)
 def cut(frame, rows, rule=RULE):
     from pyspark.sql import functions as F
 
-    got = line_dedup.drop_boilerplate(frame(rows).drop("bad"), F.col("source"), rule)
+    got = line_dedup.drop_boilerplate(frame(rows), F.col("source"), rule)
     return sorted((r.doc_id, r.text, r.n_dropped) for r in got.collect())
 
 
@@ -42,6 +42,15 @@ def test_line_dedup_odd_rows(frame, monkeypatch):
     assert cut(frame, rows) == plain
 
 
+def test_added_columns_have_names_of_their_own(frame):
+    from pyspark.sql import functions as F
+
+    docs = frame([(i, f"Menu\nbody {i}", "a") for i in range(5)]).withColumn("n_dropped", F.lit("mine")).withColumnsRenamed({"host": "__host", "key": "lines", "row": "salt"})
+    got = line_dedup.drop_boilerplate(docs, F.col("source"), RULE, count_col="dropped").collect()
+    assert {(r.n_dropped, r.dropped, r["__host"], r.lines, r.salt, r.bad) for r in got} == {("mine", 1, "x", 1, 1, "x")}
+    assert {r.n_dropped for r in line_dedup.drop_boilerplate(docs, F.col("source"), RULE).collect()} == {1}
+
+
 def test_url_host(spark):
     from pyspark.sql import functions as F
 
@@ -112,6 +121,59 @@ def test_late_rounds_lose_no_link(frame, monkeypatch):
     assert got == {i: c for i, (_, c) in brute_classes(rows, 2).items()}
 
 
+def test_texts_of_one_id_are_one_document(frame):
+    """Id 1 has two different texts, 2 is near the first, 3 near the second."""
+    rng = random.Random(3)
+    x, y = ([f"{c}{rng.randrange(1000)}" for _ in range(120)] for c in "xy")
+    near = lambda w: [*w[:118], "other", "end"]
+    rows = [(1, " ".join(x), "s"), (1, " ".join(y), "s"), (2, " ".join(near(x)), "s"), (3, " ".join(near(y)), "s"), (1, "", "s"), (4, "alone", "s")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_classes(frame(rows)).collect())
+    assert got == [(1, 1, True)] * 3 + [(2, 1, False), (3, 1, False), (4, 4, True)]
+    # By texts alone, both texts of id 1 stay.
+    left = sorted((r.doc_id, r.text) for r in near_dup.one_of_each(frame(rows)).collect())
+    assert left == sorted([(1, " ".join(x)), (1, " ".join(y)), (1, ""), (4, "alone")])
+
+
+def test_one_of_each_group_stays(frame):
+    """Ids that are missing or repeat, and rows that repeat."""
+    text = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    rows = [(None, text[0], "s")] * 3 + [(5, text[0] + " x", "s"), (5, text[0] + " x", "s"), (6, text[0], "s")]
+    rows += [(None, text[1], "s"), (None, text[1] + " y", "s"), (7, text[2], "s"), (7, text[2], "s"), (8, text[3], "s"), (None, None, "s"), (None, "", "s"), (9, " ", "s")]
+    got = near_dup.one_of_each(frame(rows)).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["5", "7", "8", "9", "None", "None", "None"]
+    assert sum(r.doc_id is None and bool(r.text) for r in got) == 1 and {r.bad for r in got} == {"x"}
+    assert near_dup.one_of_each(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("keys, part, cell", [(0, 1, 1_000), (1_000_000, 2_000_000, 1)])
+def test_large_tables_ways_find_the_same(frame, monkeypatch, keys, part, cell):
+    """Texts dealt out by key, pivots' sets in many copies, buckets in cells."""
+    for name, value in (("BROADCAST_KEYS", keys), ("PART_SHINGLES", part), ("CELL", cell)):
+        monkeypatch.setattr(near_dup, name, value)
+    monkeypatch.setattr(near_dup.NearRule, "most_odd", property(lambda s: s.bits))
+    base = [f"w{i}" for i in range(60)]
+    far = [" ".join(base[:30] + [f"y{k}{i}" for i in range(30)]) for k in range(4)]
+    near = [" ".join(base[:50] + [f"z{i}" for i in range(10 - k)] + [f"q{k}{i}" for i in range(k)]) for k in range(4)]
+    rows = [(i, t, "s") for i, t in enumerate(far + near + near[:2])]
+    got = {r.doc_id: r.component_id for r in near_dup.near_classes(frame(rows), near_dup.NearRule(shingle=2, bands=60, rows=1)).collect()}
+    assert got == {i: c for i, (_, c) in brute_classes(rows, 2).items()}
+
+
+def test_recall_near_the_threshold(frame):
+    """Pairs whose similarity is just 0.8 or a little more, each alone."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(150):
+        words = [f"{k}w{i}" for i in range(rng.randint(60, 200))]
+        other = list(words)
+        for i in rng.sample(range(0, len(words) - 5, 11), max(1, len(words) // 110)):
+            other[i] = f"{k}changed{i}"
+        rows += [(2 * k, " ".join(words), "s"), (2 * k + 1, " ".join(other), "s")]
+    linked = {i for i, (_, c) in brute_classes(rows, 5).items() if c != i}
+    found = {r.doc_id for r in near_dup.near_classes(frame(rows)).collect() if r.component_id != r.doc_id}
+    assert len(linked) > 60 and found <= linked and len(found) >= 0.99 * len(linked)
+
+
 def test_near_odd_rows(frame, odd):
     got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_classes(odd).collect())
     assert len(got) == len(ODD) and (7, 6, False) in got and (1, 1, True) in got and (2, 2, True) in got
@@ -169,6 +231,20 @@ def test_contamination_equals_brute_force(spark, frame, monkeypatch, blocks):
     assert contamination(spark, frame, rows, items) == sorted((i, *brute_hits(t, items)) for i, t, _ in rows)
 
 
+@pytest.mark.parametrize("bound", [1 << 20, 0])
+def test_items_without_an_id_and_clean_rows(spark, frame, monkeypatch, bound):
+    """They mark words but aren't counted; both ways agree; rows pass whole."""
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", bound)
+    bench = spark.createDataFrame([(None, "one two three"), (4, "one two three"), (None, "six seven"), (5, None), (4, "one two three")], "item_id long, text string")
+    docs = frame([(1, "x One, two three y", "a"), (2, "six seven", "a"), (2, "nothing", "a"), (None, "six seven eight", "a"), (None, None, "a"), (3, "", "a"), (3, "", "a")])
+    got = sorted((str(r.doc_id), r.n_hit, r.n_items, r.contaminated) for r in decontam.contamination(docs, bench).collect())
+    assert got == sorted([("1", 3, 1, True), ("2", 2, 0, True), ("2", 0, 0, False), ("None", 2, 0, True), ("None", 0, 0, False), ("3", 0, 0, False), ("3", 0, 0, False)])
+    assert hashlib.sha256(b"").hexdigest() in {r.items_sha256 for r in decontam.contamination(docs, bench).collect() if r.n_hit == 2}
+    left = decontam.clean_rows(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in left.collect() if r.text) == [("2", "nothing")] and left.count() == 4
+
+
 def test_contamination_odd_rows(spark, frame, odd):
     assert decontam.contamination(odd, spark.createDataFrame([], "item_id long, text string")).filter("contaminated").count() == 0
     assert contamination(spark, frame, [], [(1, "a b c")]) == []
