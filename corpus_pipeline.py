@@ -11,38 +11,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnflow.llm import decontam, line_dedup, near_dup, packing, quality_rules
-from tarnflow.llm.common import scratch, without
+from tarnflow.llm.common import scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go; null, empty and wordless
+    texts are among them.  Rows that repeat get the same verdict each."""
     return quality_rules.kept_rows(docs.select(*COLUMNS))
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are boilerplate of their source go; n_chars follows."""
+    """Lines that are boilerplate of their source go; n_chars follows.  A null
+    text or source loses nothing; rows that repeat are pages of their own."""
     cut = line_dedup.drop_boilerplate(docs, F.col("source"), line_dedup.EVERY_SITE)
     return cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the least doc_id."""
-    copies = near_dup.near_classes(docs).filter(~F.col("kept")).select("doc_id")
-    return without(docs, copies).select(*COLUMNS)
+    """One document of each group of near copies stays: the least doc_id, a
+    document without one only where its group has none.  Shingles are of five
+    words, the rule for stages without a contract of their own.  Texts without
+    words have no copies; rows that repeat are copies."""
+    return near_dup.one_of_each(docs.select(*COLUMNS))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
+    """Documents that hold a benchmark window go, with an id or without; a null
+    text holds none."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    dirty = decontam.contamination(docs, benchmark).filter("contaminated").select("doc_id")
-    return without(docs, dirty).select(*COLUMNS)
+    return decontam.clean_rows(docs.select(*COLUMNS), benchmark)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 2048, packed.  Workers keep fewer words than
-    by default, as executors hold what the joins before have left."""
+    """Token sequences of at most 2048, packed; a null or empty text is one
+    end token, and rows that repeat are packed each.  Workers keep fewer words
+    than by default, as executors hold what the joins before have left."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), kept=150_000)
 
 
