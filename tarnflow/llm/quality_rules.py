@@ -6,7 +6,7 @@ estimated from how the rules agree, by expectation-maximisation over all
 documents; a document's verdict is the posterior probability of being good,
 not that it passes all.  Junk comes in kinds that different rules know, so
 there is one kind of bad document for each rule, which starts from what that
-rule rejects.
+rule rejects and stays if documents support it.
 
 With R rules there are at most 3**R patterns of votes, however many documents
 there are.  The likelihood depends on a document only by its pattern, so the
@@ -76,37 +76,47 @@ class VoteModel:
         return self.responsibilities(votes)[:, 0]
 
 
-#: Pseudo-counts of right and wrong votes on good and on bad documents, and of
-#: good documents and each kind of bad ones.
-ON_GOOD, ON_BAD, SHARES = (9.0, 1.0), (2.0, 2.0), (8.0, 0.25)
-#: Rules are set so that they seldom reject a good document; a kind's own rule
-#: rejects most of it.  Within these bounds a vote never counts against what
-#: it says.
-GOOD_FLOOR, OWN_FLOOR, TOP = 0.97, 0.6, 0.9999
+#: Pseudo-counts (weak priors): of right and wrong votes on good documents, of a
+#: kind's own rule on it and of other rules on it; of good documents and of each
+#: kind.  Nothing else holds the estimates in place.
+ON_GOOD, OWN, OTHER, SHARES = (9.0, 1.0), (9.0, 1.0), (2.0, 2.0), (8.0, 0.25)
+#: A kind that fewer documents than this support is left out.
+SUPPORT = 0.5
+#: Keeps logarithms finite.
+TINY = 1e-6
 
 
 def initial(r: int) -> VoteModel:
     shares = np.array([SHARES[0], *[SHARES[1]] * r])
-    return VoteModel(shares / shares.sum(), np.full(r, 0.98), np.where(np.eye(r) > 0, 0.9, 0.3))
+    return VoteModel(shares / shares.sum(), np.full(r, 0.95), np.where(np.eye(r) > 0, 0.9, 0.3))
 
 
-def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 300, tolerance: float = 1e-9) -> VoteModel:
-    """Expectation-maximisation over vote patterns and their counts."""
+def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance: float = 1e-9) -> VoteModel:
+    """Expectation-maximisation over vote patterns and their counts.  It starts
+    with a kind of bad documents for each rule; kinds that no documents support
+    are left out, and the others are estimated further."""
     r = votes.shape[1]
-    model, own = initial(r), np.eye(r) > 0
+    model, kinds = initial(r), np.arange(r)
     plus, minus = (votes > 0) * counts[:, None], (votes < 0) * counts[:, None]
     for _ in range(rounds):
+        own = kinds[:, None] == np.arange(r)
+        right, wrong = (np.where(own, OWN[i], OTHER[i]) for i in (0, 1))
         p = model.responsibilities(votes)
-        shares = p.T @ counts + np.array([SHARES[0], *[SHARES[1]] * r])
+        mass = p.T @ counts
+        shares = mass + np.array([SHARES[0], *[SHARES[1]] * len(kinds)])
         up, down = p.T @ plus, p.T @ minus
-        good = np.clip((up[0] + ON_GOOD[0]) / (up[0] + down[0] + sum(ON_GOOD)), GOOD_FLOOR, TOP)
-        bad = (down[1:] + ON_BAD[0]) / (up[1:] + down[1:] + sum(ON_BAD))
-        bad = np.clip(bad, np.where(own, OWN_FLOOR, 1 - good), TOP)
-        new = VoteModel(shares / shares.sum(), good, bad)
-        moved = max(np.abs(new.shares - model.shares).max(), np.abs(good - model.good).max(), np.abs(bad - model.bad).max())
+        good = (up[0] + ON_GOOD[0]) / (up[0] + down[0] + sum(ON_GOOD))
+        bad = (down[1:] + right) / (up[1:] + down[1:] + right + wrong)
+        new = VoteModel(shares / shares.sum(), np.clip(good, TINY, 1 - TINY), np.clip(bad, TINY, 1 - TINY))
+        moved = max(np.abs(x - y).max(initial=0) for x, y in ((new.shares, model.shares), (new.good, model.good), (new.bad, model.bad)))
         model = new
         if moved < tolerance:
-            break
+            held = mass[1:] >= SUPPORT
+            if held.all():
+                break
+            kinds = kinds[held]
+            shares = model.shares[np.concatenate(([True], held))]
+            model = VoteModel(shares / shares.sum(), model.good, model.bad[held])
     return model
 
 
