@@ -111,6 +111,86 @@ def test_estimation_over_patterns_equals_over_rows():
     assert clean > 0.95
 
 
+def plain_em(rows, rounds=4000):
+    """The same model, document by document and without arrays; kinds that
+    half a document doesn't support go, as the operator's docstring says."""
+    r = len(rows[0])
+    q = quality_rules
+    share = {None: q.SHARES[0] / (q.SHARES[0] + r * q.SHARES[1])} | {k: q.SHARES[1] / (q.SHARES[0] + r * q.SHARES[1]) for k in range(r)}
+    agree = {(None, i): 0.95 for i in range(r)} | {(k, i): 0.9 if i == k else 0.3 for k in range(r) for i in range(r)}
+    for _ in range(rounds):
+        mass, voted, right = Counter(), Counter(), Counter()
+        for v in rows:
+            joint = {}
+            for z in share:
+                joint[z] = share[z]
+                for i in range(r):
+                    if v[i]:
+                        ok = (v[i] > 0) == (z is None)
+                        joint[z] *= agree[z, i] if ok else 1 - agree[z, i]
+            total = sum(joint.values())
+            for z in share:
+                w = joint[z] / total
+                mass[z] += w
+                for i in range(r):
+                    if v[i]:
+                        voted[z, i] += w
+                        right[z, i] += w * ((v[i] > 0) == (z is None))
+        before = dict(agree)
+        for z in share:
+            for i in range(r):
+                prior = q.ON_GOOD if z is None else q.OWN if z == i else q.OTHER
+                agree[z, i] = (right[z, i] + prior[0]) / (voted[z, i] + sum(prior))
+        weight = {z: mass[z] + (q.SHARES[0] if z is None else q.SHARES[1]) for z in share}
+        share = {z: w / sum(weight.values()) for z, w in weight.items()}
+        if max(abs(agree[k] - before[k]) for k in before) < 1e-9:
+            gone = [z for z in share if z is not None and mass[z] < 0.5]
+            if not gone:
+                break
+            share = {z: w for z, w in share.items() if z not in gone}
+            share = {z: w / sum(share.values()) for z, w in share.items()}
+            agree = {k: a for k, a in agree.items() if k[0] not in gone}
+    return share, agree
+
+
+def test_estimation_equals_a_plain_one():
+    rng = np.random.default_rng(4)
+    bad = rng.random(150) < 0.2
+    votes = np.where(rng.random((150, 4)) < 0.9, 1, -1)
+    votes[bad, 0] = np.where(rng.random(bad.sum()) < 0.9, -1, 1)
+    votes[bad, 1] = np.where(rng.random(bad.sum()) < 0.8, -1, 1)
+    votes[rng.random(votes.shape) < 0.2] = 0
+    got, (share, agree) = quality_rules.estimate(votes, np.ones(150), rounds=4000), plain_em(votes.tolist())
+    kinds = [z for z in share if z is not None]
+    assert len(got.shares) == len(share) and np.allclose(got.shares, [share[None], *[share[k] for k in kinds]], atol=1e-4)
+    assert np.allclose(got.good, [agree[None, i] for i in range(4)], atol=1e-4)
+    assert np.allclose(got.bad, [[agree[k, i] for i in range(4)] for k in kinds], atol=1e-4)
+
+
+def test_planted_accuracies_are_found():
+    """Good documents' rules right in 80 to 95 of 100 votes, two kinds of junk."""
+    rng = np.random.default_rng(5)
+    n, good, kinds = 40_000, np.array([0.95, 0.9, 0.85, 0.92, 0.8, 0.94]), {0: [0.95, 0.85, 0.1, 0.2, 0.15, 0.9], 3: [0.1, 0.15, 0.85, 0.95, 0.8, 0.1]}
+    z = rng.choice([-1, 0, 3], n, p=[0.8, 0.12, 0.08])
+    wrong = np.where((z == -1)[:, None], 1 - good, 0.0)
+    for k, b in kinds.items():
+        wrong[z == k] = b
+    votes = np.where(rng.random((n, 6)) < wrong, -1, 1)
+    votes[rng.random(votes.shape) < 0.1] = 0
+    patterns, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    model = quality_rules.estimate(patterns, counts.astype(float), rounds=5000)
+    assert np.abs(model.good - good).max() < 0.03 and model.good.min() < 0.85
+    assert abs(model.shares[0] - 0.8) < 0.04
+    verdict = model.posterior(patterns)[inverse.ravel()] >= 0.5
+    assert (verdict == (z == -1)).mean() > 0.95
+
+
+def test_unsupported_kinds_go():
+    votes = np.array([[1, 1, 1], [-1, -1, 1]])
+    model = quality_rules.estimate(votes, np.array([900.0, 100.0]))
+    assert len(model.shares) < 4 and model.posterior(votes)[0] > 0.99 > 0.01 > model.posterior(votes)[1]
+
+
 def test_clean_corpus_is_kept():
     votes = np.array([[1, 1, 1, 0], [1, 1, 1, 1], [1, 1, 0, 1], [-1, 1, 1, 1]])
     model = quality_rules.estimate(votes, np.array([5000.0, 3000.0, 2000.0, 40.0]))
@@ -185,9 +265,12 @@ def brute_kn(train, texts):
     return out
 
 
-@pytest.mark.parametrize("shard_tokens", [4_000_000, 20])
-def test_language_model_equals_brute_force(frame, monkeypatch, shard_tokens):
+@pytest.mark.parametrize("shard_tokens, step_bits, narrow", [(4_000_000, 12, 1 << 32), (20, 12, 1 << 32), (20, 2, 1 << 32), (40, 2, 10)])
+def test_language_model_equals_brute_force(frame, monkeypatch, shard_tokens, step_bits, narrow):
+    """In one step of dealing and in several, with pairs of either width."""
     monkeypatch.setattr(kn_lm, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(kn_lm, "STEP_BITS", step_bits)
+    monkeypatch.setattr(kn_lm, "NARROW", narrow)
     rng = random.Random(8)
     vocabulary = [f"w{i}" for i in range(30)] + ["Ä", "THE"]
     rows = [(i, " ".join(rng.choices(vocabulary, weights=range(1, 33), k=rng.randint(0, 40))), "s") for i in range(60)] + [(60, None, "s"), (61, "never seen words", "s")]
@@ -206,3 +289,26 @@ def test_language_model_odd_rows(frame, odd):
     assert kn_lm.lm_scores(frame([]), F.lit(True)).count() == 0
     x = np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64)
     assert (kn_lm.unmix64(kn_lm.mix64(x)) == x).all()
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_counts_and_numbers_of_any_size(wide):
+    """Counts beyond 32 bits don't wrap; pairs come back from their keys."""
+    big = np.array([3, 1 << 33, (1 << 40) + 1], np.uint64)
+    for values in (big, big[:1], big[:0]):
+        assert (kn_lm.unpacked(kn_lm.packed(values), len(values)) == values).all()
+    (keys,), counts = kn_lm.summed([(np.array([5, 9], np.uint64),), (np.array([9], np.uint64),)], [big[:2], big[1:2]])
+    assert keys.tolist() == [5, 9] and counts.tolist() == [3, 1 << 34]
+    top = 1 << (40 if wide else 32)
+    before, word = np.random.default_rng(2).integers(0, top, (2, 1000))
+    b, w = kn_lm.pair_of(kn_lm.pair_key(before, word, wide))
+    assert (b == before).all() and (w == word).all()
+
+
+def test_equal_hashes_of_different_contexts(tmp_path):
+    folder = tmp_path.as_uri()
+    for field, values in (("hash", [7, 7, 7, 9]), ("context", [1, 2, 5, 1]), ("count", [10, 20, 50, 90])):
+        kn_lm.write_file(f"{folder}/pairs-000000.{field}", np.array(values, "<u8").tobytes())
+    shards = kn_lm._shards(folder, "pairs", 2, {0: 4}, wide=True)
+    found = kn_lm.find(shards, np.array([7, 7, 7, 9], np.uint64), np.array([5, 2, 3, 1], np.uint64))
+    assert found.tolist() == [2, 1, -1, 3]
