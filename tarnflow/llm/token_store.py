@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, gathered, scratch, text_or_empty, tune, write_file
+from .common import filesystem, gathered, input_bytes, scratch, text_or_empty, tune, write_stream
 from .tokenising import encoder
 
 #: Ids in a word and bits of each, by selector; 15 is the escape.
@@ -183,23 +184,33 @@ def segments(stream):
 def _write(folder: str, tokenizer: str, end_id: int, batches):
     end = np.uint32(end_id).tobytes()
     shard = TaskContext.get().partitionId()
-    parts, doc_ids, bodies, size, docs, ids = [], [], [], 0, 0, 0
-    for b in gathered(batches):
-        for doc, body in zip(b.column("doc_id").to_pylist(), encoder(tokenizer).encode(b.column("t"))):
-            doc_ids.append(NO_ID if doc is None else doc)
-            bodies.append(body + end)
-            size += len(body) // 4 + 1
-            if size >= SEGMENT:
-                parts.append(segment(doc_ids, bodies))
-                docs, ids = docs + len(bodies), ids + size
-                doc_ids, bodies, size = [], [], 0
-    if bodies:
-        parts.append(segment(doc_ids, bodies))
-        docs, ids = docs + len(bodies), ids + size
-    if docs:
-        name = f"{folder}/shard-{shard:08d}.s8b"
-        write_file(name, *parts)
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "docs": [docs], "ids": [ids], "bytes": [sum(map(len, parts))]})
+    name, total = f"{folder}/shard-{shard:08d}.s8b", {"docs": 0, "ids": 0}
+
+    def made(first):
+        """Segments one after another; a task holds no more than one."""
+        doc_ids, bodies, size = [], [], 0
+        for b in chain([first], gathered(batches)):
+            for doc, body in zip(b.column("doc_id").to_pylist(), encoder(tokenizer).encode(b.column("t"))):
+                doc_ids.append(NO_ID if doc is None else doc)
+                bodies.append(body + end)
+                size += len(body) // 4 + 1
+                if size >= SEGMENT:
+                    yield segment(doc_ids, bodies)
+                    total["docs"], total["ids"] = total["docs"] + len(bodies), total["ids"] + size
+                    doc_ids, bodies, size = [], [], 0
+        if bodies:
+            yield segment(doc_ids, bodies)
+            total["docs"], total["ids"] = total["docs"] + len(bodies), total["ids"] + size
+
+    batches = (b for b in batches if b.num_rows)
+    first = next(batches, None)
+    if first is not None:
+        size = write_stream(name, made(first))
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [name], "docs": [total["docs"]], "ids": [total["ids"]], "bytes": [size]})
+
+
+#: Bytes of stored input that one file is made of.
+FILE_BYTES = 64 << 20
 
 
 SHARDS = "shard long, path string, docs long, ids long, bytes long"
@@ -219,7 +230,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     folder = folder or scratch(spark, "tokens")
     # The text's hash as a second key lets rows of one doc_id part, too.
     rows = docs.select(F.col("doc_id"), text_or_empty("text").alias("t")).withColumn("h", F.xxhash64("t"))
-    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
+    # As many files as the data asks for, and a few for each core at least.
+    size = input_bytes(docs)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions")) if size is None else max(4 * spark.sparkContext.defaultParallelism, -(-size // FILE_BYTES))
+    ordered = rows.repartitionByRange(files, "doc_id", "h").sortWithinPartitions("doc_id", "h")
     # One row for each file comes back, as many as there are partitions.
     written = sorted(ordered.select("doc_id", "t").mapInArrow(partial(_write, folder, tokenizer, end_id), SHARDS).collect(), key=lambda r: r["shard"])
     start, listed = 0, []
@@ -248,7 +262,7 @@ def _read(batches):
 def read_tokens(spark: SparkSession, shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from
     the files that write_tokens listed."""
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(spark.sparkContext.defaultParallelism, shards.count())
     return shards.select("path", "start").repartition(parts).mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

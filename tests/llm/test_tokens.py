@@ -58,10 +58,34 @@ def test_cache_is_used_and_appended(spark, frame, tmp_path):
     assert stored.count() == 1 and stored.first().tokenizer_digest == tokenizer_digest(BYTE)
     # A planted count shows that a known text isn't encoded again.
     fake = [(token_counts.content_digest("planted"), tokenizer_digest(BYTE), 77), (token_counts.content_digest("other"), "another version", 99)]
-    spark.createDataFrame(fake, token_counts.CACHE_SCHEMA).write.mode("append").parquet(cache)
+    spark.createDataFrame(fake, token_counts.CACHE_SCHEMA).write.mode("append").partitionBy("tokenizer_digest").parquet(cache)
     got = token_counts.token_counts(frame([(3, "planted", "a"), (4, "new one", "a"), (5, "other", "a")]), BYTE, cache).collect()
     assert {r.doc_id: r.n_tokens for r in got} == {3: 77, 4: len(ids_of(BYTE, "new one")), 5: len(ids_of(BYTE, "other"))}
     assert spark.read.parquet(cache).count() == 5
+    # Two runs that add the same text, put together.
+    spark.createDataFrame(fake, token_counts.CACHE_SCHEMA).write.mode("append").partitionBy("tokenizer_digest").parquet(cache)
+    token_counts.compact(spark, cache, f"{cache}-2")
+    assert spark.read.parquet(f"{cache}-2").count() == 5
+
+
+def test_known_texts_are_not_moved(spark, frame, tmp_path, monkeypatch):
+    """With a warm cache, known texts go before the exchange of texts, which
+    isn't made at all if all are known."""
+    cache, plans = (tmp_path / "cache").as_uri(), {}
+    plain = token_counts.materialise
+    monkeypatch.setattr(token_counts, "materialise", lambda df, tag: plans.setdefault(tag, df) is None or plain(df, tag))
+    old = [(i, f"known text {i}", "a") for i in range(20)]
+    token_counts.token_counts(frame(old), BYTE, cache).collect()
+    assert plans["counted"].count() == 20
+    plans.clear()
+    assert token_counts.token_counts(frame([*old, (90, "new text", "a"), (91, "new text", "a")]), BYTE, cache).count() == 22
+    assert plans["counted"].count() == 1
+    tree = plans["counted"]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" in tree and tree.index("Exchange hashpartitioning") < tree.index("LeftSemi")
+    plans.clear()
+    assert token_counts.token_counts(frame(old), BYTE, cache).count() == 20 and "counted" not in plans
+    monkeypatch.setattr(token_counts, "SENT_DIGESTS", 0)  # dealt out by digest
+    assert token_counts.token_counts(frame([*old, (92, "newer text", "a")]), BYTE, cache).count() == 21
 
 
 def test_empty_tables(frame):
