@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh, materialise
 
 #: White space cut from a line's ends before lines are compared.
 BLANKS = " \t\r"
@@ -63,48 +63,46 @@ def boilerplate(pages: DataFrame, rule: LineRule) -> DataFrame:
     return counted.join(totals, "host").filter(F.col("line_pages") > F.lit(rule.ratio) * F.col("host_pages"))
 
 
-def drop_boilerplate(docs: DataFrame, host: Column, rule: LineRule = LineRule(), text_col: str = "text") -> DataFrame:
-    """``docs`` with its text changed, and n_dropped (lines dropped).
+def drop_boilerplate(docs: DataFrame, host: Column, rule: LineRule = LineRule(), text_col: str = "text", count_col: str = "n_dropped", mark_col: str = "all_boilerplate") -> DataFrame:
+    """``docs`` with its text changed, and ``count_col`` (lines dropped).
 
     A page's boilerplate lines go.  A page that would lose all its lines that
     aren't blank is kept as it is: its lines are common because the page was
     copied, which is for document-level stages to judge.  Without keep_copies
-    such a page loses them too, they count, and a column all_boilerplate marks
-    it.  Lines count once for
-    a page and are compared without blanks at their ends; blank lines stay.  A
-    null text stays null; a null host has no site, so the page keeps all
-    lines; rows that repeat are pages of their own; an empty table gives an
-    empty result.  Columns of any other name pass through.
+    such a page loses them too, they count, and ``mark_col`` marks it.  Lines
+    count once for a page and are compared without blanks at their ends; blank
+    lines stay.  A null text stays null; a null host has no site, so the page
+    keeps all lines; rows that repeat are pages of their own; an empty table
+    gives an empty result.  Columns of any other name pass through; one that
+    is named as an added column gives way to it, so pass another name for that.
     """
-    spark = docs.sparkSession
-    inner = {"host": "__host", "lines": "__lines", "bad": "__bad"}
-    pages = docs.select(host.cast("string").alias("host"), F.col(text_col).cast("string").alias("text"))
+    h, left, bad, salt = fresh(docs.columns, "host", "lines", "bad", "salt")
+    pages = docs.select(host.cast("string").alias("host"), F.col(f"`{text_col}`").cast("string").alias("text"))
     found = materialise(boilerplate(pages, rule).select("host", "k1", "k2"), "lines")
-    rows = found.count()
 
     # The bad lines of a host as one list: what a host may have is bounded by
     # its lines per page over the ratio, not by its pages.
-    listed = found.groupBy("host").agg(F.collect_list(F.struct("k1", "k2")).alias(inner["bad"])).withColumnRenamed("host", inner["host"])
-    base = docs.withColumn(inner["host"], host.cast("string"))
-    if rows <= BROADCAST_ROWS:
-        joined = base.join(F.broadcast(listed), inner["host"], "left")
+    listed = found.groupBy("host").agg(F.collect_list(F.struct("k1", "k2")).alias(bad)).withColumnRenamed("host", h)
+    base = docs.withColumn(h, host.cast("string"))
+    if found.count() <= BROADCAST_ROWS:
+        joined = base.join(F.broadcast(listed), h, "left")
     else:
-        salted = listed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        base = base.withColumn("__salt", F.pmod(F.xxhash64(F.col(text_col)), F.lit(SALTS)).cast("int"))
-        joined = base.join(salted, [inner["host"], "__salt"], "left").drop("__salt")
-    text = F.col(text_col).cast("string")
-    is_bad = lambda s: F.array_contains(F.col(inner["bad"]), F.struct(F.xxhash64(_trimmed(s)).alias("k1"), F.xxhash64(F.lit(7), _trimmed(s), F.length(_trimmed(s))).alias("k2")))
+        salted = listed.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        base = base.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(SALTS)).cast("int"))
+        joined = base.join(salted, [h, salt], "left").drop(salt)
+    text = F.col(f"`{text_col}`").cast("string")
+    is_bad = lambda s: F.array_contains(F.col(bad), F.struct(*_key(_trimmed(s))))
     lines = F.split(text, "\n", -1)
     kept = F.filter(lines, lambda s: (_trimmed(s) == "") | ~is_bad(s))
-    marked = joined.withColumn(inner["lines"], F.when(F.col(inner["bad"]).isNotNull() & text.isNotNull(), kept))
-    some = F.exists(F.col(inner["lines"]), lambda s: _trimmed(s) != "")
-    fewer = F.coalesce(F.size(inner["lines"]) < F.size(lines), F.lit(False))
+    marked = joined.withColumn(left, F.when(F.col(bad).isNotNull() & text.isNotNull(), kept))
+    some = F.exists(F.col(left), lambda s: _trimmed(s) != "")
+    fewer = F.coalesce(F.size(left) < F.size(lines), F.lit(False))
     changed = F.coalesce(some, F.lit(False)) & fewer if rule.keep_copies else fewer
-    mark = {} if rule.keep_copies else {"all_boilerplate": fewer & ~some}
+    mark = {} if rule.keep_copies else {mark_col: fewer & ~some}
     return marked.withColumns(
         mark
         | {
-            "n_dropped": F.when(changed, F.size(lines) - F.size(inner["lines"])).otherwise(0).cast("long"),
-            text_col: F.when(changed, F.array_join(inner["lines"], "\n")).otherwise(text),
+            count_col: F.when(changed, F.size(lines) - F.size(left)).otherwise(0).cast("long"),
+            text_col: F.when(changed, F.array_join(left, "\n")).otherwise(text),
         }
-    ).drop(*inner.values())
+    ).drop(h, left, bad)

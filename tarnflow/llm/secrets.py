@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnflow.functions.arrays import running_before
+
 from .common import materialise, text_or_empty
 
 #: The base patterns, in the order of kinds.
@@ -41,22 +43,15 @@ def _places(text: Column, pattern: str) -> tuple[Column, Column]:
 
 
 def _spans(kind: str, rank: int, matches: Column, between: Column, values: Column) -> Column:
-    """Array of (start, rank, kind, end, value), in code points.  The end of
-    match i is the length of all before it and its own."""
-    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>").alias("spans"))
-    rows = F.zip_with(
-        F.zip_with(matches, values, lambda m, v: F.struct(m.alias("m"), v.alias("v"))),
-        F.slice(between, 1, F.size(matches)),
-        lambda p, b: F.struct(p["m"].alias("m"), p["v"].alias("v"), F.length(b).alias("b")),
-    )
-
-    def step(s, r):
-        a = s["end"] + r["b"]
-        z = a + F.length(r["m"])
-        span = F.struct(a.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), z.alias("end"), r["v"].alias("value"))
-        return F.struct(z.alias("end"), F.concat(s["spans"], F.array(span)).alias("spans"))
-
-    return F.aggregate(rows, start, step)["spans"]
+    """Array of (start, rank, kind, end, value), in code points.  A match
+    starts after all matches and gaps before it."""
+    long = F.transform(matches, lambda m: F.length(m).cast("long"))
+    gap = F.transform(F.slice(between, 1, F.size(matches)), lambda b: F.length(b).cast("long"))
+    before = running_before(F.zip_with(long, gap, lambda m, b: m + b))
+    starts = F.zip_with(before, gap, lambda a, b: (a + b).cast("int"))
+    rows = F.zip_with(starts, F.zip_with(long, values, lambda m, v: F.struct(m.alias("m"), v.alias("v"))), lambda a, r: F.struct(a.alias("a"), r["m"].alias("m"), r["v"].alias("v")))
+    span = lambda r: F.struct(r["a"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (r["a"] + r["m"]).cast("int").alias("end"), r["v"].alias("value"))
+    return F.transform(rows, span)
 
 
 def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
