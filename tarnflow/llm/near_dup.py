@@ -281,8 +281,10 @@ def _crossed(rest: DataFrame, reps: DataFrame, rule: NearRule) -> DataFrame:
     """Likely pairs of one bucket's members in different components.  A large
     bucket is cut into blocks, and two blocks at a time meet in a cell, so no
     task has more than CELL * CELL comparisons of one bucket at once."""
-    sizes = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
-    blocked = rest.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    large = materialise(rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks")).filter("blocks > 1"), "large")
+    # Large buckets are few; sent to all tasks, they don't gather a bucket's rows.
+    large = F.broadcast(large) if large.count() <= BROADCAST_KEYS else large
+    blocked = rest.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     x = blocked.select("key", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.col("node").alias("a"), F.col("component").alias("ca"))
     y = blocked.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("node").alias("z"), F.col("component").alias("cz"))
     x, y = x.join(_side(reps, "a"), "a"), y.join(_side(reps, "z"), "z")
