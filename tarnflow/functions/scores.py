@@ -45,7 +45,7 @@ def ppv_rm3(x: Column) -> Column:
     return F.when(x < 0.466, 0.1205 + 1.6223 * x).otherwise(F.least(F.lit(1.0), -0.5582 + 5.6307 * x - 5.4758 * x * x))
 
 
-def ppv_argot(x: Column) -> Column:
+def ppv_share(x: Column) -> Column:
     z = F.sqrt(x)
     return F.when(x < 0, 0.0).when(z < 3.709538, 0.3047 + 0.1452 * z).otherwise(F.least(F.lit(1.0), 0.67302 + 0.04591 * z))
 
@@ -113,6 +113,7 @@ def hypergeometric_score(x: str, m: str, k: str, n: str) -> Column:
     return -F.log(F.greatest(hypergeometric_p(x, m, k, n), F.lit(1e-300)))
 
 
+# The coefficients of the regressions below.
 def rm1(qcov: Column, scov: Column, pide: Column, taxdist: Column, accepted: Column, documented: bool = False) -> Column:
     """Regression score of a hit; 0 for hits that weren't accepted.  The terms
     are bound as in use; ``documented`` binds them by name."""
@@ -130,8 +131,8 @@ def class_scores(k: Column, b: Column, n: Column, bits: Column, total_bits: Colu
     jsc = k / (b + n - k)
     return {
         "rm3": F.greatest(F.lit(0.0), 0.36 + 0.01 * F.log(jsc) + 0.02 * logmod(z) - 3.67e-5 * F.sqrt(b) - 0.007 * F.sqrt(n)),
-        "argot": bits / total_bits * F.log2(root / b),
+        "share": bits / total_bits * F.log2(root / b),
         "jac": bits / total_bits * jsc,
         "bg": b / root,
-        "sans": F.least(k / n, F.lit(0.99)),
+        "voted": F.least(k / n, F.lit(0.99)),
     }

@@ -19,13 +19,18 @@ def _groups(**groups: str) -> dict[str, str]:
     return {amino: name for name, members in groups.items() for amino in members}
 
 
-# Reduced protein alphabets.
+# Reduced protein alphabets, as groups of amino acids and the
+# letter that each group becomes.  In the hydrophobicity alphabet I stands for
+# hydrophobic residues and O for the others, as in use.
 REDUCED = {
-    "structural": _groups(A="DEHKNQRST", I="AGILMFPVWYC"),
-    "functional": _groups(H="AGILMFPVWC", P="NQSTY", A="DE", C="HKR"),
-    "hydrophobic": _groups(I="DEHKNPQRSTCYGA", O="FILMVW"),
-    "dayhoff": _groups(a="C", b="GSTAP", c="DENQ", d="HKR", e="LIVM", f="FWY"),
-    "charge": _groups(C="KR", A="DE", N="ACFGHILMNPQSTVWY"),
+    "structural": _groups(A="ACGPSTWY", E="RNDQEHK", I="ILMFV"),
+    "functional": _groups(A="DE", C="HKR", H="AFILMPVW", P="CGNQSTY"),
+    "hydrophobic": _groups(I="AFILMPVW", O="CDEGHKNQRSTY"),
+    "dayhoff": _groups(A="C", C="AGPST", D="DENQ", E="HKR", F="ILMV", G="FWY"),
+    "sneath": _groups(A="ILV", C="AGP", D="MNQ", E="CST", F="DE", G="KR", H="FHWY"),
+    "stanfel": _groups(A="ACGILMPSTV", C="DENQ", D="FWY", E="HKR"),
+    "chemical": _groups(A="DE", L="AGILV", M="NQ", R="FWY", C="RHK", H="ST", I="P", S="CM"),
+    "charge": _groups(A="DE", C="HKR", N="ACFGILMNPQSTVWY"),
 }
 
 
@@ -38,6 +43,7 @@ def reverse_complement(c: Column) -> Column:
 
 
 def reduce_alphabet(c: Column, name: str) -> Column:
+    """Letters that no group has stay as they are."""
     table = REDUCED[name]
     return F.translate(c, "".join(table), "".join(table.values()))
 
@@ -51,6 +57,66 @@ def translate(c: Column, frame: int = 1) -> Column:
     return F.array_join(F.transform(codons, lambda x: F.coalesce(table[x], F.lit("X"))), "")
 
 
+# Isotypes by codon, which may hold ambiguous bases.
+ISOTYPES = {
+    "GCN": "Ala", "TGY": "Cys", "GAY": "Asp", "GAR": "Glu", "TTY": "Phe", "GGN": "Gly", "CAY": "His", "ATH": "Ile",
+    "AAR": "Lys", "TTR": "Leu", "CTN": "Leu", "ATG": "Met", "AAY": "Asn", "CCN": "Pro", "CAR": "Gln", "AGR": "Arg",
+    "CGN": "Arg", "AGY": "Ser", "TCN": "Ser", "ACN": "Thr", "GTN": "Val", "TGG": "Trp", "TAY": "Tyr", "TAR": "Sup",
+    "TGA": "SeC",
+}
+
+
+def plain_codons(codons: dict[str, str]) -> dict[str, str]:
+    """Ambiguous codons spelt out; later entries win."""
+    out: dict[str, str] = {}
+    for codon, value in codons.items():
+        some = [""]
+        for base in codon.upper().replace("U", "T"):
+            some = [x + b for x in some for b in IUPAC[base]]
+        out |= dict.fromkeys(some, value)
+    return out
+
+
+def isotype(anticodon: Column, model: Column | None = None, alternates: dict[str, str] | None = None, undefined: str = "Undet") -> Column:
+    """Isotype of an anticodon, whose reverse complement is looked up; an
+    alternate code's entries go before the standard ones.  An ambiguous
+    anticodon has the isotype that all its readings share, else none.  The
+    selenocysteine codon is a suppressor but for models of its own (SeC)."""
+    known = plain_codons(ISOTYPES) | plain_codons(alternates or {})
+    table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
+    readings = F.transform(expand_ambiguous(reverse_complement(F.upper(anticodon)), 3), lambda c: table[c])
+    own = F.coalesce(model == "SeC", F.lit(False)) if model is not None else F.lit(False)
+    named = F.array_distinct(F.transform(readings, lambda t: F.when((t == "SeC") & ~own, "Sup").otherwise(F.coalesce(t, F.lit(undefined)))))
+    return F.when(F.length(anticodon) != 3, undefined).when(F.size(named) == 1, named[0]).otherwise(undefined)
+
+
+def acceptor_half(seq: Column, structure: Column, end: int) -> Column:
+    """Seven bases of the acceptor stem at the 5' or the 3' end (``end`` 5 or
+    3); a structure whose last pair has eleven unpaired places behind it has
+    the 3' half further from the end."""
+    if end == 5:
+        return F.substring(seq, 1, 7)
+    from_end = F.when(structure.endswith("<..........."), 11).otherwise(8)
+    return F.substring(seq, F.length(seq) - from_end + 1, F.lit(7))
+
+
+def alignment_score(a: Column, b: Column, match: int = 2, mismatch: int = -3, gap_open: int = -5, gap_extend: int = -2) -> Column:
+    """Score of two aligned nucleotide sequences of one length.  A gap opens
+    where the residue before it, in the gapped sequence, isn't a gap; a column
+    of two gaps opens unless the column before it is one too; before the first
+    column stands a gap."""
+    x, y = F.split(a, ""), F.split(b, "")
+    before = lambda s: F.concat(F.array(F.lit("-")), F.slice(s, 1, F.size(s) - 1))
+    columns = F.arrays_zip(x.alias("x"), y.alias("y"), before(x).alias("px"), before(y).alias("py"))
+
+    def one(c: Column) -> Column:
+        gx, gy = c["x"] == "-", c["y"] == "-"
+        opens = F.when(gx & gy, ~((c["px"] == "-") & (c["py"] == "-"))).when(gy, c["py"] != "-").otherwise(c["px"] != "-")
+        return F.when(~gx & ~gy, F.when(c["x"] == c["y"], match).otherwise(mismatch)).otherwise(F.when(opens, gap_open).otherwise(gap_extend))
+
+    return F.aggregate(columns, F.lit(0), lambda s, c: s + one(c))
+
+
 def open_frames(protein: Column, shortest: int = 80) -> Column:
     """Stretches between stops and unknown residues, in order, of at least
     ``shortest`` residues."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,3 +96,31 @@ def wrap(c: Column, width: int = 60) -> Column:
 def safe_percent(part: Column, whole: Column) -> Column:
     """100 * part / whole, 0 where whole is 0."""
     return F.coalesce(F.try_divide(F.lit(100.0) * part, whole), F.lit(0.0))
+
+
+def subsequence_length(a: list, b: list) -> int:
+    """Length of the longest common subsequence: one big-integer step for each
+    element of b, which adds carries over the places where it occurs in a."""
+    places: dict = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    free = full
+    for x in b:
+        at = free & places.get(x, 0)
+        free = ((free + at) | (free - at)) & full
+    return len(a) - free.bit_count()
+
+
+def _subsequence_lengths(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else subsequence_length(list(x), list(y)) for x, y in zip(a, b)], dtype="Int64")
+
+
+def common_subsequence(a: str, b: str) -> Column:
+    """Length of the longest common subsequence of two text or array columns."""
+    return F.pandas_udf(_subsequence_lengths, "long")(a, b)
+
+
+def changes(a: Column, b: Column, common: Column) -> Column:
+    """struct(removed, added): what turns a into b, by the least edit script."""
+    return F.struct((F.length(a) - common).alias("removed"), (F.length(b) - common).alias("added"))

@@ -50,7 +50,7 @@ def description_status(sheets: Sheets, p: Params) -> Sheets:
 
 @operator("clean_description", needs=("desc",))
 def clean(sheets: Sheets, p: Params) -> Sheets:
-    return {"data": sheets["data"].withColumn("cleandesc", X.clean_description(F.col("desc")))}
+    return {"data": sheets["data"].withColumn("plain", X.clean_description(F.col("desc")))}
 
 
 @operator("lineage", needs=("species",))
@@ -137,34 +137,34 @@ def class_scores(sheets: Sheets, p: Params) -> Sheets:
     s = S.class_scores(F.col("k"), F.col("b"), F.col("n"), F.col("bits"), F.col("total_bits"), F.col("root"), F.col("gsz"))
     x = x.withColumns({f"{k}_score": c for k, c in s.items()})
     x = x.withColumn("hyge_score", S.hypergeometric_score("k", "root", "n", "b"))
-    ppv = {"rm3": S.ppv_rm3, "argot": S.ppv_argot, "jac": S.ppv_jaccard, "hyge": S.ppv_hypergeometric}
-    x = x.withColumns({f"{k}_ppv": f(F.col(f"{k}_score")) for k, f in ppv.items()} | {"sans_ppv": F.col("sans_score"), "bg_ppv": F.col("bg_score")})
+    ppv = {"rm3": S.ppv_rm3, "share": S.ppv_share, "jac": S.ppv_jaccard, "hyge": S.ppv_hypergeometric}
+    x = x.withColumns({f"{k}_ppv": f(F.col(f"{k}_score")) for k, f in ppv.items()} | {"voted_ppv": F.col("voted_score"), "bg_ppv": F.col("bg_score")})
     rank = lambda k: F.row_number().over(Window.partitionBy(q, "ontology").orderBy(F.desc(f"{k}_ppv"), F.asc("goid")))
-    return {"goclass": x.withColumns({f"{k}_rank": rank(k) for k in (*ppv, "sans", "bg")}).drop("m", "v", "total_bits")}
+    return {"term_scores": x.withColumns({f"{k}_rank": rank(k) for k in (*ppv, "voted", "bg")}).drop("m", "v", "total_bits")}
 
 
-@operator("summary", sheet="goclass", needs=("goid", "argot_score"))
+@operator("summary", sheet="term_scores", needs=("goid", "share_score"))
 def summary(sheets: Sheets, p: Params) -> Sheets:
     """One long table: descriptions, then terms by predictor, with EC and KEGG
     rows where the external map has them; scores above 0 only."""
     q = p.block_column
-    g = sheets["goclass"]
+    g = sheets["term_scores"]
     parts = []
-    for k in ("rm3", "argot", "jac", "hyge"):
+    for k in ("rm3", "share", "jac", "hyge"):
         parts.append(g.filter(F.col(f"{k}_score") > 0).select(q, F.concat_ws("_", "ontology", F.lit(k.upper())).alias("type"), F.col(f"{k}_score").alias("score"), F.col(f"{k}_ppv").alias("ppv"), F.col("goid").alias("id")))
     if "external" in sheets:
         e = sheets["external"].select("goid", "kind", F.col("id").alias("external_id"))
-        parts.append(g.filter("argot_score > 0").join(e, "goid").select(q, F.concat(F.upper("kind"), F.lit("_ARGOT")).alias("type"), F.col("argot_score").alias("score"), F.col("argot_ppv").alias("ppv"), F.col("external_id").alias("id")))
+        parts.append(g.filter("share_score > 0").join(e, "goid").select(q, F.concat(F.upper("kind"), F.lit("_SHARE")).alias("type"), F.col("share_score").alias("score"), F.col("share_ppv").alias("ppv"), F.col("external_id").alias("id")))
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
     if "cluster" in sheets:
         c = sheets["cluster"]
         out = out.unionByName(c.select(q, F.lit("DE").alias("type"), F.col("rm2").alias("score"), S.ppv_description(F.col("rm2")).alias("ppv"), F.col("desc").alias("id")))
-    return {"anno": out}
+    return {"findings": out}
 
 
-@operator("best_description", needs=("de_status", "value", "jaccard", "ff", "cleandesc", "rm1", "clusid"))
+@operator("best_description", needs=("de_status", "value", "jaccard", "ff", "plain", "rm1", "clusid"))
 def best_description(sheets: Sheets, p: Params) -> Sheets:
     """Scores the clusters of a block's hits and keeps the best one with its
     most informative description.  A cluster's size in the background is the
@@ -174,16 +174,16 @@ def best_description(sheets: Sheets, p: Params) -> Sheets:
     n_all = sheets["descriptions"].agg(F.sum("cnt").alias("all"))
     informs = F.struct("ff", F.col("bits").cast("double"), "desc")
     c = d.groupBy(q, "clusid").agg(
-        F.count(F.lit(1)).alias("size"), F.sum("rm1").alias("rm1sum"), F.avg("value").alias("val"), F.avg("jaccard").alias("jac"), F.max_by("desc", informs).alias("desc"), F.max_by("cleandesc", informs).alias("cleandesc")
+        F.count(F.lit(1)).alias("size"), F.sum("rm1").alias("rm1sum"), F.avg("value").alias("val"), F.avg("jaccard").alias("jac"), F.max_by("desc", informs).alias("desc"), F.max_by("plain", informs).alias("plain")
     )
-    kinds = J.lookup(d.select(q, "clusid", "cleandesc").distinct(), F.col("cleandesc"), sheets["descriptions"].select(F.col("cleandesc").alias("__d"), "cnt"), "__d", {"cnt": 1})
+    kinds = J.lookup(d.select(q, "clusid", "plain").distinct(), F.col("plain"), sheets["descriptions"].select(F.col("plain").alias("__d"), "cnt"), "__d", {"cnt": 1})
     c = c.join(kinds.groupBy(q, "clusid").agg(F.sum("cnt").alias("cnt")), [q, "clusid"]).join(block, q).crossJoin(F.broadcast(n_all))
     c = c.withColumn("gsz", S.gsz(F.col("n"), F.col("rm1sum"), F.col("mean"), F.col("variance"), F.col("cnt"), F.col("all")))
     c = c.withColumn("rm2", S.rm2(F.col("val"), F.col("jac"), F.col("gsz")))
-    return {"cluster": H.top(c, [q], [F.desc("rm2"), F.asc("cleandesc"), F.asc("clusid")]).drop("rank", "all", "mean", "variance")}
+    return {"cluster": H.top(c, [q], [F.desc("rm2"), F.asc("plain"), F.asc("clusid")]).drop("rank", "all", "mean", "variance")}
 
 
 #: Plans by name.
 DESCRIBE = ["filter", "form_factor", "description_status", "clean_description", "lineage", "taxonomic_distance", "rm1", "words", "word_scores", "tfidf", "clustering", "best_description"]
 PREDICT = ["filter", "lineage", "taxonomic_distance", "rm1", "terms", "class_scores"]
-ANNOTATE = [*DESCRIBE, "terms", "class_scores", "summary"]
+EVERYTHING = [*DESCRIBE, "terms", "class_scores", "summary"]

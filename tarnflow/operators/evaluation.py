@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .windows import running_totals
+
 
 def curve(pairs: DataFrame, truth_count: DataFrame, score: str, hit: str, weight: str) -> DataFrame:
     """(tau, tp, p, wtp, wp, t, wt): of predictions with score tau or more, the
     number that are true and all, plain and weighted.  Scores are grouped
-    first, so the running sums go over distinct thresholds, not rows.
+    first, so the running sums go over distinct thresholds, not rows; these are
+    summed in ranges, so that no task has them all.
 
     truth_count: one row (t, wt), the size and weight of the truth.
     """
@@ -17,8 +20,9 @@ def curve(pairs: DataFrame, truth_count: DataFrame, score: str, hit: str, weight
         F.sum(F.col(hit).cast("long")).alias("tp"), F.count(F.lit(1)).alias("p"),
         F.sum(F.when(F.col(hit), F.col(weight)).otherwise(0.0)).alias("wtp"), F.sum(weight).alias("wp"),
     )
-    w = Window.orderBy(F.desc("tau")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return at.select("tau", *[F.sum(c).over(w).alias(c) for c in ("tp", "p", "wtp", "wp")]).crossJoin(F.broadcast(truth_count))
+    names = ("tp", "p", "wtp", "wp")
+    summed = running_totals(at, [F.desc("tau")], list(names))
+    return summed.select("tau", *[F.col(f"total_{c}").alias(c) for c in names]).crossJoin(F.broadcast(truth_count))
 
 
 def measures(points: DataFrame, targets: int | F.Column = 1) -> DataFrame:

@@ -7,6 +7,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnflow.functions.arrays import running_before
+from tarnflow.functions.sequences import reverse_complement
+
+from .windows import running_totals
+
 
 def aggregate(parts: DataFrame, group: list[str], start: str = "start", end: str = "end", main: str | None = None, whole: bool = False) -> DataFrame:
     """Parts of one group as a parent with the parts' bounds and their list in
@@ -35,14 +40,36 @@ def ambiguous_runs(df: DataFrame, key: str, seq: str, least: int = 5, plain: str
     plain ones, 1-based."""
     pattern = f"[^{plain}]+"
     matches, between = F.regexp_extract_all(F.upper(seq), F.lit(pattern), F.lit(0)), F.split(F.upper(seq), pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("runs"))
-    rows = F.zip_with(matches, F.slice(between, 1, F.size(matches)), lambda m, b: F.struct(F.length(m).alias("m"), F.length(b).alias("b")))
+    long = lambda c: F.transform(c, lambda x: F.length(x).cast("long"))
+    runs, gaps = long(matches), long(F.slice(between, 1, F.size(matches)))
+    starts = F.zip_with(running_before(F.zip_with(runs, gaps, lambda r, g: r + g)), gaps, lambda b, g: b + g)
+    placed = F.zip_with(starts, runs, lambda a, r: F.struct((a + 1).cast("int").alias("start"), (a + r).cast("int").alias("end")))
+    return df.select(key, F.explode(placed).alias("r")).select(key, "r.start", "r.end").filter(F.col("end") - F.col("start") + 1 >= least)
+
+
+def amplicons_both(seq: Column, forward: str, reverse: str, longest: int = 5000) -> Column:
+    """Amplicons of either strand: array of struct(strand, amplicon), those of
+    the reverse strand as they read on it.  ``reverse`` is given as it stands
+    on the strand that is searched."""
+    found = lambda s, strand: F.transform(amplicons(s, forward, reverse, longest), lambda a: F.struct(F.lit(strand).alias("strand"), a.alias("amplicon")))
+    return F.concat(found(seq, 1), found(reverse_complement(F.upper(seq)), -1))
+
 
-    def step(s, r):
-        a = s["at"] + r["b"]
-        return F.struct((a + r["m"]).alias("at"), F.concat(s["runs"], F.array(F.struct((a + 1).alias("start"), (a + r["m"]).alias("end")))).alias("runs"))
+# The kinds of features that reports keep.
+REPORTED = ["CDS", "ncRNA", "rRNA", "tmRNA", "tRNA"]
 
-    return df.select(key, F.explode(F.aggregate(rows, zero, step)["runs"]).alias("r")).select(key, "r.start", "r.end").filter(F.col("end") - F.col("start") + 1 >= least)
+
+def reported(tag: Column) -> Column:
+    return tag.isin(REPORTED)
+
+
+def best_per_job(entries: DataFrame, job: list[str], score: str, order: list[Column], spotted: bool = True) -> DataFrame:
+    """Each job's best entry (ties: the first in ``order``); all entries if no
+    spotter model was used."""
+    if not spotted:
+        return entries
+    w = Window.partitionBy(*job).orderBy(F.desc(score), *order)
+    return entries.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
 
 
 def amplicons(seq: Column, forward: str, reverse: str, longest: int = 5000) -> Column:
@@ -52,16 +79,17 @@ def amplicons(seq: Column, forward: str, reverse: str, longest: int = 5000) -> C
 
 
 def split_database(sequences: DataFrame, order: str, longest: int = 64_000) -> DataFrame:
-    """Truncated upper-case sequences with their offset in the concatenation
-    (one separator each), numbered within ranges of ``order`` so that no
-    single task sorts all."""
+    """Truncated upper-case sequences with their offset in the concatenation in
+    ``order`` (one separator each)."""
     s = sequences.withColumn("seq", F.substring(F.upper("seq"), 1, longest))
-    s = s.withColumn("__size", (F.length("seq") + 1).cast("long")).withColumn("__part", F.pmod(F.xxhash64(order), F.lit(64)))
-    parts = s.groupBy("__part").agg(F.sum("__size").alias("__n"))
-    before = parts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    w = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    inner = s.withColumn("__in", F.coalesce(F.sum("__size").over(w), F.lit(0)))
-    return inner.join(F.broadcast(before), "__part").withColumn("offset", F.col("__before") + F.col("__in")).drop("__size", "__part", "__in", "__before")
+    s = s.withColumn("__size", (F.length("seq") + 1).cast("long"))
+    return running_totals(s, [F.asc(order)], ["__size"]).withColumn("offset", F.col("total___size") - F.col("__size")).drop("__size", "total___size")
+
+
+def chunks(database: DataFrame, order: str, size: int) -> DataFrame:
+    """Adds the number of the chunk of ``size`` characters that a sequence of
+    split_database starts in, for files of bounded size."""
+    return database.withColumn("chunk", F.floor(F.col("offset") / size))
 
 
 def stems(structure: str) -> list[tuple[int, int]]:

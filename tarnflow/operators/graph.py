@@ -7,36 +7,44 @@ so a lost executor costs one step; nothing is gathered on the driver.
 from __future__ import annotations
 
 import tempfile
+from itertools import count
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """A checkpoint in the shared folder (a local one where none is set)."""
-    sc = df.sparkSession.sparkContext
+    """A checkpoint in the shared folder: spark.checkpoint.dir's, or a local one
+    where none is set and driver and executors are one machine."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tarnflow-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tarnflow-"))
     return df.checkpoint()
 
 
-def ancestors(edges: DataFrame, child: str, parent: str, nodes: DataFrame | None = None, depth: int = 64) -> DataFrame:
+def ancestors(edges: DataFrame, child: str, parent: str, nodes: DataFrame | None = None, depth: int | None = None) -> DataFrame:
     """(node, ancestor, distance): all pairs with their least distance, self at
     0.  A step joins the newest pairs with the edges; pairs that are known at
-    a smaller distance aren't followed again."""
+    a smaller distance aren't followed again, so it ends for any graph.  Paths
+    longer than ``depth``, if that is given, are an error."""
     e = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).filter("node is not null and ancestor is not null").distinct()
     every = nodes.select(F.col(nodes.columns[0]).alias("node")) if nodes is not None else e.select("node").union(e.select("ancestor"))
     known = stored(every.distinct().select("node", F.col("node").alias("ancestor"), F.lit(0).alias("distance")))
     newest = known
     step = e.withColumnRenamed("node", "via").withColumnRenamed("ancestor", "next")
-    for d in range(1, depth + 1):
+    for d in count(1):
         reached = newest.join(step, F.col("ancestor") == F.col("via")).select("node", F.col("next").alias("ancestor")).distinct()
         newest = stored(reached.join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti").withColumn("distance", F.lit(d)))
         if newest.isEmpty():
             return known
+        if d == depth:
+            raise ValueError(f"paths of {depth} steps or more: is there a cycle?")
         known = known.unionByName(newest)
-    raise ValueError(f"paths longer than {depth}: is there a cycle?")
 
 
 def propagate(annotations: DataFrame, closure: DataFrame, key: str, term: str) -> DataFrame:
@@ -56,15 +64,15 @@ def information_content(term_counts: DataFrame, parent_counts: DataFrame, term:
     return both.withColumn("ic", F.greatest(F.lit(0.0), -F.log2((F.col("count") + 1) / (F.col("parent_count") + 1))))
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the least node that can be reached.  Every node takes
     its neighbours' least label and then its label's label, so labels cross a
     path in a number of rounds that grows with the path's logarithm at best and
-    its length at worst."""
+    its length at worst.  Labels only fall, so it ends for any graph."""
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null")
     both = stored(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("component")))
-    for _ in range(rounds):
+    while True:
         around = both.join(labels, F.col("v") == F.col("node")).groupBy("u").agg(F.min("component").alias("m"))
         lower = labels.join(around, F.col("node") == F.col("u")).select("node", F.least("component", "m").alias("component"))
         jump = lower.select(F.col("node").alias("n2"), F.col("component").alias("c2"))
@@ -73,7 +81,6 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 64) -> DataFrame:
         if moved.isEmpty():
             return after
         labels = after
-    raise ValueError("components did not settle")
 
 
 def non_redundant(ranked: DataFrame, closure: DataFrame, block: str, term: str, rank: str) -> DataFrame:
@@ -116,6 +123,82 @@ def lin(pairs: DataFrame, closure: DataFrame, ic: DataFrame, left: str, right: s
     return out.select(left, right, F.coalesce(F.try_divide(2 * F.col("shared"), F.col("ia") + F.col("ib")), F.lit(0.0)).alias("lin"))
 
 
+def relatives(edges: DataFrame, child: str, parent: str, start: DataFrame, relation: str | None = None, relations: tuple[str, ...] = (), up: bool = True, depth: int | None = None, aliases: DataFrame | None = None, most: int | None = None) -> DataFrame:
+    """(node, relative, distance) of the nodes in ``start`` (one column),
+    without themselves, nearest first.
+
+    Edges are followed up to parents or down to children, those of the chosen
+    ``relations`` alone if any are named, for ``depth`` steps at most; aliases
+    (alias, id) stand for other nodes; ``most`` relatives of each node stay, by
+    distance and then by name.
+    """
+    e = edges.filter(F.col(relation).isin(*relations)) if relation and relations else edges
+    a, b = (child, parent) if up else (parent, child)
+    step = stored(e.select(F.col(a).alias("via"), F.col(b).alias("next")).filter("via is not null and next is not null").distinct())
+    first = start.select(F.col(start.columns[0]).alias("node")).distinct()
+    if aliases is not None:
+        named = aliases.select(F.col(aliases.columns[0]).alias("__alias"), F.col(aliases.columns[1]).alias("__id"))
+        first = first.join(named, F.col("node") == F.col("__alias"), "left").select("node", F.coalesce("__id", "node").alias("relative"))
+    else:
+        first = first.withColumn("relative", F.col("node"))
+    known = newest = stored(first.withColumn("distance", F.lit(0)))
+    at = 0
+    while depth is None or at < depth:
+        at += 1
+        reached = newest.join(step, F.col("relative") == F.col("via")).select("node", F.col("next").alias("relative")).distinct()
+        newest = stored(reached.join(known.select("node", "relative"), ["node", "relative"], "left_anti").withColumn("distance", F.lit(at)))
+        if newest.isEmpty():
+            break
+        known = known.unionByName(newest)
+    out = known.filter("distance > 0")
+    if most is not None:
+        w = Window.partitionBy("node").orderBy("distance", "relative")
+        out = out.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= most).drop("__r")
+    return out
+
+
+def degrees(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(vertex, predecessors, successors, kind): kind is source, sink or inner."""
+    e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct()
+    each = e.select(F.col("a").alias("vertex"), F.lit(0).alias("i"), F.lit(1).alias("o")).unionByName(e.select(F.col("b").alias("vertex"), F.lit(1).alias("i"), F.lit(0).alias("o")))
+    sums = each.groupBy("vertex").agg(F.sum("i").alias("predecessors"), F.sum("o").alias("successors"))
+    return sums.withColumn("kind", F.when(F.col("predecessors") == 0, "source").when(F.col("successors") == 0, "sink").otherwise("inner"))
+
+
+def find_terms(terms: DataFrame, word: str, columns: list[str]) -> DataFrame:
+    """Terms that hold a word in one of the columns, in any case."""
+    hit = [F.lower(c).contains(word.lower()) for c in columns]
+    return terms.filter(F.greatest(*[F.coalesce(h, F.lit(False)) for h in hit], F.lit(False)))
+
+
+def coparents(edges: DataFrame, child: str, parent: str, relation: str) -> DataFrame:
+    """(child, relation, parents): the sets of parents that a term has together."""
+    return edges.groupBy(child, relation).agg(F.array_sort(F.collect_set(parent)).alias("parents"))
+
+
+def resnik(pairs: DataFrame, closure: DataFrame, ic: DataFrame, left: str, right: str) -> DataFrame:
+    """(left, right, shared): the greatest information content of a common
+    ancestor; 0 where there is none."""
+    a = pairs.join(closure.select(F.col("node").alias(left), F.col("ancestor").alias("anc")), left)
+    b = closure.select(F.col("node").alias(right), F.col("ancestor").alias("anc"))
+    common = a.join(b, [right, "anc"]).join(ic.select(F.col(ic.columns[0]).alias("anc"), "ic"), "anc").groupBy(left, right).agg(F.max("ic").alias("shared"))
+    return pairs.join(common, [left, right], "left").select(left, right, F.coalesce("shared", F.lit(0.0)).alias("shared"))
+
+
+def weighted_jaccard(pairs: DataFrame, closure: DataFrame, ic: DataFrame, left: str, right: str) -> DataFrame:
+    """(left, right, weighted): information content of the common ancestors
+    over that of all ancestors of either; 0 where that is 0."""
+    valued = closure.select("node", "ancestor").join(ic.select(F.col(ic.columns[0]).alias("ancestor"), "ic"), "ancestor")
+    totals = valued.groupBy("node").agg(F.sum("ic").alias("total"))
+    a = pairs.join(valued.select(F.col("node").alias(left), F.col("ancestor").alias("anc"), "ic"), left)
+    b = valued.select(F.col("node").alias(right), F.col("ancestor").alias("anc"))
+    common = a.join(b, [right, "anc"]).groupBy(left, right).agg(F.sum("ic").alias("both"))
+    own = lambda side, name: totals.select(F.col("node").alias(side), F.col("total").alias(name))
+    out = pairs.join(common, [left, right], "left").join(own(left, "ta"), left, "left").join(own(right, "tb"), right, "left")
+    both = F.coalesce("both", F.lit(0.0))
+    return out.select(left, right, F.coalesce(F.try_divide(both, F.col("ta") + F.col("tb") - both), F.lit(0.0)).alias("weighted"))
+
+
 def unlinked(edges: DataFrame, child: str, parent: str, leaves: bool) -> DataFrame:
     """Leaves (no child) or roots (no parent) of a graph."""
     kids, folks = edges.select(F.col(child).alias("node")).distinct(), edges.select(F.col(parent).alias("node")).distinct()

@@ -34,6 +34,67 @@ def accepted(qcov: Column, scov: Column, pide: Column, length: Column, rule: Hit
     return covered & pide.between(rule.least_identity, rule.most_identity)
 
 
+def enabled(value: Column, least: float | None = None, most: float | None = None, strict: bool = False) -> Column:
+    """A range filter whose bounds count only if they are given; ``strict``
+    leaves the bounds themselves out."""
+    ok = F.lit(True)
+    if least is not None:
+        ok = ok & ((value > least) if strict else (value >= least))
+    if most is not None:
+        ok = ok & ((value < most) if strict else (value <= most))
+    return F.coalesce(ok, F.lit(False))
+
+
+def length_window(start: Column, end: Column, least: float | None = None, most: float | None = None) -> Column:
+    """Hits whose ends are further apart than ``least`` and less than ``most``."""
+    return enabled(F.abs(end - start), least, most, strict=True)
+
+
+def accepted_hit(significance: Column, score: Column, bits: Column, most_significance: float | None = None, least_score: float | None = None, least_bits: float | None = None, predicate: Column | None = None) -> Column:
+    """A predicate of one's own, or else each bound that is given."""
+    if predicate is not None:
+        return F.coalesce(predicate, F.lit(False))
+    return enabled(significance, most=most_significance) & enabled(score, least_score) & enabled(bits, least_bits)
+
+
+def outside_taxon(identifier: Column, taxon: str) -> Column:
+    """Ids of another taxon, where ids begin with their taxon and a full stop."""
+    return ~identifier.startswith(f"{taxon}.") if taxon else F.lit(True)
+
+
+def informative(description: Column) -> Column:
+    """Descriptions that aren't placeholders."""
+    return F.coalesce(~F.trim(description).isin("", "N/A", "NA"), F.lit(False))
+
+
+def plain_symbol(symbol: Column) -> Column:
+    """Gene symbols that aren't database ids (two words with a _ between)."""
+    return ~symbol.rlike(r"\w+_\w+")
+
+
+def pseudogene(score: Column, structure: Column, profile: Column, gate: float = 55, least_structure: float = 5, least_profile: float = 10) -> Column:
+    """Hits below a total score with too little from the structure or the
+    profile."""
+    return (score < gate) & ((structure < least_structure) | (profile < least_profile))
+
+
+def with_query(df: DataFrame, block: list[str], is_query: Column, attributes: dict[str, str]) -> DataFrame:
+    """Hits without the query's own row, each with that row's attributes
+    (column -> new name); null where a block has no such row.  The greatest
+    value counts where a block has several."""
+    marked = df.withColumn("__query", F.coalesce(is_query, F.lit(False)))
+    own = marked.filter("__query").groupBy(*block).agg(*[F.max(c).alias(n) for c, n in attributes.items()])
+    return marked.filter("not __query").drop("__query").join(own, block, "left")
+
+
+def counters(df: DataFrame, passes: dict[str, Column], size: Column, seconds: float | None = None, by: list[str] = []) -> DataFrame:  # noqa: B006
+    """Run counters: rows, their size, and of each pass the hits; with the
+    ``seconds`` that it took, size per second."""
+    found = [F.count_if(c).alias(n) for n, c in passes.items()]
+    out = df.groupBy(*by).agg(F.count(F.lit(1)).alias("sequences"), F.coalesce(F.sum(size), F.lit(0)).alias("bases"), *found)
+    return out if seconds is None else out.withColumn("bases_per_second", F.try_divide(F.col("bases"), F.lit(float(seconds))))
+
+
 def first_accepted(df: DataFrame, block: list[str], order: list[Column], ok: Column, most: int, name: str = "status") -> DataFrame:
     """Marks the first ``most`` rows of each block where ``ok`` holds."""
     running = Window.partitionBy(*block).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -106,6 +167,28 @@ def word_scores(df: DataFrame, block: str, row: str, words: Column, bits: Column
     return df.select(block, row).join(means, [block, row], "left").select(block, row, F.coalesce("value", F.lit(0.0)).alias("value"), F.coalesce("jaccard", F.lit(0.0)).alias("jaccard"))
 
 
+def iterative_terms(df: DataFrame, block: str, hit: str, identity: Column, bits: Column, order: list[Column], terms: DataFrame, above: DataFrame, background: DataFrame, most: int, limit: float = 55.0, extra: float = 5.0) -> DataFrame:
+    """(block, term, ontology, score, extra, bits): terms of a block's first
+    ``most`` hits that have any.  A term's score is its greatest weight times
+    percent identity, and ``extra`` for each further hit; scores above
+    ``limit`` count, roots of an ontology are left out, and so is a term above
+    another that counts.
+
+    terms: hit, term, weight; above: term, ancestor (without itself);
+    background: term, ontology, count, root.  Terms that the background lacks
+    are obsolete and are left out.
+    """
+    own = terms.join(background.select("term"), "term", "left_semi")
+    having = df.withColumns({"__id": identity, "__bits": bits}).join(own.select(hit).distinct(), hit, "left_semi")
+    ranked = top(having, [block], order, most, "__rank")
+    each = ranked.select(block, hit, "__id", "__bits").join(own, hit)
+    scored = each.groupBy(block, "term").agg(F.max(F.col("weight") * F.col("__id") * 100).alias("best"), (F.lit(extra) * (F.count(F.lit(1)) - 1)).alias("extra"), F.max("__bits").alias("bits"))
+    good = scored.withColumn("score", F.col("best") + F.col("extra")).filter(F.col("score") > limit)
+    covered = good.select(block, "term").join(above, "term").select(block, F.col("ancestor").alias("term")).distinct()
+    kept = good.join(covered, [block, "term"], "left_anti").join(background, "term").filter(F.col("count") != F.col("root"))
+    return kept.select(block, "term", "ontology", "score", "extra", "bits")
+
+
 def tfidf(df: DataFrame, key: str, words: Column, counts: DataFrame, total: Column) -> DataFrame:
     """(key, word, cnt, idf) of a row's known distinct words (idf: ln of all
     words over the word's count)."""

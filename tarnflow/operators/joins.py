@@ -59,3 +59,30 @@ def ortholog_classes(members: DataFrame, event: str, side: str, species: str, ge
     b = sized.filter(F.col(side) == 2).select(event, F.col(species).alias("species_b"), F.col("n").alias("nb"))
     word = lambda c: F.when(F.col(c) == 1, "one").otherwise("many")
     return a.join(b, event).select(event, "species_a", "species_b", F.concat(word("na"), F.lit("2"), word("nb")).alias("class"))
+
+
+def by_any_key(df: DataFrame, key: str, dictionary: DataFrame, dict_keys: list[str], values: list[str]) -> DataFrame:
+    """Left join with a dictionary whose entries go by several keys each; an
+    entry that goes by one key twice counts once."""
+    keyed = dictionary.select(F.explode(F.array_distinct(F.array_compact(F.array(*[F.col(k).cast("string") for k in dict_keys])))).alias("__k"), *values).distinct()
+    return df.join(keyed, F.col(key) == F.col("__k"), "left").drop("__k")
+
+
+def override(df: DataFrame, key: str, changes: DataFrame, change_key: str, columns: dict[str, str]) -> DataFrame:
+    """Columns (column -> the changes' column) take the changes' values where
+    these have one for the row's key."""
+    new = changes.select(F.col(change_key).alias("__k"), *[F.col(v).alias(f"__{c}") for c, v in columns.items()])
+    out = df.join(new, F.col(key) == F.col("__k"), "left")
+    return out.withColumns({c: F.coalesce(f"__{c}", c) for c in columns}).drop("__k", *[f"__{c}" for c in columns])
+
+
+def found(df: DataFrame, key: str, sorted_keys: DataFrame, other: str, name: str = "found") -> DataFrame:
+    """Adds whether a row's key is in a table; Spark sorts or hashes it once."""
+    known = sorted_keys.select(F.col(other).alias("__k")).distinct()
+    return df.join(known, F.col(key) == F.col("__k"), "left").withColumn(name, F.col("__k").isNotNull()).drop("__k")
+
+
+def ranked_by_list(df: DataFrame, key: str, order: DataFrame, name: str, place: str) -> DataFrame:
+    """Adds a row's place in an external order (name, place); keys that the
+    order lacks have none and sort last."""
+    return df.join(order.select(F.col(name).alias("__k"), F.col(place).alias("order_place")), F.col(key) == F.col("__k"), "left").drop("__k")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +33,50 @@ def codon_usage(codons: DataFrame, codon: str) -> DataFrame:
     """(codon, n, per_thousand)."""
     counts = codons.groupBy(codon).agg(F.count(F.lit(1)).alias("n"))
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("__t")))).select(codon, "n", (1000.0 * F.col("n") / F.col("__t")).alias("per_thousand"))
+
+
+def sites(alignment: DataFrame, individual: str, seq: str, group: list[str] = [], gap: str = "-") -> DataFrame:  # noqa: B006
+    """(group, site, individual, allele) of the alignment's columns that vary:
+    at least two different residues besides gaps; sites count from 1."""
+    each = alignment.select(*group, individual, F.posexplode(F.split(F.upper(seq), "")).alias("site", "allele")).withColumn("site", F.col("site") + 1).filter(F.col("allele") != "")
+    varied = each.filter(F.col("allele") != gap).groupBy(*group, "site").agg(F.min("allele").alias("__a"), F.max("allele").alias("__z")).filter("__a <> __z").select(*group, "site")
+    return each.join(varied, [*group, "site"], "left_semi").select(*group, "site", individual, "allele")
+
+
+def tag_markers(haplotypes: DataFrame, group: str, haplotype: str, marker: str, allele: str) -> DataFrame:
+    """(group, markers): every smallest set of markers that tells all of a
+    group's different haplotypes apart.  Sets are tried by size, so a group (a
+    region's few common haplotypes) is one task's work."""
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        wide = p.pivot_table(index=haplotype, columns=marker, values=allele, aggfunc="min").drop_duplicates()
+        names = sorted(wide.columns)
+        for size in range(1, len(names) + 1):
+            found = [list(c) for c in combinations(names, size) if not wide[list(c)].duplicated().any()]
+            if found:
+                return pd.DataFrame({group: [p[group].iloc[0]] * len(found), "markers": found})
+        return pd.DataFrame({group: [], "markers": []})
+
+    few = haplotypes.select(group, haplotype, marker, allele)
+    kind = few.schema[marker].dataType.simpleString()
+    return few.groupBy(group).applyInPandas(run, f"{group} {few.schema[group].dataType.simpleString()}, markers array<{kind}>")
+
+
+def families(members: DataFrame, family: str, member: str) -> DataFrame:
+    """(family, size, members) with each member once, sorted."""
+    return members.groupBy(family).agg(F.array_sort(F.collect_set(member)).alias("members")).withColumn("size", F.size("members"))
+
+
+def enzymes(df: DataFrame, name: str, site: str, cut: str) -> DataFrame:
+    """Adds an enzyme's site length, whether it cuts blunt (in the middle of
+    its site) and whether its site is a palindrome."""
+    from tarnflow.functions.sequences import reverse_complement
+
+    length = F.length(site)
+    return df.withColumns({"site_length": length, "blunt": 2 * F.col(cut) == length, "palindrome": F.col(site) == reverse_complement(F.col(site))})
+
+
+def longest_cutters(collection: DataFrame, length: str = "site_length") -> DataFrame:
+    """The enzymes with the longest site."""
+    top = collection.agg(F.max(length).alias("__top"))  # one row
+    return collection.join(F.broadcast(top), F.col(length) == F.col("__top")).drop("__top")

@@ -44,3 +44,30 @@ def power_set(a: Column, size: int) -> Column:
 def union_streams(*tables: DataFrame) -> DataFrame:
     """All rows of tables whose columns may differ; what a table lacks is null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def sorted_map(entries: Column, by: str = "key", descending: bool = False) -> Column:
+    """A map's entries as an array of (key, value) in order of keys or of
+    values; equal values go by key."""
+    other = "value" if by == "key" else "key"
+
+    def order(x: Column, y: Column) -> Column:
+        one = F.when(x[by] < y[by], -1).when(x[by] > y[by], 1)
+        first = -one if descending else one
+        return F.coalesce(first, F.when(x[other] < y[other], -1).when(x[other] > y[other], 1), F.lit(0))
+
+    return F.array_sort(F.map_entries(entries), order)
+
+
+def reordered(entries: Column, keys: Column) -> Column:
+    """A map's values in the order of ``keys``; keys that it lacks are left out."""
+    return F.filter(F.transform(keys, lambda k: F.struct(k.alias("key"), F.try_element_at(entries, k).alias("value"))), lambda e: e["value"].isNotNull())
+
+
+def array_match(a: Column, b: Column) -> Column:
+    """struct(length, simple, permutation, different): whether two arrays are
+    equally long, equal, equal in some order; and how many places differ."""
+    places = F.zip_with(a, b, lambda x, y: ~x.eqNullSafe(y))
+    return F.struct(
+        (F.size(a) == F.size(b)).alias("length"), (a == b).alias("simple"), (F.array_sort(a) == F.array_sort(b)).alias("permutation"), F.size(F.filter(places, lambda d: d)).alias("different")
+    )

@@ -26,6 +26,28 @@ def running_numbers(df: DataFrame, coarse: str, order: list[str], step: int = 1,
     return out.withColumn(name, F.lit(start) + step * (F.col("__before") + F.col("__r"))).drop("__r", "__before")
 
 
+def running_totals(df: DataFrame, order: list[Column], columns: list[str]) -> DataFrame:
+    """Adds total_<c> of each column: its sum over all rows up to a row, in a
+    total order of the whole table.
+
+    Not one window over all rows: the table is cut into ranges of the order,
+    each is summed up by itself, and the ranges' totals, one row each, are
+    added.  Ranges depend on a sample, so they are stored before use.
+    """
+    from .graph import stored
+
+    # Partitions are made by number: joining small ones would mix up the ranges.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()))
+    sums = ranged.groupBy("__part").agg(*[F.sum(c).alias(f"__{c}") for c in columns])
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("__part", *[F.sum(f"__{c}").over(earlier).alias(f"__{c}") for c in columns])
+    inner = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = ranged.withColumns({f"total_{c}": F.sum(c).over(inner) for c in columns})
+    out = within.join(F.broadcast(before), "__part")
+    return out.withColumns({f"total_{c}": F.col(f"total_{c}") + F.coalesce(F.col(f"__{c}"), F.lit(0)) for c in columns}).drop("__part", *[f"__{c}" for c in columns])
+
+
 def number_around(df: DataFrame, group: str, order: list[str], given: str, step: int, forbidden: list[int] | None = None) -> DataFrame:
     """Numbers rows without one in ``given``, going on from the greatest number
     so far and leaving out numbers that are given or forbidden.  The next
@@ -51,19 +73,38 @@ def number_around(df: DataFrame, group: str, order: list[str], given: str, step:
     return df.groupBy(group).applyInPandas(run, fields + ", number long")
 
 
-def smooth(df: DataFrame, group: str, order: list[str], value: str, keep: float) -> DataFrame:
+def smooth(df: DataFrame, group: str, order: list[str], value: str, keep: float, samples: str | None = None) -> DataFrame:
     """Exponential smoothing s = keep * s' + (1 - keep) * x, from the first
-    value on, folded over each group's ordered values; one row a group holds
-    the values as an array, so groups should be bounded series."""
-    rows = df.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__x")))).alias("__rows"))
-    empty = F.array().cast("array<double>")
-    smoothed = F.aggregate(
-        F.col("__rows"),
-        empty,
-        lambda s, r: F.concat(s, F.array(F.when(F.size(s) == 0, r["__x"]).otherwise(keep * F.try_element_at(s, F.lit(-1)) + (1 - keep) * r["__x"]))),
-    )
-    zipped = rows.select(group, F.posexplode(F.arrays_zip(F.col("__rows"), smoothed.alias("s"))).alias("place", "z"))
-    return zipped.select(group, "place", *[F.col(f"z.__rows.{o}").alias(o) for o in order], F.col("z.__rows.__x").alias(value), F.col("z.s").alias("smoothed"))
+    value on, in order within each group.  With ``samples`` (how many samples a
+    row's value stands for) rows weigh as much as they have of all samples so
+    far: s = (keep * s' * n' + (1 - keep) * x * n) / (keep * n' + (1 - keep) * n),
+    n' being the last row's number.
+
+    Rows are sorted by group and order, and one pass carries the last value,
+    so a task holds one batch of rows however long a series is.
+    """
+    rows = df.select(group, *order, F.col(value).cast("double").alias(value), *([samples] if samples else []))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def run(frames):
+        key, s, before, place = None, 0.0, 0.0, 0
+        for p in frames:
+            out, places = np.empty(len(p)), np.empty(len(p), np.int32)
+            weights = p[samples].to_numpy(float) if samples else None
+            for i, (k, x) in enumerate(zip(p[group].tolist(), p[value].tolist())):
+                n = weights[i] if samples else 1.0
+                if place == 0 or k != key:
+                    key, s, place = k, x, 0
+                elif samples:
+                    whole = keep * before + (1 - keep) * n
+                    s = (keep * s * before + (1 - keep) * x * n) / whole if whole else s
+                else:
+                    s = keep * s + (1 - keep) * x
+                out[i], places[i], before = s, place, n
+                place += 1
+            yield p.assign(place=places, smoothed=out)
+
+    return rows.repartition(group).sortWithinPartitions(group, *order).mapInPandas(run, fields + ", place int, smoothed double").select(group, "place", *order, value, "smoothed")
 
 
 def derivative(df: DataFrame, group: list[str], x: str, y: str, tie: list[str]) -> DataFrame:

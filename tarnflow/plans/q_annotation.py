@@ -36,13 +36,13 @@ def sheets(t: Tables) -> registry.Sheets:
         "terms": terms[0].unionByName(terms[1]),
         "background": back[0].unionByName(back[1]).crossJoin(F.broadcast(root)),
         "words": part.select(F.explode(F.split(cleaned, r"\s+")).alias("word")).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("cnt")),
-        "descriptions": part.groupBy(cleaned.alias("cleandesc")).agg(F.count(F.lit(1)).alias("cnt")),
+        "descriptions": part.groupBy(cleaned.alias("plain")).agg(F.count(F.lit(1)).alias("cnt")),
     }
 
 
 #: Sheets that later operators read several times, by the operator after which
 #: they are stored.
-STORED = {"rm1": "data", "word_scores": "data", "clustering": "data", "class_scores": "goclass"}
+STORED = {"rm1": "data", "word_scores": "data", "clustering": "data", "class_scores": "term_scores"}
 
 
 def run(plan: list[str], s: registry.Sheets) -> registry.Sheets:
@@ -62,9 +62,9 @@ def describe_all(t):
 
 @query("q_predict_terms")
 def predict_terms(t):
-    return run(annotation.PREDICT, sheets(t))["goclass"]
+    return run(annotation.PREDICT, sheets(t))["term_scores"]
 
 
-@query("q_annotate")
-def annotate(t):
-    return run(annotation.ANNOTATE, sheets(t))["anno"]
+@query("q_full_annotation")
+def full_annotation(t):
+    return run(annotation.EVERYTHING, sheets(t))["findings"]

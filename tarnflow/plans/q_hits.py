@@ -126,9 +126,9 @@ def gsz_by_class(t):
     return class_table(t).select("q", "p_type", "k", F.round("gsz", 5).alias("gsz"))
 
 
-_SCORES = """r AS (SELECT q, p_type, k / CAST(b + n - k AS DOUBLE) AS jsc, s / (tb + 1.0) AS share, b, t, k, n, gsz FROM g JOIN (SELECT q AS q2, sum(s) AS tb FROM cl GROUP BY 1) ON q = q2),
+_SCORES = """r AS (SELECT q, p_type, k / CAST(b + n - k AS DOUBLE) AS jsc, s / (tb + 1.0) AS sh, b, t, k, n, gsz FROM g JOIN (SELECT q AS q2, sum(s) AS tb FROM cl GROUP BY 1) ON q = q2),
 sc AS (SELECT q, p_type, greatest(0, 0.36 + 0.01 * ln(jsc) + 0.02 * (CASE WHEN gsz > 1 THEN 1 + ln(gsz) WHEN gsz < -1 THEN -1 - ln(-gsz) ELSE gsz END) - 3.67e-5 * sqrt(b) - 0.007 * sqrt(n)) AS rm3,
-  share * log2(t / CAST(b AS DOUBLE)) AS argot, share * jsc AS jac, b / CAST(t AS DOUBLE) AS bg, least(k / CAST(n AS DOUBLE), 0.99) AS sans FROM r)"""
+  sh * log2(t / CAST(b AS DOUBLE)) AS share, sh * jsc AS jac, b / CAST(t AS DOUBLE) AS bg, least(k / CAST(n AS DOUBLE), 0.99) AS voted FROM r)"""
 
 
 def scored_classes(t: Tables) -> DataFrame:
@@ -138,18 +138,18 @@ def scored_classes(t: Tables) -> DataFrame:
     return g.join(tb, "q").select("q", "p_type", "k", "n", "b", "t", *[c.alias(name) for name, c in s.items()])
 
 
-@query("q_class_scores", _CLASS_SQL + "," + _SCORES + " SELECT q, p_type, round(rm3, 6) AS rm3, round(argot, 6) AS argot, round(jac, 6) AS jac, round(bg, 6) AS bg, round(sans, 6) AS sans FROM sc")
+@query("q_class_scores", _CLASS_SQL + "," + _SCORES + " SELECT q, p_type, round(rm3, 6) AS rm3, round(share, 6) AS share, round(jac, 6) AS jac, round(bg, 6) AS bg, round(voted, 6) AS voted FROM sc")
 def class_scores(t):
-    return scored_classes(t).select("q", "p_type", *[F.round(c, 6).alias(c) for c in ("rm3", "argot", "jac", "bg", "sans")])
+    return scored_classes(t).select("q", "p_type", *[F.round(c, 6).alias(c) for c in ("rm3", "share", "jac", "bg", "voted")])
 
 
 @query(
     "q_class_rank",
     _CLASS_SQL + "," + _SCORES + """ SELECT q, p_type, round(ppv, 5) AS ppv, CAST(row_number() OVER (PARTITION BY q ORDER BY round(ppv, 9) DESC, p_type) AS INTEGER) AS rank FROM (
-    SELECT *, CASE WHEN argot < 0 THEN 0 WHEN sqrt(argot) < 3.709538 THEN 0.3047 + 0.1452 * sqrt(argot) ELSE least(1, 0.67302 + 0.04591 * sqrt(argot)) END AS ppv FROM sc)""",
+    SELECT *, CASE WHEN share < 0 THEN 0 WHEN sqrt(share) < 3.709538 THEN 0.3047 + 0.1452 * sqrt(share) ELSE least(1, 0.67302 + 0.04591 * sqrt(share)) END AS ppv FROM sc)""",
 )
 def class_rank(t):
-    p = scored_classes(t).withColumn("ppv", S.ppv_argot(F.col("argot")))
+    p = scored_classes(t).withColumn("ppv", S.ppv_share(F.col("share")))
     w = Window.partitionBy("q").orderBy(F.desc(F.round("ppv", 9)), "p_type")
     return p.select("q", "p_type", F.round("ppv", 5).alias("ppv"), F.row_number().over(w).alias("rank"))
 

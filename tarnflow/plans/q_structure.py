@@ -207,7 +207,7 @@ def lin(t):
 @query("q_components", "SELECT u AS node, min(u) OVER (PARTITION BY g) AS component FROM (SELECT DISTINCT u, u % 17 AS g FROM (SELECT doc_id AS u FROM documents WHERE doc_id >= 17 UNION SELECT doc_id - 17 FROM documents WHERE doc_id >= 17))")
 def components(t):
     e = t.documents.filter("doc_id >= 17").select(F.col("doc_id").alias("a"), (F.col("doc_id") - 17).alias("b"))
-    return G.components(e, "a", "b", rounds=400)
+    return G.components(e, "a", "b")
 
 
 @query("q_roots_leaves", "SELECT doc_id AS node, 'leaf' AS kind FROM documents WHERE doc_id > 0 AND doc_id NOT IN (SELECT doc_id // 2 FROM documents WHERE doc_id > 0) UNION ALL SELECT 0, 'root'")

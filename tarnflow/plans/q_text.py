@@ -223,10 +223,20 @@ def translate(t):
 
 @query(
     "q_translate_reduced",
-    "SELECT p_partkey, translate(regexp_replace(upper(p_name), '[^A-Z]', '', 'g'), '{}', '{}') AS reduced FROM part".format("".join(Q.REDUCED["dayhoff"]), "".join(Q.REDUCED["dayhoff"].values())),
+    # Written out, and not made from the code's tables.
+    """WITH s AS (SELECT p_partkey, regexp_replace(upper(p_name), '[^A-Z]', '', 'g') AS s FROM part) SELECT p_partkey,
+    translate(s, 'ACGPSTWYRNDQEHKILMFV', 'AAAAAAAAEEEEEEEIIIII') AS structural,
+    translate(s, 'DEHKRAFILMPVWCGNQSTY', 'AACCCHHHHHHHHPPPPPPP') AS functional,
+    translate(s, 'AFILMPVWCDEGHKNQRSTY', 'IIIIIIIIOOOOOOOOOOOO') AS hydrophobic,
+    translate(s, 'CAGPSTDENQHKRILMVFWY', 'ACCCCCDDDDEEEFFFFGGG') AS dayhoff,
+    translate(s, 'ILVAGPMNQCSTDEKRFHWY', 'AAACCCDDDEEEFFGGHHHH') AS sneath,
+    translate(s, 'ACGILMPSTVDENQFWYHKR', 'AAAAAAAAAACCCCDDDEEE') AS stanfel,
+    translate(s, 'DEAGILVNQFWYRHKSTPCM', 'AALLLLLMMRRRCCCHHISS') AS chemical,
+    translate(s, 'DEHKRACFGILMNPQSTVWY', 'AACCCNNNNNNNNNNNNNNN') AS charge FROM s""",
 )
 def translate_reduced(t):
-    return t.part.select("p_partkey", Q.reduce_alphabet(F.regexp_replace(F.upper("p_name"), "[^A-Z]", ""), "dayhoff").alias("reduced"))
+    protein = F.regexp_replace(F.upper("p_name"), "[^A-Z]", "")
+    return t.part.select("p_partkey", *[Q.reduce_alphabet(protein, n).alias(n) for n in Q.REDUCED])
 
 
 @query("q_orf_split", "SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, orf FROM (SELECT doc_id, unnest(f) AS orf, unnest(range(1, len(f) + 1)) AS pos FROM (SELECT doc_id, list_filter(string_split_regex(text, '[ex]+'), lambda s: length(s) >= 20) AS f FROM documents WHERE lang = 'en'))")

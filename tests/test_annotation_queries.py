@@ -28,17 +28,17 @@ def test_every_described_block_has_word_scores(spark, sf, lines):
         assert r.desc in names[r.qpid]
         z = r.val if r.val <= 1 else 1 + math.log(r.val)
         assert r.rm2 == pytest.approx(0.59 + 0.53 * z + 0.02 * r.jac + 0.0004 * r.gsz, abs=1e-5)
-    anno = catalogue.queries()["q_annotate"](spark, sf).toPandas()
-    de = anno[anno.type == "DE"].set_index("qpid")
+    findings = catalogue.queries()["q_full_annotation"](spark, sf).toPandas()
+    de = findings[findings.type == "DE"].set_index("qpid")
     assert de.id.to_dict() == got.set_index("qpid").desc.to_dict()
-    assert {"TYPE_ARGOT", "BRAND_RM3"} <= set(anno.type)
+    assert {"TYPE_SHARE", "BRAND_RM3"} <= set(findings.type)
 
 
 def test_terms_of_all_accepted_hits(spark, sf, lines):
     got = catalogue.queries()["q_predict_terms"](spark, sf).toPandas()
     want = Counter((r.l_orderkey, x) for r in lines.itertuples() for x in (r.p_type, r.p_brand))
     assert {(r.qpid, r.goid): r.k for r in got.itertuples()} == dict(want)
-    assert (got[got.argot_rank == 1].groupby(["qpid", "ontology"]).size() == 1).all()
+    assert (got[got.share_rank == 1].groupby(["qpid", "ontology"]).size() == 1).all()
 
 
 def test_worded_variants_are_one_cluster(spark):
@@ -49,7 +49,7 @@ def test_worded_variants_are_one_cluster(spark):
         "data": spark.createDataFrame(hits, "qpid string, spid string, bits double, qcov double, scov double, pide double, lali double, desc string, species string"),
         "lineage": spark.createDataFrame([("S1", "Bacteria; A; Y")], "species string, lineage string"),
         "words": spark.createDataFrame(list(words.items()), "word string, cnt long"),
-        "descriptions": spark.createDataFrame([("SERINE KINASE", 40), ("SERINE KINASE ALPHA", 5), ("SUGAR PERMEASE", 60)], "cleandesc string, cnt long"),
+        "descriptions": spark.createDataFrame([("SERINE KINASE", 40), ("SERINE KINASE ALPHA", 5), ("SUGAR PERMEASE", 60)], "plain string, cnt long"),
     }
     out = registry.run(annotation.DESCRIBE, sheets)
     ids = {r.spid: r.clusid for r in out["data"].collect()}

@@ -42,7 +42,7 @@ def test_rm1_bindings(spark):
     assert one(spark, S.rm1(*a, F.lit(False))) == 0.0
 
 
-@pytest.mark.parametrize("curve", [S.ppv_rm3, S.ppv_argot, S.ppv_jaccard, S.ppv_hypergeometric, S.ppv_hypergeometric_exact, S.ppv_description])
+@pytest.mark.parametrize("curve", [S.ppv_rm3, S.ppv_share, S.ppv_jaccard, S.ppv_hypergeometric, S.ppv_hypergeometric_exact, S.ppv_description])
 def test_ppv_at_most_one(spark, curve):
     df = spark.createDataFrame([(x,) for x in (0.0, 0.01, 0.3, 0.46, 0.6, 1.0, 2.0, 20.0)], "x double")
     assert all(r[0] <= 1.0 for r in df.select(curve(F.col("x"))).collect())
@@ -103,7 +103,12 @@ def test_sequences(spark):
     assert (r.same, r.different, r.gaps) == (2, 1, 1)
     assert math.isclose(one(spark, Q.kimura(F.lit(0.1))), -math.log(1 - 0.1 - 0.002)) and math.isnan(one(spark, Q.kimura(F.lit(0.9))))
     assert Q.CODONS["ATG"] == "M" and Q.CODONS["TGA"] == "*" and len(Q.CODONS) == 64
-    assert one(spark, Q.reduce_alphabet(F.lit("ACDK"), "dayhoff")) == "bacd"
+    published = {"structural": "AAEEIAE", "functional": "HPAAHHC", "dayhoff": "CADDGCE", "sneath": "CEFFHCH", "stanfel": "AACCDAE", "chemical": "LSAARLC", "charge": "NNAANNC"}
+    for name, want in published.items():
+        got = one(spark, Q.reduce_alphabet(F.lit("ACDEFGH"), name))
+        # The published example has G as hydrophobic in one alphabet, against its own table.
+        assert got == ("HPAAHPC" if name == "functional" else want), name
+    assert one(spark, Q.reduce_alphabet(F.lit("ACDEFGHX"), "hydrophobic")) == "IOOOIOOX"
 
 
 def test_windows(spark):

@@ -87,17 +87,17 @@ def test_annotation_plan(spark):
         "terms": spark.createDataFrame([(f"A{i}", g) for i in range(6) for g in ("1", "2")] + [("B1", "2"), ("B1", "0")], "spid string, goid string"),
         "background": spark.createDataFrame([("0", 1000, "MF", 1000), ("1", 20, "MF", 1000), ("2", 300, "MF", 1000)], "goid string, count long, ontology string, root long"),
         "words": spark.createDataFrame([("SERINE", 30), ("KINASE", 90)], "word string, cnt long"),
-        "descriptions": spark.createDataFrame([("SERINE KINASE", 40), ("SUGAR PERMEASE", 60)], "cleandesc string, cnt long"),
+        "descriptions": spark.createDataFrame([("SERINE KINASE", 40), ("SUGAR PERMEASE", 60)], "plain string, cnt long"),
         "external": spark.createDataFrame([("1", "ec", "2.7.1.1")], "goid string, kind string, id string"),
     }
-    out = registry.run(annotation.ANNOTATE, sheets, Params(max_hits=5))
+    out = registry.run(annotation.EVERYTHING, sheets, Params(max_hits=5))
     assert out["data"].filter("status").count() == 6
     best = {r.qpid: r.desc for r in out["cluster"].collect()}
     assert best == {"q1": "Serine kinase", "q2": "Sugar permease"}
-    classes = {(r.qpid, r.goid): r for r in out["goclass"].collect()}
-    assert set(classes) == {("q1", "1"), ("q1", "2"), ("q2", "2")} and classes["q1", "1"].argot_rank == 1 and classes["q1", "1"].k == 5
-    anno = out["anno"].toPandas()
-    assert {"MF_ARGOT", "EC_ARGOT", "DE"} <= set(anno.type) and (anno.score > 0).all()
+    classes = {(r.qpid, r.goid): r for r in out["term_scores"].collect()}
+    assert set(classes) == {("q1", "1"), ("q1", "2"), ("q2", "2")} and classes["q1", "1"].share_rank == 1 and classes["q1", "1"].k == 5
+    findings = out["findings"].toPandas()
+    assert {"MF_SHARE", "EC_SHARE", "DE"} <= set(findings.type) and (findings.score > 0).all()
 
 
 def test_majority_and_vote(spark):
