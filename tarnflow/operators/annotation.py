@@ -16,6 +16,7 @@ from tarnflow.functions import text as X
 from tarnflow.params import Params
 
 from . import clustering as C
+from . import graph as G
 from . import hits as H
 from . import joins as J
 from .registry import Sheets, operator
@@ -143,21 +144,58 @@ def class_scores(sheets: Sheets, p: Params) -> Sheets:
     return {"term_scores": x.withColumns({f"{k}_rank": rank(k) for k in (*ppv, "voted", "bg")}).drop("m", "v", "total_bits")}
 
 
+@operator("remove_redundant", sheet="term_scores", needs=("goid", "share_rank"))
+def remove_redundant(sheets: Sheets, p: Params) -> Sheets:
+    """Of each block's and predictor's terms in order of rank, those that are
+    neither above nor below a better one; terms without a parent (roots) go.
+    The sheet closure has node, ancestor and distance."""
+    g, q = sheets["term_scores"], p.block_column
+    up = sheets["closure"]
+    inner = g.join(up.filter("distance > 0").select(F.col("node").alias("goid")).distinct(), "goid", "left_semi")
+    names = [c.removesuffix("_rank") for c in g.columns if c.endswith("_rank")]
+    # Ranks are within an ontology; terms of different ones aren't related.
+    long = inner.unpivot([q, "ontology", "goid"], [f"{n}_rank" for n in names], "predictor", "place").withColumn("predictor", F.regexp_replace("predictor", "_rank$", ""))
+    own = long.withColumn("run", F.concat_ws("\x1f", q, "ontology", "predictor"))
+    chosen = G.non_redundant(own, up, "run", "goid", "place")
+    back = own.select("run", q, "predictor").distinct()
+    return {"chosen": chosen.join(back, "run").select(q, "predictor", "goid")}
+
+
+@operator("iterative_terms", needs=("spid", "bits", "pide", "status"))
+def iterative_terms(sheets: Sheets, p: Params) -> Sheets:
+    """Term scores by weight times identity with a bonus for further hits; the
+    sheet terms has a weight here."""
+    q = p.block_column
+    d = sheets["data"].filter("status").withColumn("acc", X.split_accession(F.col("spid")))
+    t = sheets["terms"].select(F.col("spid").alias("acc"), F.col("goid").alias("term"), "weight")
+    back = sheets["background"].select(F.col("goid").alias("term"), "ontology", "count", "root")
+    above = sheets["closure"].filter("distance > 0").select(F.col("node").alias("term"), "ancestor")
+    return {"iterative": H.iterative_terms(d, q, "acc", F.col("pide"), F.col("bits").cast("double"), _order(), t, above, back, p.max_hits)}
+
+
 @operator("summary", sheet="term_scores", needs=("goid", "share_score"))
 def summary(sheets: Sheets, p: Params) -> Sheets:
     """One long table: descriptions, then terms by predictor, with EC and KEGG
-    rows where the external map has them; scores above 0 only."""
+    rows where the external map has them; scores above 0 only, and where
+    redundant terms were removed, those that are left."""
     q = p.block_column
     g = sheets["term_scores"]
     parts = []
     for k in ("rm3", "share", "jac", "hyge"):
-        parts.append(g.filter(F.col(f"{k}_score") > 0).select(q, F.concat_ws("_", "ontology", F.lit(k.upper())).alias("type"), F.col(f"{k}_score").alias("score"), F.col(f"{k}_ppv").alias("ppv"), F.col("goid").alias("id")))
+        some = g
+        if "chosen" in sheets:
+            some = g.join(sheets["chosen"].filter(F.col("predictor") == k).select(q, "goid"), [q, "goid"], "left_semi")
+        parts.append(some.filter(F.col(f"{k}_score") > 0).select(q, F.concat_ws("_", "ontology", F.lit(k.upper())).alias("type"), F.col(f"{k}_score").alias("score"), F.col(f"{k}_ppv").alias("ppv"), F.col("goid").alias("id")))
     if "external" in sheets:
         e = sheets["external"].select("goid", "kind", F.col("id").alias("external_id"))
         parts.append(g.filter("share_score > 0").join(e, "goid").select(q, F.concat(F.upper("kind"), F.lit("_SHARE")).alias("type"), F.col("share_score").alias("score"), F.col("share_ppv").alias("ppv"), F.col("external_id").alias("id")))
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
+    if "iterative" in sheets:
+        it = sheets["iterative"]
+        parts_of = it.select(q, F.concat_ws("_", "ontology", F.lit("ITERATIVE")).alias("type"), "score", F.lit(0.5).alias("ppv"), F.col("term").alias("id"))
+        out = out.unionByName(parts_of)
     if "cluster" in sheets:
         c = sheets["cluster"]
         out = out.unionByName(c.select(q, F.lit("DE").alias("type"), F.col("rm2").alias("score"), S.ppv_description(F.col("rm2")).alias("ppv"), F.col("desc").alias("id")))

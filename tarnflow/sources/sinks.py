@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnflow.functions.text import wrap
@@ -58,3 +58,39 @@ def xml(df: DataFrame, path: str, row: str = "entry", root: str = "entries") ->
 def intermediate(df: DataFrame, path: str, keys: list[str]) -> None:
     """Parquet in sorted ranges of the keys, so that readers prune by min and max."""
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
+def gff_lines(df: DataFrame, source: str, comments: list[str] = []) -> DataFrame:  # noqa: B006
+    """(value): lines of a feature file in nine tab-separated columns, of
+    entries (seq_id, feature, start, end, score, strand, frame, attribute);
+    what is missing is a full stop."""
+    dot = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
+    sign = F.when(F.col("strand").cast("string").isin("1", "+"), "+").when(F.col("strand").cast("string").isin("-1", "-"), "-").otherwise(".")
+    return df.select(F.concat_ws("\t", dot("seq_id"), F.lit(source), dot("feature"), F.least("start", "end").cast("string"), F.greatest("start", "end").cast("string"), dot("score"), sign, dot("frame"), dot("attribute")).alias("value"))
+
+
+def gff(df: DataFrame, path: str, source: str) -> None:
+    """gff_lines as files, by sequence and place."""
+    ordered = df.repartition("seq_id").sortWithinPartitions("seq_id", "start", "end")
+    gff_lines(ordered, source).write.mode("overwrite").text(path)
+
+
+def suppressed_hits(hits: DataFrame, path: str, columns: list[str]) -> None:
+    """Hits that a merge left out, tab-separated, for files of their own."""
+    hits.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.mode("overwrite").option("sep", "\t").option("header", False).csv(path)
+
+
+def report_rows(predictions: DataFrame, block: str, kind: str, score: str, most: int = 10) -> DataFrame:
+    """What a report shows: each block's best ``most`` predictions of a kind,
+    with a colour from 0 to 100 by precision (column ppv); rendering is left to
+    others."""
+    w = Window.partitionBy(block, kind).orderBy(F.desc(score), "id")
+    ranked = predictions.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
+    return ranked.withColumn("colour", F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("ppv", F.lit(0.0)))) * 100 + 1e-9).cast("int"))
+
+
+def ranked_hits(hits: DataFrame, block: str) -> DataFrame:
+    """Hits for an exchange format: rank by bits, coverages as percent with one
+    place behind the point."""
+    w = Window.partitionBy(block).orderBy(F.desc("bits"), "spid")
+    return hits.withColumns({"rank": F.row_number().over(w), "qcov": F.round(F.col("qcov") * 100, 1), "scov": F.round(F.col("scov") * 100, 1)})

@@ -57,6 +57,35 @@ def sessions(events: DataFrame, time: str, key: str, gap: str, late: str) -> Dat
     return g.agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n")
 
 
+def joined(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, late: str, within: str, how: str = "inner") -> DataFrame:
+    """Pairs of two streams' rows of one key whose times are at most ``within``
+    apart.  Both have a watermark, so that rows which can't pair any more leave
+    the state; an outer join gives such rows then."""
+    a = left.withWatermark(left_time, late)
+    b = right.withWatermark(right_time, late).withColumnRenamed(key, "__key")
+    near = F.expr(f"`{right_time}` BETWEEN `{left_time}` - INTERVAL {within} AND `{left_time}` + INTERVAL {within}")
+    return a.join(b, (F.col(key) == F.col("__key")) & near, how).drop("__key")
+
+
+def stanzas(spark: SparkSession, path: str, separator: str = "\n\n", files_per_batch: int = 1) -> DataFrame:
+    """A text operator over a stream of files: each stanza (lines up to the
+    separator) is a row (path, place, stanza), so what a line means may depend
+    on the lines before it; a file is read by one task, which cuts it."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", files_per_batch).load(path)
+    cut = files.select("path", F.posexplode(F.split(F.col("content").cast("string"), f"\\Q{separator}\\E")).alias("place", "stanza"))
+    return cut.filter(F.trim("stanza") != "")
+
+
+def stanza_tags(rows: DataFrame) -> DataFrame:
+    """(path, place, kind, tags): a stanza's [Kind] line and its ``tag: value``
+    lines as a map of lists."""
+    pairs = F.transform(F.regexp_extract_all("stanza", F.lit(r"(?m)^([a-z_]+: *[^\n]*)"), F.lit(1)), lambda line: F.struct(F.regexp_extract(line, "^([a-z_]+):", 1).alias("k"), F.regexp_extract(line, "^[a-z_]+: *(.*)$", 1).alias("v")))
+    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+    tags = F.map_from_arrays(keys, F.transform(keys, lambda k: F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])))
+    return rows.select("path", "place", F.regexp_extract("stanza", r"(?m)^\[(\w+)\]", 1).alias("kind"), tags.alias("tags"))
+
+
 def write_batches(df: DataFrame, path: str, checkpoint: str):
     """Appends each micro-batch to its own folder by number, so a batch that
     runs again replaces what it wrote."""

@@ -55,7 +55,21 @@ def test_tagged_hits(spark, put):
     path = put("x.sgml", '<QUERY nid=1 vote=5 len=99>\n>q1 text\n<SBJCT bits=50.5 pide=0.8 lali=80 len=199>\n>s1 Some protein OS=X\n</SBJCT><SBJCT bits=bad pide=0.7 lali=50 len=99>\n>s2 Other\n</SBJCT></QUERY>\n')
     got = {r.spid: r for r in T.tagged_hits(spark, path).collect()}
     assert got["s1"].qpid == "q1" and got["s1"].bits == 50.5 and got["s1"].qcov == 0.8 and got["s1"].scov == 0.4
-    assert got["s1"].header == "Some protein OS=X" and got["s2"].bits is None
+    assert (got["s1"].desc, got["s1"].species, got["s1"].genename, got["s1"].isquery) == ("Some protein", "X", "", "0") and got["s2"].bits is None
+    assert (got["q1"].isquery, got["q1"].qcov, got["q1"].lali, got["q1"].desc) == ("1", 1.0, 99, "text")
+    assert (got["s1"].rank, got["s2"].rank, got["s1"].vote) == (1, 2, "5")
+
+
+def test_tagged_hits_as_printed(spark, put):
+    """Attributes stand apart from their values; ranges and sequences."""
+    text = "# comment\n<DATABASE= x y 1 z 2 >\n<QUERY nid= 3 LSEQ= 9 >\n>q9 Query protein OS=Homo sapiens GN=ABC PE=1\nMKLVMKLVA\n"
+    text += "<SBJCT VOTE= 4 PIDE= 0.5 LALI= 8 BITS= 33.5 LSEQ= 15 QFROM= 1 QTO= 8 SFROM= 2 STO= 9 >\n>tr|A|A_X Some kinase OS=Mus musculus GN=Xy1 PE=2\nMKLV\n</SBJCT>\n</QUERY>\n"
+    path = put("y.sgml", text)
+    q, s = T.tagged_hits(spark, path, ranges=True).orderBy("rank").collect()
+    assert (q.qpid, q.nid, q.species, q.qseq, q.qseqlen, q.desc, q.genename) == ("q9", 3, "Homo sapiens", "MKLVMKLVA", 9, "Query protein", "")
+    assert (s.spid, s.qcov, s.scov, s.species, s.genename, s.desc, s.qseq) == ("tr|A|A_X", 0.8, 0.5, "Mus musculus", "Xy1", "Some kinase", None)
+    assert (s.qfrom, s.qto, s.sfrom, s.sto, s.sseqlen, s.vote) == (1, 8, 2, 9, 15, "4")
+    assert T.tagged_hits(spark, path, plus_one=False).filter("rank = 1").first().qcov == 8 / 9
 
 
 def test_dictionaries(spark, put):
@@ -123,3 +137,43 @@ def test_xml_and_intermediate(spark, tmp_path):
     assert rows(back) == [("a", 3), ("b", 1)]
     K.intermediate(df, f"{tmp_path}/i", ["n"])
     assert rows(spark.read.parquet(f"{tmp_path}/i")) == [("a", 3), ("b", 1)]
+
+
+def test_profile_reports(spark, put):
+    path = put("t.tbl", "# head\nT1 - Q1 PF1 1e-5 33.1 0.1 2e-5 30.0 0.0 1 1 0 0 1 1 1 1 text more\n\nT2 - Q1 PF1 bad 3 0 1 2 0\n")
+    got = {r.target: r for r in T.hmm_targets(spark, path).collect()}
+    assert (got["T1"].query, got["T1"].evalue, got["T1"].dscore) == ("Q1", 1e-5, 30.0) and got["T2"].evalue is None
+    path = put("r.txt", "Scores:\nseq1   1/2   10   1500 [.     1  1400 ..   900.5   1e-30\nseq1   2/2  3000  4500 ..     1  1400 .]   -2.0       3\n   alignment *->acgt\n")
+    assert rows(T.hmm_report(spark, path)) == [("seq1", 1, 10, 1500, 900.5, 1e-30), ("seq1", 2, 3000, 4500, -2.0, 3.0)]
+
+
+def test_prediction_reports(spark, put):
+    text = "sequence name= chr1\nlength= 1000\nstart position= 10 end position= 81\npotential tRNA sequence=  ACGT\nscore= 12.5\ntRNA predict as a tRNA- Ala : anticodon tgc\n"
+    text += "sequence name= chr1\nlength= 1000\nstart position= 300 end position= 229\nscore= 9\ntRNA predict as a tRNA- Gly : anticodon gcc\nnothing\n"
+    got = rows(T.raw_trnas(spark, put("raw.txt", text)))
+    assert got == [("chr1", 10, 81, "+", 10, "Ala", "tgc", 12.5, 1000), ("chr1", 229, 300, "-", 701, "Gly", "gcc", 9.0, 1000)]
+    text = "Sequence\t\ttRNA\ttRNA\tAnti\tInf\tHMM\nName\ttRNA #\tBegin\tEnd\tCodon\tScore\tScore\n--------\t------\t-----\t----\t-----\t---\t---\nchr1 \t1\t100\t171\tTGC\t75.2\t50.1\n"
+    (r,) = T.final_table(spark, put("final.out", text)).collect()
+    assert (r.seqname, r.start, r.end, r.anticodon, r.score, r.profile_score) == ("chr1", 100, 171, "TGC", 75.2, 50.1)
+    text = "chr1.t1 (100-171)\tLength: 72 bp\nType: Ala\tAnticodon: TGC at 34-36 (133-135)\tScore: 75.2\n         *    |\nSeq: GGGCGTG\nStr: >>>..<<\n\nchr1.t2 (300-229)\tLength: 72 bp\nType: Gly\tAnticodon: GCC at 1-2\tScore: 60\nSeq: GCG\nStr: >.<\n"
+    assert rows(T.structures(spark, put("x.ss", text))) == [("chr1.t1", 100, 171, 72, "Ala", "TGC", 75.2, "GGGCGTG", ">>>..<<"), ("chr1.t2", 300, 229, 72, "Gly", "GCC", 60.0, "GCG", ">.<")]
+    assert rows(T.position_map(spark, put("p.txt", "#x\nt1\t1:1\t2:17a\tbad\n"))) == [("t1", 1, "1"), ("t1", 2, "17a")]
+    assert rows(T.motif_counts(spark, put("m.txt", "x: 1\na: 9 9\nMotif counts:\na:  1 2\nc: 3  4\nend\n"))) == [("a", 1, 1), ("a", 2, 2), ("c", 1, 3), ("c", 2, 4)]
+
+
+def test_term_tables(spark, put):
+    assert rows(T.key_value_lines(spark, put("k.txt", "P1\tGO:1,GO:2\tmore\n\nP2\n"))) == [("P1", "GO:1,GO:2\tmore"), ("P2", None)]
+    df = spark.createDataFrame([("a", "GO:1;GO:2", None), ("a", "GO:2", "GO:7"), ("b", None, None)], "k string, x string, y string")
+    assert rows(T.term_sets(df, "k", ["x", "y"])) == [("a", ["1", "2", "7"]), ("b", [])]
+
+
+def test_feature_lines_of_nine_columns(spark, tmp_path):
+    df = spark.createDataFrame([("s", "rRNA", 90, 10, 5.5, -1, None, "16s"), ("s", "rRNA", 1, 5, None, 1, 0, None)], "seq_id string, feature string, start int, end int, score double, strand int, frame int, attribute string")
+    assert {tuple(r) for r in K.gff_lines(df, "x").collect()} == {("s\tx\trRNA\t1\t5\t.\t+\t0\t.",), ("s\tx\trRNA\t10\t90\t5.5\t-\t.\t16s",)}
+    K.gff(df, f"{tmp_path}/g", "x")
+    assert [r.value.split("\t")[3] for r in spark.read.text(f"{tmp_path}/g").collect()] == ["1", "10"]
+    K.suppressed_hits(df, f"{tmp_path}/m", ["seq_id", "start", "score"])
+    assert sorted(map(tuple, spark.read.option("sep", "\t").csv(f"{tmp_path}/m").collect())) == [("s", "1", None), ("s", "90", "5.5")]
+    p = spark.createDataFrame([("q", "DE", float(i), i / 20, f"t{i:02d}") for i in range(15)], "qpid string, type string, score double, ppv double, id string")
+    got = rows(K.report_rows(p, "qpid", "type", "score").select("id", "rank", "colour"))
+    assert len(got) == 10 and got[-1] == ("t14", 1, 70)

@@ -45,3 +45,20 @@ def test_write_batches(spark, tmp_path):
     stream, batch = source(spark, f"{tmp_path}/h")
     blocks.write_batches(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(120)
     assert spark.read.parquet(f"{tmp_path}/out").count() == batch.count()
+
+
+def test_two_streams_meet_in_time(spark, tmp_path):
+    at = "2024-01-01 00:{:02d}:00"
+    for name, rows in (("a", [(1, at.format(0), "x"), (1, at.format(30), "y"), (2, at.format(5), "z")]), ("b", [(1, at.format(4), 10), (2, at.format(50), 20), (1, at.format(28), 30)])):
+        spark.createDataFrame(rows, f"k int, t{name} string, v{name} {'string' if name == 'a' else 'int'}").withColumn(f"t{name}", F.to_timestamp(f"t{name}")).write.parquet(f"{tmp_path}/{name}")
+    a, b = blocks.read_files(spark, f"{tmp_path}/a", "k int, ta timestamp, va string"), blocks.read_files(spark, f"{tmp_path}/b", "k int, tb timestamp, vb int")
+    got = finished(blocks.joined(a, b, "k", "ta", "tb", "1 hour", "5 MINUTES"), "met", "append")
+    assert sorted((r.k, r.va, r.vb) for r in got.collect()) == [(1, "x", 10), (1, "y", 30)]
+
+
+def test_stanzas_over_a_stream(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i}.obo").write_text(f"format: 1\n\n[Term]\nid: T:{i}\nis_a: T:8\nis_a: T:9\n\n[Typedef]\nid: part_of\n")
+    got = finished(blocks.stanza_tags(blocks.stanzas(spark, str(tmp_path / "in"))), "stanzas", "append").filter("kind = 'Term'").collect()
+    assert sorted((r.place, r.tags["id"], r.tags["is_a"]) for r in got) == [(1, ["T:0"], ["T:8", "T:9"]), (1, ["T:1"], ["T:8", "T:9"])]
