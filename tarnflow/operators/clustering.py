@@ -49,9 +49,29 @@ def cluster(df: DataFrame, block: str, row: str, vector: str, cut: float = 0.7)
     """(block, row, clusid).  The tree needs all of a block's distances, so a
     block (a query's hits, at most a few hundred) is one task's work."""
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(row)
-        return pd.DataFrame({block: p[block], row: p[row], "clusid": average_linkage(np.stack(p[vector].to_numpy()).astype(float), cut)})
+
+    def labelled(p: pd.DataFrame) -> pd.DataFrame:
+        """Of whole blocks, which lie one after another."""
+        names = p[block].to_numpy()
+        edges = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1], [True])))
+        vectors = p[vector].to_numpy()
+        found = [average_linkage(np.stack(vectors[a:z]).astype(float), cut) for a, z in zip(edges[:-1], edges[1:])]
+        return pd.DataFrame({block: p[block], row: p[row], "clusid": np.concatenate(found)})
+
+    def run(frames):
+        # Sorted rows in batches: the last block of one may go on in the next.
+        held = None
+        for p in frames:
+            p = p if held is None else pd.concat([held, p], ignore_index=True)
+            if not len(p):
+                continue
+            ends = (p[block] != p[block].iloc[-1]).to_numpy()
+            if ends.any():
+                yield labelled(p[ends])
+            held = p[~ends]
+        if held is not None and len(held):
+            yield labelled(held)
 
     fields = f"{block} {df.schema[block].dataType.simpleString()}, {row} {df.schema[row].dataType.simpleString()}, clusid long"
-    return df.select(block, row, vector).groupBy(block).applyInPandas(run, fields)
+    few = df.filter(F.col(block).isNotNull()).select(block, row, vector)
+    return few.repartition(block).sortWithinPartitions(block, row).mapInPandas(run, fields)

@@ -85,11 +85,15 @@ def windows_around(start: Column, end: Column, flank: int, length: Column) -> tu
     return F.greatest(F.lit(1), start - flank), F.least(length, end + flank)
 
 
+#: Runs of overlapping intervals that are scanned together.
+RUNS = 1000
+
+
 def suppress(df: DataFrame, group: list[str], row: str, start: str, end: str, score: str) -> DataFrame:
     """Best of overlapping neighbours: rows in order of start are taken one by
     one; one that overlaps the last kept row replaces it if it scores more,
     else goes (ties keep the earlier).  The order matters only within a run of
-    overlapping rows, so such a run, and not a group, is one task's work."""
+    overlapping rows, so RUNS such runs, and not a group, are one task's work."""
 
     def chain(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values([start, end, row], kind="stable")
@@ -106,7 +110,7 @@ def suppress(df: DataFrame, group: list[str], row: str, start: str, end: str, sc
     cols = [*group, row, start, end, score]
     few = df.select(*cols)
     runs_of = island_ids(few, group, start, end, [end, row], "__island")
-    return runs_of.groupBy(*group, "__island").applyInPandas(lambda p: chain(p[cols]), few.schema)
+    return runs_of.withColumn("__island", F.floor(F.col("__island") / RUNS)).groupBy(*group, "__island").applyInPandas(lambda p: chain(p[cols]), few.schema)
 
 
 def merge_files(files: list[DataFrame], group: list[str], row: str, start: str, end: str, score: str) -> DataFrame:
@@ -147,7 +151,7 @@ def pair_one_to_one(a: DataFrame, b: DataFrame, group: list[str]) -> DataFrame:
     both = a.select(*group, F.lit(0).alias("__side"), F.col("a_id").alias("__id"), F.col("a_start").alias("__s"), F.col("a_end").alias("__e")).unionByName(
         b.select(*group, F.lit(1).alias("__side"), F.col("b_id").alias("__id"), F.col("b_start").alias("__s"), F.col("b_end").alias("__e"))
     )
-    cut = island_ids(both, group, "__s", "__e", ["__side", "__id"], "__island")
+    cut = island_ids(both, group, "__s", "__e", ["__side", "__id"], "__island").withColumn("__island", F.floor(F.col("__island") / RUNS))
     side = lambda k, n: cut.filter(F.col("__side") == k).select(*group, "__island", F.col("__id").alias(f"{n}_id"), F.col("__s").alias(f"{n}_start"), F.col("__e").alias(f"{n}_end"))
     fields = ", ".join([f"{g} {a.schema[g].dataType.simpleString()}" for g in group] + ["a_id long", "b_id long"])
     keys = [*group, "__island"]
