@@ -51,8 +51,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/tarnflow/{tag}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, below a folder of this application's."""
+    return f"{_own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tarnflow/{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
@@ -66,11 +70,22 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path (any file system that Spark knows)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of any store that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return bool(fs.exists(p))
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's scratch tables, for when its results have been
+    written elsewhere: results read them, so operators can't do it."""
+    fs, p = _hadoop(spark, _own_dir(spark))
+    fs.delete(p, True)
 
 
 def filesystem(uri: str):

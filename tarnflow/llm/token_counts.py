@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gathered, materialise, scratch, text_or_empty, tune
+from .common import exists, gathered, materialise, scratch, text_or_empty, tune
 from .tokenising import encoder, tokenizer_digest
 
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
@@ -46,9 +46,7 @@ def _count(path: str, batches):
 
 def _read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame:
     """(dg, n_tokens) of a tokenizer's stored counts, once each."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(cache)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    if not exists(spark, cache):
         return spark.createDataFrame([], "dg binary, n_tokens long")
     # Two writers may both have added a text; their counts are the same.
     known = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer_digest") == version)

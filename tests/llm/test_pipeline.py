@@ -77,6 +77,32 @@ def test_run_equals_plain_stages(spark, corpus):
     assert max(fill.values()) <= 2048
 
 
+def test_a_run_goes_on_from_finished_stages(spark, corpus, tmp_path, monkeypatch):
+    folder, _, _ = corpus
+    kept = (tmp_path / "stages").as_uri()
+    first = sorted(map(tuple, corpus_pipeline.run(spark, folder, kept).select("doc_id", "piece", "length").collect()))
+
+    def fails(*_):
+        raise AssertionError("a finished stage ran again")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, fails if n != "packing" else f) for n, f in corpus_pipeline.STAGES])
+    (tmp_path / "stages" / "packing" / "_SUCCESS").unlink()
+    assert sorted(map(tuple, corpus_pipeline.run(spark, folder, kept).select("doc_id", "piece", "length").collect())) == first
+
+
+def test_stages_take_odd_rows(spark, odd, tmp_path):
+    """Nulls, empty and very long texts, ties, repeated rows and clashing names
+    at every stage."""
+    spark.createDataFrame([(1, "nothing of the sort"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {"quality_rules": 0, "line_dedup": 9, "near_dedup": 7, "decontamination": 9, "packing": None}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, str(tmp_path))
+        if left[name] is None:
+            assert out.select("doc_id").distinct().count() == 8
+        else:
+            assert out.columns == corpus_pipeline.COLUMNS and out.count() == left[name], name
+
+
 def test_stages_keep_columns_and_accept_empty(spark, corpus, tmp_path):
     folder, _, _ = corpus
     docs = spark.read.parquet(f"{folder}/documents.parquet").filter("false")
