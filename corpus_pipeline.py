@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnflow.llm import decontam, line_dedup, near_dup, packing, quality_rules
-from tarnflow.llm.common import scratch
+from tarnflow.llm.common import exists, scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -64,11 +64,14 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over documents.  Results of stages go to scratch paths or,
+    where a folder is given, to it by name; a run that finds finished ones
+    there, as one that died leaves them, goes on from the last."""
     read = f"{sf_dir}/documents.parquet"
     for name, stage in STAGES:
-        made = stage(spark, spark.read.parquet(read), sf_dir)
-        read = scratch(spark, f"stage-{name}")
-        made.write.parquet(read)
+        path = f"{folder}/{name}" if folder else scratch(spark, f"stage-{name}")
+        if not (folder and exists(spark, f"{path}/_SUCCESS")):
+            stage(spark, spark.read.parquet(read), sf_dir).write.mode("overwrite").parquet(path)
+        read = path
     return spark.read.parquet(read)
