@@ -159,6 +159,20 @@ def test_large_tables_ways_find_the_same(frame, monkeypatch, keys, part, cell):
     assert got == {i: c for i, (_, c) in brute_classes(rows, 2).items()}
 
 
+def test_components_equal_label_passing(spark):
+    """Hubs with least and with greatest numbers, a path, random edges, edges
+    both ways and one from a node to itself, which links it with nothing."""
+    rng = random.Random(5)
+    edges = [(0, i) for i in range(1, 60)] + [(i, 99) for i in range(61, 80)] + [(100 + i, 101 + i) for i in range(7)]
+    edges += [(z, a) for a, z in edges[:3]] + [tuple(rng.sample(range(200, 260), 2)) for _ in range(40)]
+    top = {n: n for e in edges for n in e}
+    for _ in top:
+        for a, z in edges:
+            top[a] = top[z] = min(top[a], top[z])
+    got = near_dup.components(spark.createDataFrame([*edges, (300, 300)], "a long, z long")).collect()
+    assert len(got) == len(top) and {r.node: r.component for r in got} == top
+
+
 def test_recall_near_the_threshold(frame):
     """Pairs whose similarity is just 0.8 or a little more, each alone."""
     rng = random.Random(9)
