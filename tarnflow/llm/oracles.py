@@ -28,6 +28,27 @@ SELECT doc_id, source,
 FROM done
 """
 
+#: Sites of any size, a line on two pages or more; whole pages may go.
+LINE_DEDUP_ALL = r"""
+WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+totals AS (SELECT source, count(*) AS pages FROM pages WHERE source IS NOT NULL GROUP BY source),
+each AS (
+  SELECT source, line, count(*) AS n
+  FROM (SELECT source, unnest(list_distinct(list_filter(list_transform(lines, lambda s: trim(s, ' ' || chr(9) || chr(13))), lambda s: s <> ''))) AS line
+        FROM pages WHERE source IS NOT NULL AND text IS NOT NULL)
+  GROUP BY source, line),
+bad AS (SELECT source, list(line) AS bad FROM each JOIN totals USING (source) WHERE n >= 2 AND n > 0.05 * pages GROUP BY source),
+cut AS (
+  SELECT doc_id, p.source, text, lines,
+    CASE WHEN bad IS NULL THEN lines ELSE list_filter(lines, lambda s: trim(s, ' ' || chr(9) || chr(13)) = '' OR NOT list_contains(bad, trim(s, ' ' || chr(9) || chr(13)))) END AS kept
+  FROM pages p LEFT JOIN bad ON p.source = bad.source)
+SELECT doc_id, source,
+  CASE WHEN len(kept) < len(lines) THEN array_to_string(kept, chr(10)) ELSE text END AS text,
+  CAST(coalesce(len(lines) - len(kept), 0) AS BIGINT) AS n_dropped,
+  coalesce(len(kept) < len(lines) AND len(list_filter(kept, lambda s: trim(s, ' ' || chr(9) || chr(13)) <> '')) = 0, false) AS all_boilerplate
+FROM cut
+"""
+
 SECRET_SCAN = (
     r"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(1)) AS owner, coalesce(text, '') AS t FROM documents),
@@ -91,4 +112,4 @@ FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op4_secret_scan": SECRET_SCAN, "op7_decontamination": DECONTAMINATION, "op10_near_dedup": NEAR_DEDUP}
+    return {"op1_line_dedup": LINE_DEDUP, "op1_line_dedup_all": LINE_DEDUP_ALL, "op4_secret_scan": SECRET_SCAN, "op7_decontamination": DECONTAMINATION, "op10_near_dedup": NEAR_DEDUP}
