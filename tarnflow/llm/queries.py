@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, kn_lm, line_dedup, near_dup, packing, quality_qda, quality_rules, secrets, token_counts, token_store
+from . import decontam, importance, kn_lm, line_dedup, near_dup, packing, quality_qda, quality_rules, secrets, token_counts, token_store
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -65,6 +65,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_classes(_table(spark, sf_dir, "documents"), near_dup.NearRule(shingle=2))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     found = (
         op1_line_dedup,
@@ -77,6 +81,7 @@ def queries() -> dict:
         op8_lm_scores,
         op9_quality_rules,
         op10_near_dedup,
+        op12_importance,
         op1_line_dedup_all,
     )
     return {f.__name__: f for f in found}
