@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, importance, kn_lm, line_dedup, near_dup, packing, quality_qda, quality_rules, secrets, token_counts, token_store
+from . import cross_tokens, decontam, importance, kn_lm, line_dedup, near_dup, packing, quality_qda, quality_rules, secrets, token_counts, token_store
 
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_classes(_table(spark, sf_dir, "documents"), near_dup.NearRule(shingle=2))
 
 
+def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens.token_links(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance_draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +85,7 @@ def queries() -> dict:
         op8_lm_scores,
         op9_quality_rules,
         op10_near_dedup,
+        op11_cross_tokens,
         op12_importance,
         op1_line_dedup_all,
     )
