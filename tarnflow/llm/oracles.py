@@ -131,6 +131,15 @@ o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank FROM o
 """
 
+#: The tables' pages all mark their article; its blocks are p and h1.
+HTML_TEXT = r"""
+WITH a AS (SELECT page_id, url, replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>', ' ') AS a FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'), lambda b: regexp_replace(b, '<[^>]*>', '', 'g')) AS bs FROM a),
+c AS (SELECT page_id, url, list_transform(bs, lambda b: regexp_replace(replace(replace(replace(b, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')) AS bs FROM b),
+t AS (SELECT page_id, url, array_to_string(list_filter(list_transform(bs, lambda b: trim(regexp_replace(b, '\s+', ' ', 'g'))), lambda b: b <> ''), chr(10)) AS text FROM c)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -140,4 +149,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontamination": DECONTAMINATION,
         "op10_near_dedup": NEAR_DEDUP,
         "op12_importance": IMPORTANCE,
+        "op13_html_text": HTML_TEXT,
     }

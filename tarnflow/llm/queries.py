@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_tokens, decontam, importance, kn_lm, line_dedup, near_dup, packing, quality_qda, quality_rules, secrets, token_counts, token_store
+from . import cross_tokens, decontam, html_main, importance, kn_lm, line_dedup, near_dup, packing, quality_qda, quality_rules, secrets, token_counts, token_store
 
 BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -73,6 +73,10 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance_draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     found = (
         op1_line_dedup,
@@ -87,6 +91,7 @@ def queries() -> dict:
         op10_near_dedup,
         op11_cross_tokens,
         op12_importance,
+        op13_html_text,
         op1_line_dedup_all,
     )
     return {f.__name__: f for f in found}
