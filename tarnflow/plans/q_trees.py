@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tarnflow.operators import semantic as S
 from tarnflow.operators import trees as R
 
+from .q_structure import _UP, closure
 from .registry import Tables, query
 
 
@@ -85,3 +87,38 @@ def path_vertices(t):
     """The least path of every document to the root of the graph."""
     pairs = t.documents.select(F.col("doc_id").alias("source"), F.lit(0).cast("long").alias("target"))
     return R.path_vertices(pairs, R.predecessors(graph(t), "a", "b", t.documents.select("doc_id")), "source", "target")
+
+
+def _lists(t: Tables):
+    """A document belongs to one of 40 lists as a term and to another as a member."""
+    d = F.col("doc_id")
+    return t.documents.select((d % 40).alias("key"), d.alias("term")), t.documents.select((d * 7 % 40).alias("key"), d.alias("member"))
+
+
+_LISTED = f"""{_UP}, c AS (SELECT ancestor AS node, ln((SELECT count(*) FROM documents)) - ln(count(*)) AS ic FROM up GROUP BY 1),
+t AS (SELECT doc_id % 40 AS key, doc_id AS term FROM documents), l AS (SELECT doc_id * 7 % 40 AS key, doc_id AS member FROM documents),
+p AS (SELECT key, term, member FROM t JOIN l USING (key)), s AS (SELECT up.node, sum(c.ic) AS total, count(*) AS n FROM up JOIN c ON c.node = up.ancestor GROUP BY 1)"""
+_MET = """m AS (SELECT key, term, member, max(c.ic) AS shared, sum(c.ic) AS common, count(*) AS n, bool_or(x.ancestor = term) AS ht, bool_or(x.ancestor = member) AS hm
+  FROM p JOIN up x ON x.node = term JOIN up y ON y.node = member AND y.ancestor = x.ancestor JOIN c ON c.node = x.ancestor GROUP BY ALL)"""
+
+
+@query(
+    "q_list_semantic",
+    f"""WITH RECURSIVE {_LISTED}, {_MET}, r AS (SELECT key, term, coalesce(2 * shared / nullif(a.ic + b.ic, 0), 0) AS lin,
+      coalesce(2 * shared / nullif(sa.total + sb.total - 2 * common + CASE WHEN ht THEN a.ic ELSE 0 END + CASE WHEN hm THEN b.ic ELSE 0 END, 0), 0) AS path, 1 - exp(-shared) / (SELECT count(*) FROM documents) AS w
+      FROM m JOIN c a ON a.node = term JOIN c b ON b.node = member JOIN s sa ON sa.node = term JOIN s sb ON sb.node = member)
+    SELECT key, term, round(max(lin), 6) AS lin, round(max(path), 6) AS path_lin, round(max(w * lin), 6) AS weighted_lin, round(max(w * path), 6) AS weighted_path_lin FROM r GROUP BY ALL""",
+)
+def list_semantic(t):
+    up = closure(t)
+    n = t.documents.count()
+    ic = up.groupBy(F.col("ancestor").alias("node")).agg((F.log(F.lit(float(n))) - F.log(F.count(F.lit(1)).cast("double"))).alias("ic"))
+    terms, lists = _lists(t)
+    scores = S.list_scores(terms, lists, up, ic, n)
+    return scores.select("key", "term", *[F.round(c, 6).alias(c) for c in S.SCORES])
+
+
+@query("q_list_jaccard", f"WITH RECURSIVE {_LISTED}, {_MET} SELECT key, term, round(max(m.n / greatest(sa.n + sb.n - m.n + 2.0, 1)), 6) AS jaccard FROM m JOIN s sa ON sa.node = term JOIN s sb ON sb.node = member GROUP BY ALL")
+def list_jaccard(t):
+    terms, lists = _lists(t)
+    return S.list_jaccard(terms, lists, closure(t), 2.0).withColumn("jaccard", F.round("jaccard", 6))
