@@ -58,27 +58,13 @@ def _unit(key: str) -> str:
     return key if key[:1] == "\n" else " " + key[key[:1] == "\0" :]
 
 
-def groups_of(a: list[int], b: list[int], a_ends, b_ends) -> list[tuple[list[int], list[int]]]:
-    """Ids between two neighbouring offsets at which tokens of both end."""
-    out, i, j, a0, b0 = [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        if a_ends[i] < b_ends[j]:
-            i += 1
-        elif a_ends[i] > b_ends[j]:
-            j += 1
-        else:
-            i, j = i + 1, j + 1
-            # A token without bytes would belong to the group before it.
-            out.append((a[a0:i], b[b0:j]))
-            a0, b0 = i, j
-    return out
-
-
 class Units:
     """What a worker knows of units, groups and id pairs, by local numbers."""
 
-    #: Characters of units kept (all that belongs to one takes about 60 times its length).
-    LIMIT = 2_000_000
+    #: Units kept (about 300 bytes each), and units that one call encodes.
+    LIMIT, CALL = 300_000, 8192
+    #: A unit that is put before others, so that all begin within a text.
+    LEAD = " ."
 
     def __init__(self, a_path: str, b_path: str, seed: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -90,66 +76,124 @@ class Units:
         self.tok.no_padding()
         self.tok.encode_special_tokens = True
         bytes_of = _byte_alphabet()
-        self.a_bytes = {}
-        for name, token in self.tok.get_vocab(with_added_tokens=True).items():
+        names = self.tok.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (max(names.values()) + 1)
+        for name, token in names.items():
             self.a_bytes[token] = bytes(bytes_of[c] for c in name) if all(c in bytes_of for c in name) else name.encode()
         sp = self.sp
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.widths = [np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes)]
+        # Groups of up to two ids a side go by one number, where ids are small enough.
+        self.packed = len(self.a_bytes) <= 1 << 16 and len(self.b_bytes) <= 1 << 15
         self.forget()
 
     def forget(self) -> None:
-        self.size = 0
         self.number: dict[str, int] = {}
-        self.text: list[str] = []
         self.facts = array.array("q")  # n_a, n_b, n_groups, n_links, 1 if the bytes differ
         self.unit_at, self.unit_groups = array.array("q", [0]), array.array("q")
-        self.group: dict[str, int] = {}
+        self.group: dict[int | bytes, int] = {}
+        self.name: list[str] = []
         self.group_key = array.array("q")
         self.group_at, self.group_pairs = array.array("q", [0]), array.array("q")
         self.pair: dict[int, int] = {}
 
-    def _group(self, a: list[int], b: list[int]) -> tuple[str, int]:
-        name = f"{','.join(map(str, a))}|{','.join(map(str, b))}"
-        at = self.group.get(name)
+    def _group(self, key, a: list[int], b: list[int]) -> int:
+        at = self.group.get(key)
         if at is None:
-            at = self.group[name] = len(self.group)
+            name = f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+            at = self.group[key] = len(self.name)
+            self.name.append(name)
             self.group_key.append(xxhash.xxh3_64_intdigest(name, self.seed) - (1 << 63))
             pair = self.pair
             for x in dict.fromkeys(a):
                 for y in dict.fromkeys(b):
                     self.group_pairs.append(pair.setdefault(x << 32 | y, len(pair)))
             self.group_at.append(len(self.group_pairs))
-        return name, at
+        return at
+
+    def _numbers(self, a: np.ndarray, b: np.ndarray, a_at: np.ndarray, b_at: np.ndarray) -> np.ndarray:
+        """Local numbers of the groups that a_at and b_at bound."""
+        n_a, n_b = np.diff(a_at), np.diff(b_at)
+        out = np.empty(len(n_a), np.int64)
+        small = (n_a <= 2) & (n_b <= 2) & self.packed
+        i = np.flatnonzero(small)
+        second = [np.where(n[i] == 2, ids[np.minimum(at[i] + 1, len(ids) - 1)], 0) for n, ids, at in ((n_a, a, a_at), (n_b, b, b_at))]
+        head = ((n_a[i] - 1) * 2 + n_b[i] - 1).astype(np.uint64)
+        key = head << np.uint64(62)
+        for value, shift in ((a[a_at[i]], 46), (second[0], 30), (b[b_at[i]], 15), (second[1], 0)):
+            key |= value.astype(np.uint64) << np.uint64(shift)
+        known, first, back = np.unique(key, return_index=True, return_inverse=True)
+        of = [self._group(k, a[a_at[j] : a_at[j + 1]].tolist(), b[b_at[j] : b_at[j + 1]].tolist()) for k, j in zip(known.tolist(), i[first].tolist())]
+        out[i] = np.array(of, np.int64)[back]
+        for j in np.flatnonzero(~small).tolist():
+            x, y = a[a_at[j] : a_at[j + 1]], b[b_at[j] : b_at[j + 1]]
+            out[j] = self._group(x.tobytes() + b"|" + y.tobytes(), x.tolist(), y.tolist())
+        return out
+
+    def _together(self, keys: list[str], units: list[str]) -> bool:
+        """Adds units by one text that they make; False if that doesn't do."""
+        text = self.LEAD + "".join(units)
+        body = text.encode("utf-8", "surrogatepass")
+        a = self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = self.sp.encode(text[1:], num_threads=1)  # the library puts a blank before a text
+        if any(b"".join([side[i] for i in ids]) != body for side, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            return False
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends, b_ends = np.cumsum(self.widths[0][a]), np.cumsum(self.widths[1][b])
+        sizes = [len(self.LEAD), *(map(len, units) if len(body) == len(text) else [len(u.encode("utf-8", "surrogatepass")) for u in units])]
+        stops = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        ends = np.cumsum(sizes)
+        last = np.searchsorted(stops, ends)
+        if not np.array_equal(stops[np.minimum(last, len(stops) - 1)], ends):
+            return False
+        a_at, b_at = (np.searchsorted(x, stops[last[0] :], side="right") for x in (a_ends, b_ends))
+        edges = last - last[0]
+        groups = self._numbers(a, b, a_at, b_at)
+        links = np.concatenate(([0], np.cumsum(np.diff(a_at) * np.diff(b_at))))
+        columns = [np.diff(a_at[edges]), np.diff(b_at[edges]), np.diff(edges), np.diff(links[edges]), np.zeros(len(units), np.int64)]
+        self._add(keys, np.stack(columns, axis=1), edges[1:], groups)
+        return True
+
+    def _add(self, keys: list[str], facts: np.ndarray, edges: np.ndarray, groups: np.ndarray) -> None:
+        first = len(self.number)
+        self.number.update(zip(keys, range(first, first + len(keys))))
+        self.facts.frombytes(np.ascontiguousarray(facts, np.int64).tobytes())
+        self.unit_at.frombytes((edges + len(self.unit_groups)).astype(np.int64).tobytes())
+        self.unit_groups.frombytes(groups.astype(np.int64).tobytes())
+
+    def _alone(self, key: str) -> None:
+        """A unit that can't stand beside others: at a text's start or end."""
+        unit = _unit(key)
+        body = unit.encode("utf-8", "surrogatepass")
+        a = self.tok.encode(unit, add_special_tokens=False).ids
+        b = self.sp.encode(unit[1:] if unit[0] == " " else unit, num_threads=1)
+        if unit[0] != " ":
+            b = b[1:] if b and self.b_bytes[b[0]] == b" " else []
+        facts, groups = [0, 0, 0, 0, 1], np.empty(0, np.int64)
+        if a and b and all(b"".join([side[i] for i in ids]) == body for side, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            a, b = np.array(a, np.int64), np.array(b, np.int64)
+            a_ends, b_ends = np.cumsum(self.widths[0][a]), np.cumsum(self.widths[1][b])
+            stops = np.intersect1d(a_ends, b_ends, assume_unique=True)
+            a_at, b_at = (np.concatenate(([0], np.searchsorted(x, stops, side="right"))) for x in (a_ends, b_ends))
+            groups = self._numbers(a, b, a_at, b_at)
+            facts = [len(a), len(b), len(stops), int((np.diff(a_at) * np.diff(b_at)).sum()), 0]
+        self._add([key], np.array([facts]), np.array([len(groups)]), groups)
 
     def learn(self, keys: list[str]) -> None:
-        units = [_unit(k) for k in keys]
-        a_ids = [e.ids for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
-        # The library puts a blank before a text.
-        b_ids = self.sp.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        for key, unit, a, b in zip(keys, units, a_ids, b_ids):
-            body = unit.encode("utf-8", "surrogatepass")
-            if unit[0] == "\n":
-                b = b[1:] if self.b_bytes[b[0]] == b" " else []
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            self.number[key] = len(self.text)
-            self.size += len(key) + 16
-            if b"".join(a_parts) != body or b"".join(b_parts) != body:
-                self.facts.extend((0, 0, 0, 0, 1))
-                self.text.append("")
-            else:
-                found = groups_of(a, b, np.cumsum([len(x) for x in a_parts]).tolist(), np.cumsum([len(x) for x in b_parts]).tolist())
-                names = [self._group(x, y) for x, y in found]
-                self.facts.extend((len(a), len(b), len(found), sum(len(x) * len(y) for x, y in found), 0))
-                self.text.append(";".join(n for n, _ in names))
-                self.unit_groups.extend(at for _, at in names)
-            self.unit_at.append(len(self.unit_groups))
+        plain = [k for k in keys if k and k[0] != "\0" and not _ODD.search(k) and k[k[0] == "\n" :].isprintable() and " " not in k and "\n" not in k[1:]]
+        taken = set(plain) if len(plain) < len(keys) else ()
+        odd = [k for k in keys if k not in taken] if len(plain) < len(keys) else []
+        if plain and not self._together(plain, [_unit(k) for k in plain]):
+            odd += plain
+        for k in odd:
+            self._alone(k)
 
     def numbers(self, keys: list[str]) -> list[int]:
         number = self.number
         new = [k for k in dict.fromkeys(keys) if k not in number]
-        for i in range(0, len(new), 4096):
-            self.learn(new[i : i + 4096])
+        for i in range(0, len(new), self.CALL):
+            self.learn(new[i : i + self.CALL])
         return [number[k] for k in keys]
 
 
@@ -193,7 +237,7 @@ def _cut(a_path: str, b_path: str, seed: int, id_type: pa.DataType, batches):
 
     def counted():
         used, more = np.flatnonzero(held), np.flatnonzero(extra)
-        ids, pairs = list(known.group), np.fromiter(known.pair, np.int64, len(known.pair))
+        ids, pairs = known.name, np.fromiter(known.pair, np.int64, len(known.pair))
         keys = np.array(known.group_key, np.int64)
         for i in range(0, len(used), 20_000):
             some = used[i : i + 20_000]
@@ -203,7 +247,7 @@ def _cut(a_path: str, b_path: str, seed: int, id_type: pa.DataType, batches):
             yield rows(len(some), pair=pa.array(pairs[some]), n=pa.array(extra[some]))
 
     for b in gathered(batches, size=4 << 20):
-        if known.size > known.LIMIT:
+        if len(known.number) > known.LIMIT:
             yield from counted()
             known.forget()
             held, extra = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -221,18 +265,16 @@ def _cut(a_path: str, b_path: str, seed: int, id_type: pa.DataType, batches):
         sums = sums[edges[1:]] - sums[edges[:-1]]
         good = (sums[:, 4] == 0) & (edges[1:] > edges[:-1])
         sums[~good] = 0
-        text_of = known.text
-        sha = [
-            hashlib.sha256(";".join([text_of[i] for i in numbers[x:z]]).encode()).hexdigest() if ok else ""
-            for x, z, ok in zip(edges[:-1].tolist(), edges[1:].tolist(), good.tolist())
-        ]
         doc = np.repeat(np.arange(len(good)), np.diff(edges))
         u, doc = u[good[doc]], doc[good[doc]]
         g, sizes = _ragged(known.unit_at, known.unit_groups, u)
-        doc, g, times = _distinct(np.repeat(doc, sizes), g, max(1, len(known.group)))
+        doc = np.repeat(doc, sizes)
+        spelt, bounds, name = g.tolist(), np.searchsorted(doc, np.arange(len(good) + 1)).tolist(), known.name
+        sha = [hashlib.sha256(";".join([name[i] for i in spelt[x:z]]).encode()).hexdigest() if ok else "" for x, z, ok in zip(bounds, bounds[1:], good.tolist())]
+        doc, g, times = _distinct(doc, g, max(1, len(known.name)))
         p, sizes = _ragged(known.group_at, known.group_pairs, g)
         _, p, often = _distinct(np.repeat(doc, sizes), p, max(1, len(known.pair)))
-        held = np.bincount(g, minlength=len(known.group)) + np.pad(held, (0, len(known.group) - len(held)))
+        held = np.bincount(g, minlength=len(known.name)) + np.pad(held, (0, len(known.name) - len(held)))
         over = np.bincount(p[often > 1], weights=often[often > 1] - 1, minlength=len(known.pair)).astype(np.int64)
         extra = over + np.pad(extra, (0, len(known.pair) - len(extra)))
         at = pa.array(np.searchsorted(doc, np.arange(len(good) + 1)), pa.int32())
