@@ -25,15 +25,15 @@ SALTS = 16
 class LineRule:
     #: Share of a host's pages above which a line is boilerplate.
     ratio: float = 0.05
-    #: Hosts of fewer pages keep all lines; lines on fewer pages are kept.
-    min_pages: int = 20
-    min_line_pages: int = 5
+    #: Least pages of a host and of a line; what one page has isn't repeated.
+    min_pages: int = 2
+    min_line_pages: int = 2
     #: Whether pages that would lose all their lines are kept as they are.
-    keep_copies: bool = True
+    keep_copies: bool = False
 
 
-#: The ratio alone, for sites of any size: a line on two pages or more.
-EVERY_SITE = LineRule(min_pages=2, min_line_pages=2)
+#: For pipelines whose next stage judges copied pages.
+EVERY_SITE = LineRule(keep_copies=True)
 
 
 def url_host(url: Column) -> Column:
@@ -66,23 +66,23 @@ def boilerplate(pages: DataFrame, rule: LineRule) -> DataFrame:
 def drop_boilerplate(docs: DataFrame, host: Column, rule: LineRule = LineRule(), text_col: str = "text", count_col: str = "n_dropped", mark_col: str = "all_boilerplate") -> DataFrame:
     """``docs`` with its text changed, and ``count_col`` (lines dropped).
 
-    A page's boilerplate lines go.  A page that would lose all its lines that
-    aren't blank is kept as it is: its lines are common because the page was
-    copied, which is for document-level stages to judge.  Without keep_copies
-    such a page loses them too, they count, and ``mark_col`` marks it.  Lines
+    A page's boilerplate lines go, on sites of any size.  A page that loses all
+    its lines that aren't blank is marked in ``mark_col``.  With keep_copies it
+    is kept as it is instead, and there is no mark: its lines are common because
+    the page was copied, which is for document-level stages to judge.  Lines
     count once for a page and are compared without blanks at their ends; blank
     lines stay.  A null text stays null; a null host has no site, so the page
     keeps all lines; rows that repeat are pages of their own; an empty table
     gives an empty result.  Columns of any other name pass through; one that
     is named as an added column gives way to it, so pass another name for that.
     """
-    h, left, bad, salt = fresh(docs.columns, "host", "lines", "bad", "salt")
+    h, left, bad, salt, met = fresh(docs.columns, "host", "lines", "bad", "salt", "met")
     pages = docs.select(host.cast("string").alias("host"), F.col(f"`{text_col}`").cast("string").alias("text"))
     found = materialise(boilerplate(pages, rule).select("host", "k1", "k2"), "lines")
 
     # The bad lines of a host as one list: what a host may have is bounded by
     # its lines per page over the ratio, not by its pages.
-    listed = found.groupBy("host").agg(F.collect_list(F.struct("k1", "k2")).alias(bad)).withColumnRenamed("host", h)
+    listed = found.groupBy("host").agg(F.collect_list(F.concat_ws(":", "k1", "k2")).alias(bad)).withColumnRenamed("host", h)
     base = docs.withColumn(h, host.cast("string"))
     if found.count() <= BROADCAST_ROWS:
         joined = base.join(F.broadcast(listed), h, "left")
@@ -91,18 +91,21 @@ def drop_boilerplate(docs: DataFrame, host: Column, rule: LineRule = LineRule(),
         base = base.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(SALTS)).cast("int"))
         joined = base.join(salted, [h, salt], "left").drop(salt)
     text = F.col(f"`{text_col}`").cast("string")
-    is_bad = lambda s: F.array_contains(F.col(bad), F.struct(*_key(_trimmed(s))))
+    key = lambda s: F.concat_ws(":", *_key(_trimmed(s)))
     lines = F.split(text, "\n", -1)
-    kept = F.filter(lines, lambda s: (_trimmed(s) == "") | ~is_bad(s))
-    marked = joined.withColumn(left, F.when(F.col(bad).isNotNull() & text.isNotNull(), kept))
+    # A site's list is hashed once a page; lines are then looked up in what the
+    # page has of it.
+    joined = joined.withColumn(met, F.array_intersect(F.transform(lines, key), bad))
+    kept = F.filter(lines, lambda s: (_trimmed(s) == "") | ~F.array_contains(F.col(met), key(s)))
+    marked = joined.withColumn(left, F.when(F.size(met) > 0, kept))
     some = F.exists(F.col(left), lambda s: _trimmed(s) != "")
     fewer = F.coalesce(F.size(left) < F.size(lines), F.lit(False))
     changed = F.coalesce(some, F.lit(False)) & fewer if rule.keep_copies else fewer
-    mark = {} if rule.keep_copies else {mark_col: fewer & ~some}
+    mark = {} if rule.keep_copies else {mark_col: fewer & ~F.coalesce(some, F.lit(False))}
     return marked.withColumns(
         mark
         | {
             count_col: F.when(changed, F.size(lines) - F.size(left)).otherwise(0).cast("long"),
             text_col: F.when(changed, F.array_join(left, "\n")).otherwise(text),
         }
-    ).drop(h, left, bad)
+    ).drop(h, left, bad, met)

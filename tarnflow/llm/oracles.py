@@ -6,30 +6,8 @@ from .secrets import PATTERNS
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-LINE_DEDUP = r"""
-WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-totals AS (SELECT source, count(*) AS pages FROM pages WHERE source IS NOT NULL GROUP BY source),
-each AS (
-  SELECT source, line, count(*) AS n
-  FROM (SELECT source, unnest(list_distinct(list_filter(list_transform(lines, lambda s: trim(s, ' ' || chr(9) || chr(13))), lambda s: s <> ''))) AS line
-        FROM pages WHERE source IS NOT NULL AND text IS NOT NULL)
-  GROUP BY source, line),
-bad AS (
-  SELECT source, list(line) AS bad FROM each JOIN totals USING (source)
-  WHERE pages >= 20 AND n >= 5 AND n > 0.05 * pages GROUP BY source),
-cut AS (
-  SELECT doc_id, p.source, text, lines,
-    CASE WHEN bad IS NULL THEN lines ELSE list_filter(lines, lambda s: trim(s, ' ' || chr(9) || chr(13)) = '' OR NOT list_contains(bad, trim(s, ' ' || chr(9) || chr(13)))) END AS kept
-  FROM pages p LEFT JOIN bad ON p.source = bad.source),
-done AS (SELECT *, len(kept) < len(lines) AND len(list_filter(kept, lambda s: trim(s, ' ' || chr(9) || chr(13)) <> '')) > 0 AS changed FROM cut)
-SELECT doc_id, source,
-  CASE WHEN changed THEN array_to_string(kept, chr(10)) ELSE text END AS text,
-  CAST(CASE WHEN changed THEN len(lines) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped
-FROM done
-"""
-
 #: Sites of any size, a line on two pages or more; whole pages may go.
-LINE_DEDUP_ALL = r"""
+LINE_DEDUP = r"""
 WITH pages AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
 totals AS (SELECT source, count(*) AS pages FROM pages WHERE source IS NOT NULL GROUP BY source),
 each AS (
@@ -144,7 +122,7 @@ SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": LINE_DEDUP,
-        "op1_line_dedup_all": LINE_DEDUP_ALL,
+        "op1_line_dedup_all": LINE_DEDUP,
         "op4_secret_scan": SECRET_SCAN,
         "op7_decontamination": DECONTAMINATION,
         "op10_near_dedup": NEAR_DEDUP,

@@ -11,7 +11,7 @@ from tarnflow.llm import decontam, line_dedup, near_dup
 
 from .conftest import ODD
 
-RULE = line_dedup.LineRule(ratio=0.3, min_pages=4, min_line_pages=3)
+RULE = line_dedup.LineRule(ratio=0.3, min_pages=4, min_line_pages=3, keep_copies=True)
 
 
 def cut(frame, rows, rule=RULE):

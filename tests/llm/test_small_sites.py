@@ -10,7 +10,7 @@ def test_small_sites_lose_their_boilerplate(spark, frame, tmp_path):
     rows += [(200, "alone\nline", "one"), (201, "copy\nof a page", "two"), (202, "copy\nof a page", "two"), (203, None, "two"), (204, "Menu", None)]
     docs = frame(rows)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r for r in queries.queries()["op1_line_dedup_all"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r for r in queries.queries()["op1_line_dedup"](spark, str(tmp_path)).collect()}
     assert [got[i].text for i in (0, 9, 100, 102, 103)] == ["body 0", "body 9", "text 0", "text 2", "text 3"]
     assert (got[201].text, got[201].n_dropped, got[201].all_boilerplate) == ("", 2, True)
     assert sum(r.n_dropped for r in got.values()) == 10 + 3 + 4 and sum(r.all_boilerplate for r in got.values()) == 2
