@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarnflow.operators import semantic as S
+from tarnflow.operators import splines as P
 from tarnflow.operators import trees as R
+from tarnflow.operators.graph import stored
 
 from .q_structure import _UP, closure
 from .registry import Tables, query
@@ -122,3 +124,38 @@ def list_semantic(t):
 def list_jaccard(t):
     terms, lists = _lists(t)
     return S.list_jaccard(terms, lists, closure(t), 2.0).withColumn("jaccard", F.round("jaccard", 6))
+
+
+_KNOTS = """k AS (SELECT event_type AS key, CAST(floor(epoch(ts)) AS DOUBLE) - 1704067200 AS x, max(value) AS y FROM events GROUP BY ALL),
+n AS (SELECT *, x - lag(x) OVER w AS h0, lead(x) OVER w - x AS h1, (y - lag(y) OVER w) / (x - lag(x) OVER w) AS s0, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s1, row_number() OVER w AS i FROM k WINDOW w AS (PARTITION BY key ORDER BY x)),
+q AS (SELECT key, i, x, y, CASE WHEN h0 IS NULL OR h1 IS NULL THEN 0 ELSE h0 END AS l, CASE WHEN h0 IS NULL OR h1 IS NULL THEN 1 ELSE 2 * (h0 + h1) END AS d,
+  CASE WHEN h0 IS NULL OR h1 IS NULL THEN 0 ELSE h1 END AS u, CASE WHEN h0 IS NULL OR h1 IS NULL THEN 0 ELSE 6 * (s1 - s0) END AS f FROM n),
+f(key, i, c, e) AS (SELECT key, i, -u / d, f / d FROM q WHERE i = 1 UNION ALL SELECT q.key, q.i, -u / (d + l * c), (q.f - l * e) / (d + l * c) FROM f JOIN q ON q.key = f.key AND q.i = f.i + 1),
+b(key, i, m) AS (SELECT key, i, e FROM f WHERE (key, i) IN (SELECT key, max(i) FROM q GROUP BY key) UNION ALL SELECT f.key, f.i, f.e + f.c * m FROM b JOIN f ON f.key = b.key AND f.i = b.i - 1)"""
+
+
+@query("q_spline", f"WITH RECURSIVE {_KNOTS} SELECT key, x, round(m * 1000000, 4) AS m FROM b JOIN q USING (key, i)")
+def spline(t):
+    """Second derivatives, by a million, of the spline through each event type's greatest value a second."""
+    knots = P.second_derivatives(_knots(t), "key", "x", "y")
+    return knots.select("key", "x", F.round(F.col("m") * 1_000_000, 4).alias("m"))
+
+
+def _knots(t: Tables):
+    s = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000000).cast("double") - 1704067200
+    return t.events.groupBy(F.col("event_type").alias("key"), s.alias("x")).agg(F.max("value").alias("y"))
+
+
+@query(
+    "q_spline_hourly",
+    f"""WITH RECURSIVE {_KNOTS}, z AS (SELECT key, x, y, m, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(m) OVER w AS m1 FROM b JOIN q USING (key, i) WINDOW w AS (PARTITION BY key ORDER BY x)),
+    g AS (SELECT key, unnest(range(CAST(ceil(min(x) / 3600) AS BIGINT), CAST(floor(max(x) / 3600) AS BIGINT) + 1)) * 3600.0::DOUBLE AS v FROM k GROUP BY key),
+    p AS (SELECT g.key, v, x, y, m, x1, y1, m1, (x1 - v) / (x1 - x) AS a, (v - x) / (x1 - x) AS c FROM g JOIN z ON z.key = g.key AND x <= v AND v < x1)
+    SELECT key, v AS x, round(a * y + c * y1 + ((a * a * a - a) * m + (c * c * c - c) * m1) * (x1 - x) * (x1 - x) / 6, 4) AS y FROM p""",
+)
+def spline_hourly(t):
+    """The spline at every full hour between a type's first and last event."""
+    knots = stored(_knots(t))
+    ends = knots.groupBy("key").agg(F.ceil(F.min("x") / 3600).alias("a"), F.floor(F.max("x") / 3600).alias("z"))
+    hours = ends.select("key", F.explode(F.sequence("a", "z")).alias("hour")).select("key", (F.col("hour") * 3600).cast("double").alias("x"))
+    return P.evaluate(P.second_derivatives(knots, "key", "x", "y"), hours, "key", "x", "y").select("key", "x", F.round("y", 4).alias("y"))
