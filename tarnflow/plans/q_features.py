@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarnflow.functions import sequences as Q
 from tarnflow.functions import text as X
 from tarnflow.operators import features as G
+from tarnflow.operators import structures as S
 from tarnflow.operators import taxonomy as T
 
 from .q_structure import _PAIRS, _UP, closure, intervals, next_pairs, tree
@@ -105,3 +106,28 @@ def percent_safe(t):
 def assignment(t):
     few = t.lineitem.groupBy((F.col("l_orderkey") % 50).alias("block"), (F.col("l_suppkey") % 6).alias("r"), (F.col("l_partkey") % 8).alias("c")).agg(F.min("l_extendedprice").alias("cost"))
     return G.assignments(few, "block", "r", "c", "cost")
+
+
+_LEAF = "doc_id % 3 + 6 AS a, n_chars % 4 + 2 AS d, (doc_id // 3) % 2 + 5 AS c, n_chars % 3 + 1 AS v, (n_chars // 3) % 2 + 4 AS t, doc_id % 5 // 2 AS m, (n_chars // 5) % 12 + 4 AS loop, doc_id % 4 = 0 AS four"
+
+
+@query(
+    "q_cloverleaf",
+    f"""WITH l AS (SELECT doc_id, {_LEAF} FROM documents), n AS (SELECT *, 2 * (a + d + c + t) + CASE WHEN four THEN 0 ELSE 2 * v + loop + 2 END + 3 * loop + 8 AS n FROM l)
+    SELECT doc_id, CASE WHEN four THEN 4 ELSE 5 END AS stems, CAST(m AS INT) AS mismatches, coalesce(reason, '') AS reason, reason IS NULL AS valid, a = 7 AND m < 2 AS acceptor FROM (SELECT *, CASE
+      WHEN m > 1 THEN 'acceptor: ' || m || ' mismatches' WHEN a <> 7 THEN 'acceptor: length ' || a WHEN d < 3 THEN 'darm: length ' || d WHEN c <> 5 THEN 'anticodon: length ' || c
+      WHEN NOT four AND v < 2 THEN 'variable: length ' || v WHEN t <> 5 THEN 'tstem: length ' || t WHEN n > CASE WHEN four THEN 80 ELSE 90 END THEN 'length ' || n END AS reason FROM n)""",
+)
+def cloverleaf(t):
+    """Verdicts on structures whose arms' lengths come from documents' numbers."""
+    i, n = F.col("doc_id"), F.col("n_chars")
+    widths = {"a": i % 3 + 6, "d": n % 4 + 2, "c": F.floor(i / 3) % 2 + 5, "v": n % 3 + 1, "t": F.floor(n / 3) % 2 + 4, "m": F.floor(i % 5 / 2), "loop": F.floor(n / 5) % 12 + 4}
+    docs = t.documents.select("doc_id", *[e.cast("int").alias(c) for c, e in widths.items()])
+    many = lambda c, width: F.repeat(F.lit(c), F.col(width) if isinstance(width, str) else width)
+    arm = lambda w: F.concat(many(">", w), many(".", "loop"), many("<", w))
+    outer = lambda c, near, far: F.concat(many(c, near), many(".", "m"), many(c, far))
+    rest = F.col("a") - 2 - F.col("m")
+    inner = F.concat_ws("..", arm("d"), arm("c"), F.when(i % 4 != 0, arm("v")), arm("t"))
+    whole = F.concat(outer(">", F.lit(2), rest), F.lit(".."), inner, F.lit("."), outer("<", rest, F.lit(2)), F.lit("."))
+    made = S.validate(docs.select("doc_id", whole.alias("ss")), "ss")
+    return made.select("doc_id", "stems", "mismatches", F.coalesce("reason", F.lit("")).alias("reason"), "valid", "acceptor")
