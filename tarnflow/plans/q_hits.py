@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tarnflow.functions import lineage as L
 from tarnflow.functions import scores as S
 from tarnflow.functions import text as X
+from tarnflow.operators import fanout as U
 from tarnflow.operators import hits as H
 
 from .registry import Tables, query
@@ -332,3 +333,33 @@ def describe(t):
     best = H.top(g, ["q"], [F.desc("gsz"), F.asc("p_type")])
     first = best.select("q", F.lit("DE").alias("type"), F.col("p_type").alias("id"), F.round(S.rm2(F.lit(0.0), F.lit(0.0), F.col("gsz")), 6).alias("score"))
     return first.unionByName(g.groupBy("q").agg(F.min("p_type").alias("id"), F.round(F.max("gsz"), 6).alias("score")).withColumn("type", F.lit("original_DE")))
+
+
+@query(
+    "q_naive_predictor",
+    """WITH c AS (SELECT p_brand, count(*) / CAST((SELECT count(*) FROM part) AS DOUBLE) AS f FROM part GROUP BY 1)
+    SELECT c_custkey AS qpid, p_brand AS goid, printf('%.2f', f) AS frequency, 'brand' AS ontology, lower(p_brand) AS description FROM customer, c WHERE f >= 0.01""",
+)
+def naive_predictor(t):
+    """Every customer gets every brand that has a hundredth of the parts; brands are few and go as one argument."""
+    total = t.part.count()
+    counts = t.part.groupBy("p_brand").agg((F.count(F.lit(1)) / F.lit(float(max(1, total)))).alias("f")).filter("f >= 0.01")
+    classes = sorted((r.p_brand, r.f, "brand", r.p_brand.lower()) for r in counts.collect())
+    return U.naive(t.customer.select(F.col("c_custkey").alias("qpid")), "qpid", classes)
+
+
+@query(
+    "q_informative_hit_terms",
+    f"""WITH {HITS}, x AS (SELECT h.*, CAST(l_suppkey AS VARCHAR) || '/' || l_linenumber AS spid, {OK} AS accepted, p_size / 50.0 AS ff, p_name, p_brand, p_type FROM hits h JOIN part ON p_partkey = l_partkey),
+    d AS (SELECT l_orderkey, bits, p_name, row_number() OVER (PARTITION BY l_orderkey ORDER BY bits DESC, spid) AS r FROM x WHERE accepted AND ff >= 0.2),
+    a AS (SELECT l_orderkey, bits, p_brand, p_type, row_number() OVER (PARTITION BY l_orderkey ORDER BY bits DESC, spid) AS r FROM x WHERE accepted AND l_partkey % 3 = 0)
+    SELECT o.l_orderkey, 'DE' AS kind, coalesce(bits, 0.0) AS bits, '' AS id, coalesce(p_name, 'No informative hits') AS text FROM (SELECT DISTINCT l_orderkey FROM x) o LEFT JOIN (SELECT * FROM d WHERE r = 1) d USING (l_orderkey)
+    UNION ALL SELECT l_orderkey, 'brand', bits, p_brand, lower(p_brand) FROM a WHERE r = 1 UNION ALL SELECT l_orderkey, 'type', bits, p_type, lower(p_type) FROM a WHERE r = 1""",
+)
+def informative_hit_terms(t):
+    """A block's first informative description, and the terms of its first annotated hit."""
+    named = hits(t).join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_name", "p_brand", "p_type"), "l_partkey")
+    term = lambda c, kind: F.struct(F.col(c).alias("id"), F.lit(kind).alias("ontology"), F.lower(c).alias("text"))
+    terms = F.when(F.col("l_partkey") % 3 == 0, F.array(term("p_brand", "brand"), term("p_type", "type")))
+    rows = named.select("l_orderkey", "bits", F.concat_ws("/", "l_suppkey", "l_linenumber").alias("spid"), accepted().alias("accepted"), (F.col("p_size") / 50.0).alias("ff"), F.col("p_name").alias("desc"), terms.alias("terms"))
+    return U.best_informative(rows, "l_orderkey")
