@@ -202,11 +202,10 @@ def summary(sheets: Sheets, p: Params) -> Sheets:
     return {"findings": out}
 
 
-@operator("best_description", needs=("de_status", "value", "jaccard", "ff", "plain", "rm1", "clusid"))
-def best_description(sheets: Sheets, p: Params) -> Sheets:
-    """Scores the clusters of a block's hits and keeps the best one with its
-    most informative description.  A cluster's size in the background is the
-    sum of its different descriptions' counts."""
+def _scored_clusters(sheets: Sheets, p: Params):
+    """A block's clusters with their sizes, sums, most informative description
+    and scores.  A cluster's size in the background is the sum of its different
+    descriptions' counts."""
     q, d = p.block_column, sheets["data"].filter("de_status")
     block = H.sample_statistics(d, [q], F.col("rm1"))
     n_all = sheets["descriptions"].agg(F.sum("cnt").alias("all"))
@@ -217,11 +216,101 @@ def best_description(sheets: Sheets, p: Params) -> Sheets:
     kinds = J.lookup(d.select(q, "clusid", "plain").distinct(), F.col("plain"), sheets["descriptions"].select(F.col("plain").alias("__d"), "cnt"), "__d", {"cnt": 1})
     c = c.join(kinds.groupBy(q, "clusid").agg(F.sum("cnt").alias("cnt")), [q, "clusid"]).join(block, q).crossJoin(F.broadcast(n_all))
     c = c.withColumn("gsz", S.gsz(F.col("n"), F.col("rm1sum"), F.col("mean"), F.col("variance"), F.col("cnt"), F.col("all")))
-    c = c.withColumn("rm2", S.rm2(F.col("val"), F.col("jac"), F.col("gsz")))
-    return {"cluster": H.top(c, [q], [F.desc("rm2"), F.asc("plain"), F.asc("clusid")]).drop("rank", "all", "mean", "variance")}
+    return c.withColumn("rm2", S.rm2(F.col("val"), F.col("jac"), F.col("gsz"))).drop("all", "mean", "variance")
+
+
+_CLUSTER_NEEDS = ("de_status", "value", "jaccard", "ff", "plain", "rm1", "clusid")
+
+
+@operator("best_description", needs=_CLUSTER_NEEDS)
+def best_description(sheets: Sheets, p: Params) -> Sheets:
+    """Keeps a block's best cluster with its most informative description."""
+    c = _scored_clusters(sheets, p)
+    return {"cluster": H.top(c, [p.block_column], [F.desc("rm2"), F.asc("plain"), F.asc("clusid")]).drop("rank")}
+
+
+@operator("query_rows", needs=("isquery", "desc", "qseq"))
+def query_rows(sheets: Sheets, p: Params) -> Sheets:
+    """Takes the query's own row out of each block: the sheet queries has its
+    description and sequence (empty where a block has no such row)."""
+    q, d = p.block_column, sheets["data"]
+    own = F.coalesce(F.col("isquery").cast("string").isin("1", "true"), F.lit(False))
+    kept = d.filter(own).groupBy(q).agg(F.min(F.struct("spid", F.trim("desc").alias("desc"), F.trim("qseq").alias("qseq"))).alias("x")).select(q, "x.desc", "x.qseq")
+    blocks = d.select(q).distinct().join(kept, q, "left")
+    return {"queries": blocks.select(q, *[F.coalesce(c, F.lit("")).alias(c) for c in ("desc", "qseq")]), "data": d.filter(~own)}
+
+
+@operator("clusters", needs=(*_CLUSTER_NEEDS, "genename"))
+def clusters(sheets: Sheets, p: Params) -> Sheets:
+    """All of a block's clusters by rank of rm2.  Clusters that are all of their
+    background say nothing and go, as do those without score or hits.  Each has
+    the block's gene name: the commonest among its described hits, database ids
+    left out, if it has more than half of one plus all names; else empty."""
+    q = p.block_column
+    c = _scored_clusters(sheets, p).filter((F.col("size") != F.col("cnt")) & (F.col("rm1sum") != 0) & (F.col("size") > 0))
+    named = sheets["data"].filter("de_status").filter((F.col("genename") != "") & H.plain_symbol(F.col("genename")))
+    gene = H.majority(named, [q], "genename").select(q, "genename")
+    ranked = c.join(gene, q, "left").withColumn("genename", F.coalesce("genename", F.lit("")))
+    return {"clusters": ranked.withColumn("rank", F.row_number().over(Window.partitionBy(q).orderBy(F.desc("rm2"), F.asc("plain"), F.asc("clusid"))))}
+
+
+@operator("best_cluster", needs=("clusid", "status"))
+def best_cluster(sheets: Sheets, p: Params) -> Sheets:
+    """Accepts only the hits of a block's best cluster, for the terms; a block
+    without a cluster that scores above 0 keeps none."""
+    q = p.block_column
+    best = sheets["clusters"].filter("rank = 1 and rm2 > 0").select(q, F.col("clusid").alias("__best"))
+    d = sheets["data"].join(best, q, "left")
+    return {"data": d.withColumn("status", F.coalesce(F.col("clusid") == F.col("__best"), F.lit(False))).drop("__best")}
+
+
+@operator("annotation_rows", sheet="queries", needs=("desc", "qseq"))
+def annotation_rows(sheets: Sheets, p: Params) -> Sheets:
+    """The whole annotation, one finding a row: (block, type, score, ppv, id,
+    desc), all text, 'n.d.' where a type has no such value.
+
+    original_DE (kingdom, form factor, the query's description), qseq, DE (rm2, by
+    the kingdom's curve, form factor) and GN of the clusters (of the best one
+    alone with best_cluster_only), and each predictor's terms that score above 0
+    and, where the sheet chosen says so, aren't redundant, with EC and KEGG rows
+    from the sheet external.  A block is eukaryote if its lineage, the first
+    classified one of its hits, holds Eukaryota.  Blocks without hits have no
+    rows.  The sheet term_names (goid, name) gives terms their descriptions."""
+    q, none = p.block_column, F.lit("n.d.")
+    d = sheets["data"]
+    known = F.when(F.col("lineage") != "unclassified", F.col("lineage"))
+    first = d.withColumn("__k", known).filter("__k is not null").groupBy(q).agg(F.min_by("__k", F.struct(-F.expr("coalesce(try_cast(bits AS DOUBLE), -1e300)"), "spid")).alias("lin"))
+    kingdom = F.when(F.coalesce(F.col("lin").contains("Eukaryota"), F.lit(False)), "euk").otherwise("bac")
+    blocks = sheets["queries"].join(d.select(q).distinct(), q, "left_semi").join(first, q, "left").withColumn("kingdom", kingdom)
+
+    def rows(df, kind, score, ppv, id_, desc):
+        return df.select(q, kind.alias("type"), score.cast("string").alias("score"), ppv.cast("string").alias("ppv"), id_.cast("string").alias("id"), desc.alias("desc"))
+
+    out = [rows(blocks, F.lit("original_DE"), F.col("kingdom"), none, X.form_factor(F.col("desc")), F.col("desc")), rows(blocks, F.lit("qseq"), none, none, none, F.col("qseq"))]
+    c = sheets["clusters"].join(blocks.select(q, "kingdom"), q)
+    c = c.filter("rank = 1") if p.best_cluster_only else c
+    out.append(rows(c, F.lit("DE"), F.col("rm2"), S.ppv_description(F.col("rm2"), F.col("kingdom") == "euk"), X.form_factor(F.col("desc")), F.col("desc")))
+    out.append(rows(c.filter("genename <> ''"), F.lit("GN"), none, none, none, F.col("genename")))
+
+    g = sheets["term_scores"]
+    g = g.join(sheets["term_names"].select("goid", "name"), "goid", "left") if "term_names" in sheets else g.withColumn("name", F.col("goid"))
+    for k in p.predictors:
+        some = g.join(sheets["chosen"].filter(F.col("predictor") == k).select(q, "goid"), [q, "goid"], "left_semi") if "chosen" in sheets else g
+        some = some.filter(F.col(f"{k}_score") > 0)
+        score, ppv = F.col(f"{k}_score"), F.col(f"{k}_ppv")
+        out.append(rows(some, F.concat_ws("_", "ontology", F.lit(k.upper())), score, ppv, F.col("goid"), F.coalesce("name", F.lit(""))))
+        if "external" in sheets:
+            e = sheets["external"].filter("id <> '.'").select("goid", "kind", F.col("id").alias("external_id"))
+            out.append(rows(some.join(e, "goid"), F.concat(F.upper("kind"), F.lit(f"_{k.upper()}")), score, ppv, F.col("external_id"), F.concat(F.lit("GO:"), "goid")))
+    anno = out[0]
+    for x in out[1:]:
+        anno = anno.unionByName(x)
+    return {"anno": anno}
 
 
 #: Plans by name.
 DESCRIBE = ["filter", "form_factor", "description_status", "clean_description", "lineage", "taxonomic_distance", "rm1", "words", "word_scores", "tfidf", "clustering", "best_description"]
 PREDICT = ["filter", "lineage", "taxonomic_distance", "rm1", "terms", "class_scores"]
 EVERYTHING = [*DESCRIBE, "terms", "class_scores", "summary"]
+#: With the query's own row, all clusters, terms of the best cluster's hits without redundant ones, and every row type.
+ANNOTATE = ["query_rows", *DESCRIBE[:-1], "clusters", "best_cluster", "terms", "class_scores", "remove_redundant", "annotation_rows"]

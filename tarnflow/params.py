@@ -24,6 +24,9 @@ class Params:
     least_word_count: int = 1
     cluster_cut: float = 0.7
     block_column: str = "qpid"
+    best_cluster_only: bool = True
+    #: Predictors whose terms are reported, parted by commas in a setting.
+    predictors: tuple[str, ...] = ("rm3", "share", "jac", "hyge")
 
     @classmethod
     def from_session(cls, spark: SparkSession) -> "Params":
@@ -32,5 +35,5 @@ class Params:
             value = spark.conf.get(PREFIX + f.name, None)
             if value is not None:
                 kind = type(getattr(out, f.name))
-                out = replace(out, **{f.name: value.lower() == "true" if kind is bool else kind(value)})
+                out = replace(out, **{f.name: value.lower() == "true" if kind is bool else tuple(value.split(",")) if kind is tuple else kind(value)})
         return out

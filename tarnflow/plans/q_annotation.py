@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarnflow.functions import text as X
 from tarnflow.operators import annotation, registry
 from tarnflow.operators.graph import stored
+from tarnflow.params import Params
 
 from .q_hits import hits, lineages
 from .registry import Tables, query
@@ -42,12 +43,12 @@ def sheets(t: Tables) -> registry.Sheets:
 
 #: Sheets that later operators read several times, by the operator after which
 #: they are stored.
-STORED = {"rm1": "data", "word_scores": "data", "clustering": "data", "class_scores": "term_scores"}
+STORED = {"rm1": "data", "word_scores": "data", "clustering": "data", "clusters": "clusters", "best_cluster": "data", "class_scores": "term_scores", "remove_redundant": "chosen"}
 
 
-def run(plan: list[str], s: registry.Sheets) -> registry.Sheets:
+def run(plan: list[str], s: registry.Sheets, params: Params = Params()) -> registry.Sheets:
     for name in plan:
-        s = registry.run([name], s)
+        s = registry.run([name], s, params)
         if name in STORED:
             s[STORED[name]] = stored(s[STORED[name]])
     return s
@@ -68,3 +69,42 @@ def predict_terms(t):
 @query("q_full_annotation")
 def full_annotation(t):
     return run(annotation.EVERYTHING, sheets(t))["findings"]
+
+
+def annotated_sheets(t: Tables) -> registry.Sheets:
+    """More of what an annotation has: a row of each order's own among its hits,
+    gene names (a part's container word), lineages of which Europe's and Asia's are
+    eukaryote, a hierarchy of terms (a type, its first word, the root), external
+    ids, and descriptions counted over all hits."""
+    s = sheets(t)
+    s["data"] = stored(s["data"])
+    data = s["data"].withColumns({"isquery": F.lit("0"), "qseq": F.lit(""), "genename": F.lower(F.element_at(F.split("desc", " "), 1))})
+    own = t.orders.select(
+        F.col("o_orderkey").alias("qpid"), F.concat(F.lit("query_"), "o_orderkey").alias("spid"), F.lit(0.0).alias("bits"), F.lit(1.0).alias("qcov"), F.lit(1.0).alias("scov"), F.lit(1.0).alias("pide"), F.lit(0.0).alias("lali"),
+        F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("desc"), F.lit("").alias("species"), F.lit("1").alias("isquery"), F.repeat("o_orderstatus", 9).alias("qseq"), F.lit("").alias("genename"),
+    )
+    first = F.element_at(F.split("goid", " "), 1)
+    types = s["background"].filter("ontology = 'TYPE'")
+    families = types.groupBy(first.alias("goid")).agg(F.sum("count").alias("count"), F.first("ontology").alias("ontology"), F.first("root").alias("root")).select(types.columns)
+    typed = s["terms"].join(types.select("goid"), "goid", "left_semi")
+    names = s["background"].select("goid", "ontology").unionByName(families.select("goid", "ontology"))
+    up = types.select(F.col("goid").alias("node"), first.alias("ancestor"), F.lit(1).alias("distance"))
+    roots = names.select(F.col("goid").alias("node"), F.concat(F.lit("root of "), "ontology").alias("ancestor"), F.lit(2).alias("distance"))
+    external = types.select("goid", F.lit("ec").alias("kind"), F.concat_ws(".", F.length("goid"), F.length(first)).alias("id"))
+    s |= {
+        "data": data.unionByName(own),
+        "lineage": s["lineage"].withColumn("lineage", F.when(F.col("lineage").rlike("EUROPE|ASIA"), F.concat(F.lit("Eukaryota; "), "lineage")).otherwise(F.col("lineage"))),
+        "terms": s["terms"].unionByName(typed.select("spid", first.alias("goid"))),
+        "background": s["background"].unionByName(families),
+        "closure": up.unionByName(roots).unionByName(names.select(F.col("goid").alias("node"), F.col("goid").alias("ancestor"), F.lit(0).alias("distance"))),
+        "external": external.unionByName(types.select("goid", F.lit("kegg").alias("kind"), F.lit(".").alias("id"))),
+        "term_names": names.select("goid", F.lower("goid").alias("name")),
+        "descriptions": s["data"].groupBy(X.clean_description(F.col("desc")).alias("plain")).agg(F.count(F.lit(1)).alias("cnt")),
+    }
+    return s
+
+
+@query("q_annotation_rows")
+def annotation_rows(t):
+    """Every finding about each order: its own row, description, gene, terms and external ids."""
+    return run(annotation.ANNOTATE, annotated_sheets(t))["anno"]
