@@ -85,23 +85,26 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 def non_redundant(ranked: DataFrame, closure: DataFrame, block: str, term: str, rank: str) -> DataFrame:
     """Greedy choice by rank within a block: a term is taken unless it is an
-    ancestor or a descendant of one that was taken.  The order matters, so a
-    block (a query's terms) is one task's work."""
+    ancestor or a descendant of one that was taken.  Rows are sorted by block and
+    rank and pass once; a task holds what its present block has taken."""
     up = closure.filter("distance > 0").groupBy("node").agg(F.collect_list("ancestor").alias("ups"))
     rows = ranked.select(block, term, rank).join(up, F.col(term) == F.col("node"), "left").select(block, term, rank, F.coalesce("ups", F.array().cast(up.schema["ups"].dataType)).alias("ups"))
 
-    def choose(p: pd.DataFrame) -> pd.DataFrame:
-        taken, above, out = set(), set(), []
-        for r in p.sort_values([rank, term]).itertuples(index=False):
-            t, ups = getattr(r, term), set(r.ups)
-            if t in above or ups & taken:
-                continue
-            taken.add(t)
-            above |= ups
-            out.append((getattr(r, block), t, getattr(r, rank)))
-        return pd.DataFrame(out, columns=[block, term, rank])
-
-    return rows.groupBy(block).applyInPandas(choose, rows.select(block, term, rank).schema)
+    def choose(frames):
+        now, taken, above, started = None, set(), set(), False
+        for p in frames:
+            keep = []
+            for b, t, ups in zip(p[block].tolist(), p[term].tolist(), p["ups"].tolist()):
+                if not started or (b != now and not (pd.isna(b) and pd.isna(now))):
+                    now, taken, above, started = b, set(), set(), True
+                good = t not in above and taken.isdisjoint(ups)
+                if good:
+                    taken.add(t)
+                    above.update(ups)
+                keep.append(good)
+            yield p.loc[keep, [block, term, rank]]
+
+    return rows.repartition(block).sortWithinPartitions(block, rank, term).mapInPandas(choose, rows.select(block, term, rank).schema)
 
 
 def jaccard_terms(pairs: DataFrame, closure: DataFrame, left: str, right: str) -> DataFrame:
