@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import string
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -76,9 +78,32 @@ def random_texts(seed, n):
     return ["".join(rng.choice(words) + rng.choice(seps) for _ in range(rng.randint(0, 80))) for _ in range(n)]
 
 
+def brute_shares(text):
+    """The other statistics, character by character."""
+    words, raw = re.findall(r"[^\x20\x09-\x0D]+", text), text.encode()
+    letters = [c for c in text if (c.isalnum() or unicodedata.category(c)[0] in "LN") and not c.isdecimal() and c != "_"]
+    return (
+        sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) for line in text.split("\n")),
+        len(text),
+        len(set(words)),
+        sum(c.isupper() for c in letters),
+        len(letters),
+        sum(c in string.digits for c in text),
+        sum(c in string.punctuation for c in text),
+        max((len(w.encode()) for w in words), default=0),
+        max(Counter(words).values(), default=0),
+        len(zlib.compress(raw, 1)),
+        len(raw),
+    )
+
+
 def test_statistics_equal_brute_force():
-    for t in [*random_texts(1, 200), "", "a a a a a", "x", LONG[:500]]:
-        assert textstats.text_statistics(t)[:5] == brute_statistics(t)
+    more = ["ÀÉ straße ŁÓDŹ 123 ٣٤ _x_ ²½", "ABC def GHI!?", "中文 日本 中文", "a_b_c 9 9 9\n\n  \n9", "ǅ ﬁ Ⅷ ⓐ"]
+    for t in [*random_texts(1, 200), *more, "", "a a a a a", "x", LONG[:500]]:
+        got = textstats.text_statistics(t)
+        assert len(got) == len(textstats.COUNTS + textstats.SHARES)
+        assert got[:5] == brute_statistics(t)
+        assert dict(zip(textstats.SHARES, got[5:])) == dict(zip(textstats.SHARES, brute_shares(t))), t
 
 
 def test_rules_base_columns(frame, odd):
