@@ -13,8 +13,10 @@ from tarnflow.sources import markup
 from .registry import Tables, query
 
 
-def nodes(t: Tables):
-    return stored(markup.shred(t.pages, "page_id", "html"))
+def nodes(t: Tables, elements: bool = False):
+    """Node tables of pages; of elements alone where no text is asked for."""
+    all_nodes = markup.shred(t.pages, "page_id", "html")
+    return stored(all_nodes.filter(A.test()).drop("value", "attributes") if elements else all_nodes)
 
 
 _NODES = r"""h AS (SELECT page_id, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(<(?:script|style)>).*?(</(?:script|style)>)', '\1\2', 'gs') AS h FROM pages),
@@ -42,7 +44,7 @@ _SHOWN = ("ancestor", "descendant", "following", "preceding", "child", "parent",
 @query("q_xpath_axes", f"WITH RECURSIVE {_NODES} SELECT page_id, axis, count(DISTINCT i) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM x WHERE axis IS NOT NULL GROUP BY ALL")
 def xpath_axes(t):
     """Elements on each axis from a page's bold parts."""
-    all_nodes = nodes(t)
+    all_nodes = nodes(t, elements=True)
     bold = all_nodes.filter(A.test("b"))
     found = [A.reach(all_nodes, bold, axis).filter(A.test()).withColumn("axis", F.lit(axis)) for axis in _SHOWN]
     every = reduce(lambda a, b: a.unionByName(b), found)
