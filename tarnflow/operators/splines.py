@@ -30,17 +30,18 @@ def nearest(df: DataFrame, key: str, order: list[str], what: Column, before: str
     a part lacks at its ends comes from the other parts' ends, of which there are
     as many as parts and keys."""
     parted = stored(df.withColumn("__w", what).repartitionByRange(key, *order).withColumn("__part", F.spark_partition_id()))
-    inside = Window.partitionBy(key, "__part").orderBy(*order)
-    back, ahead = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(1, Window.unboundedFollowing)
+    # Both look back, one from the end: Spark reads a frame that ends with its
+    # part anew for every row.
+    before_it = lambda by, *o: Window.partitionBy(*by).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
+    back, ahead = before_it([key, "__part"], *order), before_it([key, "__part"], *[F.desc(c) for c in order])
     ends = parted.filter("__w is not null").groupBy(key, "__part").agg(F.min_by("__w", F.struct(*order)).alias("__first"), F.max_by("__w", F.struct(*order)).alias("__last"))
     parts = parted.select(key, "__part").distinct().join(ends, [key, "__part"], "left")
-    over = Window.partitionBy(key).orderBy("__part")
     parts = parts.select(
         key, "__part",
-        F.last("__last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("__from"),
-        F.first("__first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("__to"),
+        F.last("__last", ignorenulls=True).over(before_it([key], "__part")).alias("__from"),
+        F.last("__first", ignorenulls=True).over(before_it([key], F.desc("__part"))).alias("__to"),
     )
-    seen = parted.withColumns({before: F.last("__w", ignorenulls=True).over(back), after: F.first("__w", ignorenulls=True).over(ahead)})
+    seen = parted.withColumns({before: F.last("__w", ignorenulls=True).over(back), after: F.last("__w", ignorenulls=True).over(ahead)})
     filled = seen.join(parts, [key, "__part"]).withColumns({before: F.coalesce(before, "__from"), after: F.coalesce(after, "__to")})
     return filled.drop("__w", "__part", "__from", "__to")
 

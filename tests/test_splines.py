@@ -69,3 +69,14 @@ def test_odd(spark):
     with pytest.raises(ValueError):
         splines.second_derivatives(spark.createDataFrame([(1, 1.0, 2.0), (1, 1.0, 3.0)], "k int, x double, y double"), "k", "x", "y")
     assert splines.second_derivatives(spark.createDataFrame([], "k int, x double, y double"), "k", "x", "y").count() == 0
+
+
+def test_neighbours_are_found_by_frames_that_only_grow(spark):
+    """A frame that ends with its part is read anew for every row."""
+    rows = spark.range(40).selectExpr("id % 2 as k", "cast(id as double) as x", "if(id % 3 = 0, id, null) as v")
+    near = splines.nearest(rows, "k", ["x"], splines.F.col("v"), "lo", "hi")
+    assert "unboundedfollowing" not in near._jdf.queryExecution().toString().lower()
+    seen = {(r.k, r.x): (r.lo, r.hi) for r in near.collect()}
+    for i in range(40):
+        same = [j for j in range(40) if j % 2 == i % 2 and j % 3 == 0]
+        assert seen[i % 2, float(i)] == (max((j for j in same if j < i), default=None), min((j for j in same if j > i), default=None))
