@@ -7,7 +7,7 @@ any pair, and what it gives bounds the scores that do need pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import stored
@@ -65,9 +65,12 @@ def list_scores(terms: DataFrame, lists: DataFrame, closure: DataFrame, ic: Data
       of a member below a): each a gives at most the score of that member, and
       the best common ancestor of the best member gives its own.  So lists are
       met by (key, ancestor), not by member; weighted_lin likewise.
-    * path_lin <= lin <= 2 s / (ic(term) + s) for a member that shares s, as its
-      own value is s at least.  The member of the best lin has some path_lin L, so
-      only members that share ic(term) L / (2 - L) or more can have a greater one.
+    * a member that shares s with a term at most has in common with it only
+      ancestors of the term of s at most.  Their sum, and the least sum of a member
+      below an ancestor, bound path_lin at each (key, ancestor) of a term.  The
+      pair behind the greatest bound is worked out; only members whose own bound
+      is greater than what it gives can have more.  Where a term's ancestors are a
+      chain, as in trees, the bound is the score, and no other pair is looked at.
     """
     values, _ = _values(closure, ic, unknown)
     values = stored(values)
@@ -76,23 +79,32 @@ def list_scores(terms: DataFrame, lists: DataFrame, closure: DataFrame, ic: Data
     size = F.lit(float(db_size))
     asked = stored(terms.select(F.col(terms.columns[0]).alias("key"), F.col(terms.columns[1]).alias("term")).distinct())
     members = lists.select(F.col(lists.columns[0]).alias("key"), F.col(lists.columns[1]).alias("member")).distinct()
-    index = stored(members.join(values.select(F.col("node").alias("member"), "ancestor", F.col("node_ic").alias("member_ic")), "member"))
-    least = index.groupBy("key", "ancestor").agg(F.min("member_ic").alias("member_ic"), F.min_by("member", F.struct("member_ic", "member")).alias("member"))
-    paths = stored(asked.join(values.withColumnRenamed("node", "term"), "term"))
-    met = paths.join(least, ["key", "ancestor"])
-    score = F.coalesce(F.try_divide(2 * F.col("ic"), F.col("node_ic") + F.col("member_ic")), F.lit(0.0))
+    sums = values.groupBy("node").agg(F.sum("ic").alias("all"), F.max("node_ic").alias("own"))
+    listed = stored(members.join(sums.withColumnRenamed("node", "member"), "member"))
+    index = listed.join(values.select(F.col("node").alias("member"), "ancestor"), "member")
+    least = index.groupBy("key", "ancestor").agg(F.min("own").alias("own_m"), F.min("all").alias("all_m"), F.min_by("member", F.struct("all", "member")).alias("member"))
+    # Sums of a term's ancestors that are worth no more than one of them, with and without itself.
+    upto = Window.partitionBy("node").orderBy("ic").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    other = F.when(F.col("ancestor") == F.col("node"), 0.0).otherwise(F.col("ic"))
+    reach = values.select(F.col("node").alias("term"), "ancestor", "ic", "node_ic", F.sum("ic").over(upto).alias("up"), F.sum(other).over(upto).alias("up_t"), F.sum("ic").over(Window.partitionBy("node")).alias("all_t"))
+    met = stored(asked.join(reach, "term").join(least, ["key", "ancestor"]))
+    ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    lin = ratio(2 * F.col("ic"), F.col("node_ic") + F.col("own_m"))
     weight = 1 - F.exp(-F.col("ic")) / size
-    best = stored(met.groupBy("key", "term").agg(F.max(score).alias("lin"), F.max(weight * score).alias("weighted_lin"), F.max_by("member", F.struct(score, "ic", "member")).alias("member")))
-
-    seeds = pair_scores(best, values, size, "term", "member")
-    bound = best.join(seeds.select("term", "member", F.col("path_lin").alias("l")), ["term", "member"]).select("key", "term", "l")
-    near = paths.join(bound, ["key", "term"]).filter((F.col("ic") > 0) & (F.col("ic") >= F.col("node_ic") * F.col("l") / (2 - F.col("l")) - 1e-12))
-    pairs = stored(near.join(index.select("key", "ancestor", "member"), ["key", "ancestor"]).select("key", "term", "member").distinct())
-    exact = pairs.join(pair_scores(pairs, values, size, "term", "member"), ["term", "member"])
-    # The weight grows with what is shared, so its product is bounded by the seed's in the same way.
-    top = exact.groupBy("key", "term").agg(F.max("path_lin").alias("path_lin"), F.max("weighted_path_lin").alias("weighted_path_lin"))
-    found = best.drop("member").join(top, ["key", "term"], "left")
-    empty = asked.join(index.select("key").distinct().withColumn("some", F.lit(True)), "key", "left").join(found, ["key", "term"], "left")
+    bound = lambda own, all_: ratio(2 * F.col("ic"), F.greatest("node_ic", F.col("all_t") - F.col("up_t")) + F.greatest(own, F.col(all_) - F.col("up")))
+    path = bound("own_m", "all_m")
+    seed = lambda c: F.max_by("member", F.struct(c, "ic", "member"))
+    best = stored(met.groupBy("key", "term").agg(F.max(lin).alias("lin"), F.max(weight * lin).alias("weighted_lin"), F.array_distinct(F.array(seed(path), seed(weight * path))).alias("seeds")))
+
+    seeds = stored(best.select("key", "term", F.explode("seeds").alias("member")))
+    tops = lambda pairs: pairs.join(pair_scores(pairs, values, size, "term", "member"), ["term", "member"]).groupBy("key", "term").agg(F.max("path_lin").alias("path_lin"), F.max("weighted_path_lin").alias("weighted_path_lin"))
+    first = stored(tops(seeds))
+    more = lambda b: (b > F.col("path_lin") + 1e-13) | (weight * b > F.col("weighted_path_lin") + 1e-13)
+    near = stored(met.drop("member").join(first, ["key", "term"]).filter(more(path)))
+    pairs = stored(near.join(index, ["key", "ancestor"]).filter(more(bound("own", "all"))).select("key", "term", "member").distinct())
+    top = first.unionByName(tops(pairs)).groupBy("key", "term").agg(F.max("path_lin").alias("path_lin"), F.max("weighted_path_lin").alias("weighted_path_lin"))
+    found = best.drop("seeds").join(top, ["key", "term"], "left")
+    empty = asked.join(listed.select("key").distinct().withColumn("some", F.lit(True)), "key", "left").join(found, ["key", "term"], "left")
     other = F.when(F.col("some"), 0.0).otherwise(-1.0)
     return empty.select("key", "term", *[F.coalesce(c, other).alias(c) for c in SCORES])
 

@@ -59,3 +59,32 @@ def test_values_that_fall_are_an_error(spark):
     rows = spark.createDataFrame([(1, 2)], "k long, t long")
     with pytest.raises(ValueError):
         semantic.list_scores(rows, rows, closure, values, 2)
+
+
+@pytest.mark.parametrize("name", ["list_scores"])
+def test_lists_in_a_tree_meet_few_members(spark, monkeypatch, name):
+    """Leaves of one branch against those of another: rows that are stored grow with
+    nodes and depth, not with pairs."""
+    n, sizes, kept = 1024, [], semantic.stored
+
+    def counted(df):
+        done = kept(df)
+        sizes.append(done.count())
+        return done
+
+    monkeypatch.setattr(semantic, "stored", counted)
+    up = {i: {i} for i in range(1, n)}
+    for i in range(2, n):
+        up[i] |= up[i // 2]
+    ic = {a: math.log(n) - math.log(sum(a in s for s in up.values())) for a in up}
+    closure = spark.createDataFrame([(i, a) for i in up for a in up[i]], "node long, ancestor long")
+    terms = spark.createDataFrame([(0, i) for i in range(512, 640)], "k long, t long")
+    lists = spark.createDataFrame([(0, i) for i in range(640, 768)], "k long, m long")
+    if name == "list_scores":
+        got = {r.term: r for r in semantic.list_scores(terms, lists, closure, spark.createDataFrame(list(ic.items()), "term long, ic double"), n).collect()}
+        want = {t: [max(s) for s in zip(*(scores(t, m, up, ic, n, 0) for m in range(640, 768)))] for t in got}
+        assert all([got[t][c] for c in semantic.SCORES] == pytest.approx(want[t], abs=1e-12) for t in got)
+    else:
+        got = {r.term: r.jaccard for r in semantic.list_jaccard(terms, lists, closure, 2.0).collect()}
+        assert all(v == pytest.approx(max(len(up[t] & up[m]) / (len(up[t] | up[m]) + 2) for m in range(640, 768))) for t, v in got.items())
+    assert len(got) == 128 and max(sizes) <= sum(map(len, up.values()))
