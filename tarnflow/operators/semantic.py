@@ -113,17 +113,40 @@ def list_jaccard(terms: DataFrame, lists: DataFrame, closure: DataFrame, penalty
     """(key, term, jaccard): the greatest Jaccard index of the term's ancestors
     (itself included) and a member's, ``penalty`` added to the denominator (1 at
     least); -1 for an empty list.  A term that the closure lacks is its own only
-    ancestor.  Each distinct pair is compared once, however many lists have it."""
+    ancestor.
+
+    A member has in common with a term, below or at one of the term's ancestors
+    of n ancestors, only ancestors of the term of n at most.  That and the fewest
+    ancestors of a member there bound the index; as in ``list_scores`` the pair
+    behind the greatest bound is worked out, and then members whose bound is
+    greater.  In trees no other pair is looked at."""
     asked = stored(terms.select(F.col(terms.columns[0]).alias("key"), F.col(terms.columns[1]).alias("term")).distinct())
     members = lists.select(F.col(lists.columns[0]).alias("key"), F.col(lists.columns[1]).alias("member")).filter("member is not null").distinct()
-    listed = stored(asked.join(members, "key"))
-    names = listed.select(F.col("term").alias("node")).union(listed.select("member")).distinct()
-    up = stored(closure.select("node", "ancestor").union(names.select("node", F.col("node").alias("ancestor"))).distinct().join(names, "node", "left_semi"))
-    sizes = up.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    pairs = listed.select("term", "member").distinct()
-    shared = pairs.join(up.withColumnRenamed("node", "term"), "term").join(up.withColumnRenamed("node", "member"), ["member", "ancestor"]).groupBy("term", "member").agg(F.count(F.lit(1)).alias("both"))
-    x = pairs.join(shared, ["term", "member"], "left").join(sizes.select(F.col("node").alias("term"), F.col("n").alias("a")), "term").join(sizes.select(F.col("node").alias("member"), F.col("n").alias("b")), "member")
-    both = F.coalesce("both", F.lit(0))
-    scored = x.select("term", "member", (both / F.greatest(F.col("a") + F.col("b") - both + penalty, F.lit(1.0))).alias("jaccard"))
-    best = listed.join(scored, ["term", "member"]).groupBy("key", "term").agg(F.max("jaccard").alias("jaccard"))
-    return asked.join(best, ["key", "term"], "left").select("key", "term", F.coalesce("jaccard", F.lit(-1.0)).alias("jaccard"))
+    names = asked.select(F.col("term").alias("node")).union(members.select("member"))
+    up = closure.select("node", "ancestor").union(names.select("node", F.col("node").alias("ancestor"))).filter("node is not null and ancestor is not null").distinct()
+    up = stored(up.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("node"))))
+    depth = up.select(F.col("node").alias("ancestor"), F.col("n").alias("depth")).distinct()
+    index = members.join(up.withColumnRenamed("node", "member"), "member")
+    least = index.groupBy("key", "ancestor").agg(F.min("n").alias("n_m"), F.min_by("member", F.struct("n", "member")).alias("member"))
+    upto = Window.partitionBy("term").orderBy("depth").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    paths = up.withColumnsRenamed({"node": "term", "n": "n_t"}).join(depth, "ancestor", "left").withColumn("depth", F.coalesce("depth", F.lit(1)))
+    paths = paths.withColumn("common", F.count(F.lit(1)).over(upto))
+    met = stored(asked.join(paths, "term").join(least, ["key", "ancestor"]))
+    index_of = lambda both, b: both / F.greatest(F.col("n_t") + F.col(b) - both + penalty, F.lit(1.0))
+    # A member of fewer ancestors than that has no more in common, but others below it may.
+    most = index_of(F.col("common"), "n_m")
+    seeds = met.groupBy("key", "term").agg(F.max_by("member", F.struct(most, "depth", "member")).alias("member"))
+
+    def tops(pairs: DataFrame) -> DataFrame:
+        one = pairs.select("term", "member").distinct().join(up.withColumnsRenamed({"node": "term", "n": "n_t"}), "term")
+        both = one.join(up.withColumnsRenamed({"node": "member", "n": "n_m"}), ["member", "ancestor"]).groupBy("term", "member", "n_t", "n_m").agg(F.count(F.lit(1)).alias("both"))
+        scored = both.select("term", "member", index_of(F.col("both"), "n_m").alias("jaccard"))
+        return pairs.join(scored, ["term", "member"]).groupBy("key", "term").agg(F.max("jaccard").alias("jaccard"))
+
+    first = stored(tops(stored(seeds)))
+    near = stored(met.drop("member").join(first, ["key", "term"]).filter(most > F.col("jaccard")))
+    pairs = stored(near.join(index, ["key", "ancestor"]).filter(index_of(F.least("common", "n"), "n") > F.col("jaccard")).select("key", "term", "member").distinct())
+    best = first.unionByName(tops(pairs)).groupBy("key", "term").agg(F.max("jaccard").alias("jaccard"))
+    some = asked.join(members.select("key").distinct().withColumn("some", F.lit(True)), "key", "left").join(best, ["key", "term"], "left")
+    other = F.when(F.col("some") & F.col("term").isNotNull(), 0.0).otherwise(-1.0)
+    return some.select("key", "term", F.coalesce("jaccard", other).alias("jaccard"))

@@ -61,7 +61,7 @@ def test_values_that_fall_are_an_error(spark):
         semantic.list_scores(rows, rows, closure, values, 2)
 
 
-@pytest.mark.parametrize("name", ["list_scores"])
+@pytest.mark.parametrize("name", ["list_scores", "list_jaccard"])
 def test_lists_in_a_tree_meet_few_members(spark, monkeypatch, name):
     """Leaves of one branch against those of another: rows that are stored grow with
     nodes and depth, not with pairs."""
