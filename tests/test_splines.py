@@ -80,3 +80,10 @@ def test_neighbours_are_found_by_frames_that_only_grow(spark):
     for i in range(40):
         same = [j for j in range(40) if j % 2 == i % 2 and j % 3 == 0]
         assert seen[i % 2, float(i)] == (max((j for j in same if j < i), default=None), min((j for j in same if j > i), default=None))
+
+
+def test_evaluation_has_no_frames_to_the_end(spark):
+    knots = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (1, 2.0, 4.0, 0.0)], "k int, x double, y double, m double")
+    got = splines.evaluate(knots, spark.createDataFrame([(1, 0.5), (1, 3.0)], "k int, x double"), "k", "x", "y")
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+    assert {r.x: r.y for r in got.collect()} == {0.5: 1.0, 3.0: 6.0}
