@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -95,16 +97,18 @@ def hyper_tail(x: int, m: int, k: int, n: int) -> float:
     return float(min(1.0, np.exp(top) * np.exp(logs - top).sum()))
 
 
+@lru_cache(maxsize=200_000)
+def _tail(x: int, m: int, k: int, n: int) -> float:
+    return hyper_tail(x, m, k, n)
+
+
 def _tails(x: pd.Series, m: pd.Series, k: pd.Series, n: pd.Series) -> pd.Series:
-    rows = pd.DataFrame({"x": x, "m": m, "k": k, "n": n})
-    distinct = rows.drop_duplicates()
-    p = {tuple(r): hyper_tail(*map(int, r)) for r in distinct.itertuples(index=False)}
-    return pd.Series([p[tuple(r)] for r in rows.itertuples(index=False)], dtype="float64")
+    return pd.Series([_tail(int(a), int(b), int(c), int(d)) for a, b, c, d in zip(x.tolist(), m.tolist(), k.tolist(), n.tolist())], dtype="float64")
 
 
 def hypergeometric_p(x: str, m: str, k: str, n: str) -> Column:
-    """hyper_tail of four columns; each distinct row of a batch is worked out
-    once."""
+    """hyper_tail of four columns; a worker keeps the last distinct rows, as a
+    few make up most of a table."""
     return F.pandas_udf(_tails, "double")(x, m, k, n)
 
 
