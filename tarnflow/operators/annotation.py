@@ -109,9 +109,7 @@ def clustering(sheets: Sheets, p: Params) -> Sheets:
     """Average linkage of all of a block's hits by the cosine of their idf
     vectors, cut at cluster_cut."""
     q, d = p.block_column, sheets["data"]
-    features = d.groupBy(q).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("termidf"))))).alias("features"))
-    vector = F.transform("features", lambda w: F.coalesce(F.try_element_at("termidf", w), F.lit(0.0)))
-    ids = C.cluster(d.join(features, q).select(q, "spid", vector.alias("vector")), q, "spid", "vector", p.cluster_cut)
+    ids = C.cluster_maps(d.select(q, "spid", "termidf"), q, "spid", "termidf", p.cluster_cut)
     return {"data": d.join(ids, [q, "spid"])}
 
 

@@ -1,12 +1,15 @@
 """The annotation plans over the standard tables."""
 
 import math
+import random
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pytest
 
-from tarnflow.operators import annotation, registry
+from tarnflow.functions import scores
+from tarnflow.operators import annotation, clustering, registry
 from tarnflow.params import Params
 from tarnflow.plans import catalogue, q_annotation
 
@@ -79,3 +82,33 @@ def test_names_that_repeat_have_one_lineage(spark, sf, tmp_path):
     pd.concat([one, one.assign(s_suppkey=one.s_suppkey + 10**6, s_nationkey=(one.s_nationkey + 1) % 25)]).to_parquet(tmp_path / "supplier.parquet")
     got = q_annotation.sheets(q_annotation.Tables(spark, str(tmp_path)))["lineage"].toPandas()
     assert not got.species.duplicated().any() and set(got.species) == set(one.s_name)
+
+
+def test_maps_cluster_as_vectors_do(spark):
+    """Blocks that end within batches, of one row, without words, and of several sizes."""
+    rng = random.Random(2)
+    rows = [(q, f"s{i}", {rng.choice("äbcdEf"): rng.choice([0.5, 1.0, 2.25]) for _ in range(rng.randint(q % 11 > 0, 4))}) for q in range(60) for i in range(rng.randint(1, 9))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.createDataFrame(rows, "q int, s string, m map<string,double>")
+        got = {(r.q, r.s): r.clusid for r in clustering.cluster_maps(df, "q", "s", "m", 0.4).collect()}
+        nothing = clustering.cluster_maps(df.filter("q < 0"), "q", "s", "m").count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for q in range(60):
+        mine = sorted((r for r in rows if r[0] == q), key=lambda r: r[1])
+        words = sorted({w for r in mine for w in r[2]})
+        found = clustering.average_linkage(np.array([[r[2].get(w, 0.0) for w in words] for r in mine]).reshape(len(mine), -1), 0.4)
+        want |= {(q, r[1]): k for r, k in zip(mine, found.tolist())}
+    assert got == want and nothing == 0 and max(got.values()) > 2
+
+
+def test_equal_tails_are_worked_out_once(monkeypatch):
+    scores._tail.cache_clear()
+    asked, plain = [], scores.hyper_tail
+    monkeypatch.setattr(scores, "hyper_tail", lambda *r: asked.append(r) or plain(*r))
+    x = [pd.Series(c) for c in ([3, 1, 3, 2], [90, 90, 90, 90], [7, 7, 7, 5], [20, 20, 20, 9])]
+    for _ in range(3):
+        assert scores._tails(*x).tolist() == [plain(*(int(c[i]) for c in x)) for i in range(4)]
+    assert len(asked) == 3
