@@ -7,10 +7,13 @@
 2. Rows with equal sets are one class, stood for by the least row.
 3. Representatives that share a band are candidates.  In each bucket all are
    compared with one pivot, so a bucket of m costs m - 1 pairs, not m * m / 2.
+   The pivot is the member that meets most others over all its buckets: the
+   text that a group was copied from shares more bands with its copies than
+   they do with each other, and links with those that don't.
    The first bands join most of a group of copies; the others then compare
    only what lies in different components, first with the pivot and, where
    that leaves several components among the rest, with each other, in cells of
-   bounded size.
+   bounded size and in the first bucket that both are in alone.
 4. A candidate must pass the sketches' estimate (population count of the XOR)
    and is then confirmed on the full sets of both texts.  A second bitmap holds
    the parity of the whole set: its XOR never has more bits than the sets have
@@ -212,8 +215,8 @@ def _links(pairs: DataFrame, reps: DataFrame, rows: DataFrame, rule: NearRule) -
     return materialise(ordered.mapInArrow(partial(_confirm, rule), "a bigint, z bigint"), "links")
 
 
-def _side(reps: DataFrame, name: str) -> DataFrame:
-    return reps.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"), F.col("whole").alias(f"w{name}"))
+def _side(reps: DataFrame, name: str, *bands: Column) -> DataFrame:
+    return reps.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"), F.col("whole").alias(f"w{name}"), *[b.alias(f"b{name}") for b in bands])
 
 
 def _likely(rule: NearRule):
@@ -277,20 +280,31 @@ def _pairs(members: DataFrame) -> DataFrame:
     return members.filter("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("z")).distinct()
 
 
+def _pivots(met: DataFrame) -> DataFrame:
+    """(band, key, node, pivot) of buckets' members (band, key, node, n): the pivot
+    is the member with the most members in all its buckets, of several the least."""
+    central = met.groupBy("node").agg(F.sum("n").alias("meets"))
+    order = F.struct("meets", -F.col("node"))
+    chosen = met.join(central, "node").groupBy("key").agg(F.max_by("node", order).alias("pivot"))
+    return met.drop("n").join(chosen, "key")
+
+
 def _crossed(rest: DataFrame, reps: DataFrame, rule: NearRule) -> DataFrame:
-    """Likely pairs of one bucket's members in different components.  A large
-    bucket is cut into blocks, and two blocks at a time meet in a cell, so no
-    task has more than CELL * CELL comparisons of one bucket at once."""
+    """Likely pairs of one bucket's members in different components, each once.
+    A large bucket is cut into blocks, and two blocks at a time meet in a cell, so
+    no task has more than CELL * CELL comparisons of one bucket at once.  A pair
+    that shares an earlier bucket meets there, or has met there, if one of them
+    was its pivot."""
     large = materialise(rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks")).filter("blocks > 1"), "large")
     # Large buckets are few; sent to all tasks, they don't gather a bucket's rows.
     large = F.broadcast(large) if large.count() <= BROADCAST_KEYS else large
     blocked = rest.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    x = blocked.select("key", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = blocked.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("node").alias("z"), F.col("component").alias("cz"))
-    x, y = x.join(_side(reps, "a"), "a"), y.join(_side(reps, "z"), "z")
+    x = blocked.select("key", "band", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.col("node").alias("a"), F.col("component").alias("ca"))
+    y = blocked.select("key", "band", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("node").alias("z"), F.col("component").alias("cz"))
+    x, y = (df.join(_side(reps, c, F.col("bands")), c).withColumn(f"b{c}", F.slice(f"b{c}", F.lit(1), F.col("band"))).drop("band") for df, c in ((x, "a"), (y, "z")))
     once = (F.col("x.i") < F.col("x.j")) | (F.col("a") < F.col("z"))
-    # What fails the sketches never leaves the join.
-    met = x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")) & once & (F.col("ca") != F.col("cz")) & _likely(rule))
+    # What fails the sketches, or shares an earlier band, never leaves the join.
+    met = x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j")) & once & (F.col("ca") != F.col("cz")) & _likely(rule) & ~F.arrays_overlap("ba", "bz"))
     return met.select(F.least("a", "z").alias("a"), F.greatest("a", "z").alias("z")).distinct()
 
 
@@ -309,8 +323,8 @@ def _groups(docs: DataFrame, rule: NearRule, id_col: str, text_col: str, by_id:
     chosen = classes.select(F.col("digest").alias("d"), "rep", "alone")
     reps = materialise(signed.join(chosen, (F.col("digest") == F.col("d")) & (F.col("row") == F.col("rep"))).drop("digest", "d", "rep").withColumnRenamed("row", "node"), "reps")
     keyed = reps.select(F.posexplode("bands").alias("band", "key"), "node")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter("n > 1").select("key", "pivot")
-    members = materialise(keyed.join(shared, "key"), "members")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = materialise(_pivots(materialise(keyed.join(shared, "key"), "met")), "members")
 
     repeated = narrow.filter("doc is not null").groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc")
     repeated = materialise(repeated if by_id else repeated.filter("false"), "repeated")
@@ -322,7 +336,7 @@ def _groups(docs: DataFrame, rule: NearRule, id_col: str, text_col: str, by_id:
     # other band compares what is in one component already.
     links = links.unionByName(_links(_pairs(members.filter(F.col("band") < rule.first)), reps, rows, rule))
     parts = components(links)
-    placed = materialise(_labelled(members.select("key", "node", "pivot"), parts), "placed")
+    placed = materialise(_labelled(members.select("key", "band", "node", "pivot"), parts), "placed")
     home = parts.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
     apart = placed.join(home, "pivot", "left").filter(F.col("component") != F.coalesce("home", "pivot"))
     more = _links(_pairs(apart), reps, rows, rule)
@@ -330,9 +344,9 @@ def _groups(docs: DataFrame, rule: NearRule, id_col: str, text_col: str, by_id:
         links = links.unionByName(more)
         parts = components(links)
     # Pairs with the pivot are settled; others of one component need none.
-    open_rows = _labelled(placed.filter("node != pivot").select("key", "node"), parts)
+    open_rows = _labelled(placed.filter("node != pivot").select("key", "band", "node"), parts)
     mixed = open_rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-    rest = materialise(open_rows.join(mixed, "key", "left_semi").select("key", "node", "component"), "rest")
+    rest = materialise(open_rows.join(mixed, "key", "left_semi").select("key", "band", "node", "component"), "rest")
     if not rest.isEmpty():
         more = _links(_crossed(rest, reps, rule), reps, rows, rule)
         if not more.isEmpty():

@@ -121,6 +121,43 @@ def test_late_rounds_lose_no_link(frame, monkeypatch):
     assert got == {i: c for i, (_, c) in brute_classes(rows, 2).items()}
 
 
+def test_copies_of_one_text_make_few_pairs(frame, monkeypatch):
+    """All copies link with their origin, which comes last, and hardly any two
+    with each other: what the pivots leave isn't the square of the group."""
+    counts = []
+    links = near_dup._links
+    monkeypatch.setattr(near_dup, "_links", lambda pairs, *rest: counts.append(pairs.count()) or links(pairs, *rest))
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for k in rng.sample(range(120), 6):
+            copy[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(copy), "s"))
+    rows.append((60, " ".join(base), "s"))
+    got = {r.doc_id: r.component_id for r in near_dup.near_classes(frame(rows), near_dup.NearRule(shingle=2)).collect()}
+    assert got == {i: c for i, (_, c) in brute_classes(rows, 2).items()} and len(set(got.values())) == 1
+    assert sum(counts) < 200
+
+
+def test_pairs_meet_in_one_bucket(frame, spark, monkeypatch):
+    """Two texts that share most bands, neither a pivot's partner, leave the join once."""
+    rule = near_dup.NearRule(shingle=2)
+    hasher = near_dup._Hasher(rule)
+    made = []
+    for node, last in ((1, "x"), (2, "y")):
+        s = near_dup.shingle_set([f"w{i}".encode() for i in range(100)] + [last.encode()], 2)
+        least = hasher.minimums(s)
+        made.append((node, len(s), *([int(v) for v in a] for a in (hasher.keys(least), hasher.sketch(least), hasher.whole(s)))))
+    reps = spark.createDataFrame(made, "node long, n_shingles long, bands array<long>, sketch array<long>, whole array<long>")
+    shared = [(i, k) for i, k in enumerate(made[0][2]) if k == made[1][2][i]]
+    assert len(shared) > 10
+    rest = spark.createDataFrame([(k, i, n, n) for i, k in shared for n in (1, 2)], "key long, band int, node long, component long")
+    monkeypatch.setattr(type(rest), "distinct", lambda df: df)
+    assert [tuple(r) for r in near_dup._crossed(rest, reps, rule).collect()] == [(1, 2)]
+
+
 def test_texts_of_one_id_are_one_document(frame):
     """Id 1 has two different texts, 2 is near the first, 3 near the second."""
     rng = random.Random(3)
