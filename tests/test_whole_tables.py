@@ -107,3 +107,15 @@ def test_every_line_is_cleaned(spark, few):
 def test_whole_names_have_offsets(spark, few):
     (r,) = run(spark, "q_database_offsets_all", few)
     assert (r.n, r.total, r.overlaps) == (3, sum(len(n) + 1 for n in NAMES), 0)
+
+
+def test_varied_sites_gather_no_alleles(spark, monkeypatch):
+    """No sort of alleles to find which sites vary, none to give them out."""
+    from tarnflow.operators import populations
+
+    plans = []
+    written = populations.written
+    monkeypatch.setattr(populations, "written", lambda df: plans.append(df) or written(df))
+    plans.append(catalogue.queries()["q_alignment_sites"](spark, "/root/testdata/sf0.001"))
+    text = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert len(text) == 2 and not any("Sort" in p for p in text) and "Exchange hashpartitioning" not in text[1]
