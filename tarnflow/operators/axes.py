@@ -2,12 +2,15 @@
 
 ``reach`` gives the set of nodes on an axis from a set of context nodes: one pass
 over a document's nodes in order, with running minima and maxima of the context's
-numbers, so no pair of nodes is made.  ``pairs`` gives (context, node) pairs by a
+numbers, so no pair of nodes is made.  ``on_axes`` does so for several axes at once,
+from nodes that a condition chooses.  ``pairs`` gives (context, node) pairs by a
 structural join, for positions that count from each context node.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,9 @@ from pyspark.sql import functions as F
 REVERSE = ("ancestor", "ancestor-or-self", "parent", "preceding", "preceding-sibling")
 AXES = (*REVERSE, "child", "descendant", "descendant-or-self", "following", "following-sibling", "self")
 
+#: Nodes of a part, where whole documents are dealt out.
+DEALT = 100_000
+
 
 def _check(axis: str) -> None:
     if axis not in AXES:
@@ -31,26 +37,63 @@ def reach(nodes: DataFrame, context: DataFrame, axis: str) -> DataFrame:
     if axis == "child":
         return nodes.join(chosen.withColumnRenamed("pre", "parent"), ["doc", "parent"], "left_semi").select(*nodes.columns)
     marked = nodes.join(chosen.withColumn("__c", F.lit(True)), ["doc", "pre"], "left").select(*nodes.columns, F.coalesce("__c", F.lit(False)).alias("__c"))
-    whole, ordered = Window.partitionBy("doc"), Window.partitionBy("doc").orderBy("pre")
-    before, after = ordered.rowsBetween(Window.unboundedPreceding, -1), ordered.rowsBetween(1, Window.unboundedFollowing)
-    brothers = Window.partitionBy("doc", "parent").orderBy("pre")
+    if axis.endswith("-sibling"):
+        first, last = (f(F.when(F.col("__c"), F.col("pre"))).over(Window.partitionBy("doc", "parent")) for f in (F.min, F.max))
+        keep = (first < F.col("pre") if axis == "following-sibling" else last > F.col("pre")) & F.col("parent").isNotNull()
+        return marked.withColumn("__keep", keep).filter("__keep").select(*nodes.columns)
+    if axis == "parent":
+        folks = marked.filter("__c and parent is not null").select("doc", F.col("parent").alias("pre")).distinct()
+        return nodes.join(folks, ["doc", "pre"], "left_semi")
+    return marked.withColumn("__keep", _in_order()[axis]).filter("__keep").select(*nodes.columns)
+
+
+def _in_order() -> dict[str, Column]:
+    """The axes that follow from document order, over nodes of which __c marks the context."""
+    # Both look back, one from the end: Spark reads a frame that ends with its
+    # part anew for every row.
+    whole, before = Window.partitionBy("doc"), (Window.unboundedPreceding, -1)
     pre, last = (F.when(F.col("__c"), F.col(c)) for c in ("pre", "last"))
-    below = F.coalesce(F.max(last).over(before) >= F.col("pre"), F.lit(False))
-    above = F.coalesce(F.min(pre).over(after) <= F.col("last"), F.lit(False))
-    keep: dict[str, Column] = {
+    below = F.coalesce(F.max(last).over(whole.orderBy("pre").rowsBetween(*before)) >= F.col("pre"), F.lit(False))
+    above = F.coalesce(F.min(pre).over(whole.orderBy(F.desc("pre")).rowsBetween(*before)) <= F.col("last"), F.lit(False))
+    return {
+        "self": F.col("__c"),
         "descendant": below,
         "descendant-or-self": below | F.col("__c"),
         "ancestor": above,
         "ancestor-or-self": above | F.col("__c"),
         "following": F.col("pre") > F.min(last).over(whole),
         "preceding": F.col("last") < F.max(pre).over(whole),
-        "following-sibling": F.max("__c").over(brothers.rowsBetween(Window.unboundedPreceding, -1)) & F.col("parent").isNotNull(),
-        "preceding-sibling": F.max("__c").over(brothers.rowsBetween(1, Window.unboundedFollowing)) & F.col("parent").isNotNull(),
     }
-    if axis == "parent":
-        folks = marked.filter("__c and parent is not null").select("doc", F.col("parent").alias("pre")).distinct()
-        return nodes.join(folks, ["doc", "pre"], "left_semi")
-    return marked.withColumn("__keep", keep[axis]).filter("__keep").select(*nodes.columns)
+
+
+def dealt(nodes: DataFrame) -> DataFrame:
+    """Nodes dealt out by document, to a part for each DEALT nodes.  Left to itself
+    Spark makes a part for each core, and what a task sorts grows with the input."""
+    return nodes.repartition(max(1, ceil(nodes.count() / DEALT)), "doc")
+
+
+def on_axes(nodes: DataFrame, context: Column, axes: tuple[str, ...] = AXES) -> DataFrame:
+    """(*nodes, axis): each node with each of the axes on which it lies from any
+    node for which ``context`` holds.  Documents are dealt out once; one document's
+    nodes are ordered in one task."""
+    for axis in axes:
+        _check(axis)
+    marked = dealt(nodes).withColumn("__c", F.coalesce(context, F.lit(False)))
+    placed = marked.withColumns({f"__{k}": c for k, c in _in_order().items() if k in axes})
+    # A family is a node and its children; a node is in its own and in its parent's.
+    each = placed.withColumn("__as", F.explode(F.array(F.struct(F.col("pre").alias("of"), F.lit(True).alias("head")), F.struct(F.col("parent").alias("of"), F.lit(False).alias("head")))))
+    each = each.filter("__as.of is not null").withColumns({"__of": F.col("__as.of"), "__head": F.col("__as.head")})
+    head, family, pre = F.col("__head"), Window.partitionBy("doc", "__of"), F.col("pre")
+    chosen = lambda f, who, what: f(F.when(who & F.col("__c"), what)).over(family)
+    near = {
+        "parent": head & chosen(F.max, ~head, F.lit(True)),
+        "child": ~head & chosen(F.max, head, F.lit(True)),
+        "following-sibling": ~head & (chosen(F.min, ~head, pre) < pre),
+        "preceding-sibling": ~head & (chosen(F.max, ~head, pre) > pre),
+    }
+    flags = {k: near[k] if k in near else head & F.col(f"__{k}") for k in axes}
+    each = each.withColumn("__on", F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in flags.items()])))
+    return each.select(*nodes.columns, F.explode("__on").alias("axis"))
 
 
 def pairs(nodes: DataFrame, context: DataFrame, axis: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tarnflow.operators import axes as A
@@ -45,9 +43,7 @@ _SHOWN = ("ancestor", "descendant", "following", "preceding", "child", "parent",
 def xpath_axes(t):
     """Elements on each axis from a page's bold parts."""
     all_nodes = nodes(t, elements=True)
-    bold = all_nodes.filter(A.test("b"))
-    found = [A.reach(all_nodes, bold, axis).filter(A.test()).withColumn("axis", F.lit(axis)) for axis in _SHOWN]
-    every = reduce(lambda a, b: a.unionByName(b), found)
+    every = A.on_axes(all_nodes, A.test("b"), _SHOWN)
     return every.groupBy(F.col("doc").alias("page_id"), "axis").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
 
 

@@ -96,6 +96,23 @@ def test_axes(documents, axis):
     assert len(reached) == len(set(reached)) and set(reached) == {(d, b) for d, _, b in want_pairs}
 
 
+def test_all_axes_at_once(spark, documents, monkeypatch):
+    docs, nodes = documents
+    monkeypatch.setattr(axes, "DEALT", 20)
+    chosen = F.col("pre") % 5 == 2
+    found = axes.on_axes(nodes, chosen)
+    assert "unboundedfollowing" not in axes.reach(nodes, nodes.filter(chosen), "ancestor")._jdf.queryExecution().toString().lower()
+    # As many parts as nodes ask for, all through.
+    n = nodes.count()
+    assert n > 100 and found.groupBy("doc", "axis").count().rdd.getNumPartitions() == -(-n // 20)
+    got = [(r.axis, r.doc, r.pre) for r in found.collect()]
+    want = {(axis, d, b) for d, s in docs for axis, found in dom_axes(s)[1].items() for a, to in found.items() if a % 5 == 2 for b in to}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {(r.axis, r.pre) for r in axes.on_axes(nodes, F.lit(None).cast("boolean")).collect()} == set()
+    with pytest.raises(ValueError):
+        axes.on_axes(nodes, chosen, ("sideways",))
+
+
 def test_paths(documents):
     docs, nodes = documents
     got = {(r.doc, r.pre) for r in axes.locate(nodes, [("descendant", "a"), ("ancestor", "*", 1), ("child", "b", F.col("attributes")["k"] == "1"), ("following-sibling", None, 2)]).collect()}
