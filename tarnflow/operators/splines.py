@@ -10,6 +10,7 @@ the rows; once a series has few enough, they are solved in order.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -21,15 +22,24 @@ from .graph import stored
 #: Rows of a segment, and rows of a series that are solved in one go.
 SEGMENT, DIRECT = 64, 10_000
 
+#: Rows of a part.  Left to itself Spark makes a part for each core, and what a task
+#: sorts grows with the input.
+DEALT = 100_000
 
-def nearest(df: DataFrame, key: str, order: list[str], what: Column, before: str, after: str) -> DataFrame:
+
+def _parts(rows: int) -> int:
+    return max(1, ceil(rows / DEALT))
+
+
+def nearest(df: DataFrame, key: str, order: list[str], what: Column, before: str, after: str, rows: int | None = None) -> DataFrame:
     """Adds the last value of ``what`` that isn't null strictly before a row, and
     the next one after it, in the order of a key's rows.
 
     Rows are dealt by ranges of (key, order) and looked at within their part; what
     a part lacks at its ends comes from the other parts' ends, of which there are
-    as many as parts and keys."""
-    parted = stored(df.withColumn("__w", what).repartitionByRange(key, *order).withColumn("__part", F.spark_partition_id()))
+    as many as parts and keys.  ``rows`` is their number, if it is known."""
+    n = _parts(df.count() if rows is None else rows)
+    parted = stored(df.withColumn("__w", what).repartitionByRange(n, key, *order).withColumn("__part", F.spark_partition_id()))
     # Both look back, one from the end: Spark reads a frame that ends with its
     # part anew for every row.
     before_it = lambda by, *o: Window.partitionBy(*by).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
@@ -41,7 +51,7 @@ def nearest(df: DataFrame, key: str, order: list[str], what: Column, before: str
         F.last("__last", ignorenulls=True).over(before_it([key], "__part")).alias("__from"),
         F.last("__first", ignorenulls=True).over(before_it([key], F.desc("__part"))).alias("__to"),
     )
-    seen = parted.withColumns({before: F.last("__w", ignorenulls=True).over(back), after: F.last("__w", ignorenulls=True).over(ahead)})
+    seen = parted.repartition(n, key, "__part").withColumns({before: F.last("__w", ignorenulls=True).over(back), after: F.last("__w", ignorenulls=True).over(ahead)})
     filled = seen.join(parts, [key, "__part"]).withColumns({before: F.coalesce(before, "__from"), after: F.coalesce(after, "__to")})
     return filled.drop("__w", "__part", "__from", "__to")
 
@@ -93,7 +103,8 @@ def solve_tridiagonal(system: DataFrame, key: str, at: str, segment: int = SEGME
     no rows are exchanged.  Keys and places must not be null or repeat."""
     kinds = f"`{key}` {system.schema[key].dataType.simpleString()}, `{at}` {system.schema[at].dataType.simpleString()}"
     rows = system.select(key, at, *[F.col(c).cast("double").alias(c) for c in "lduf"])
-    most = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    most, total = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n = _parts(total)
 
     if most <= direct:
 
@@ -125,7 +136,7 @@ def solve_tridiagonal(system: DataFrame, key: str, at: str, segment: int = SEGME
             if held:
                 yield from done()
 
-        return rows.repartition(key).sortWithinPartitions(key, at).mapInPandas(whole, f"{kinds}, solution double")
+        return rows.repartition(n, key).sortWithinPartitions(key, at).mapInPandas(whole, f"{kinds}, solution double")
 
     place = system.schema[at].dataType.simpleString()
 
@@ -157,10 +168,11 @@ def solve_tridiagonal(system: DataFrame, key: str, at: str, segment: int = SEGME
             )
 
     fields = f"`{key}` {system.schema[key].dataType.simpleString()}, a {place}, b {place}, places array<{place}>, p array<double>, q array<double>, r array<double>, rows array<struct<at:{place},l:double,d:double,u:double,f:double>>"
-    segments = stored(rows.repartitionByRange(key, at).sortWithinPartitions(key, at).mapInPandas(cut, fields))
+    segments = stored(rows.repartitionByRange(n, key, at).sortWithinPartitions(key, at).mapInPandas(cut, fields))
     smaller = segments.select(key, F.explode("rows").alias("x")).select(key, F.col("x.at").alias(at), *[F.col(f"x.{c}").alias(c) for c in "lduf"])
     ends = stored(solve_tridiagonal(smaller, key, at, segment, direct))
-    both = segments.join(ends.select(key, F.col(at).alias("a"), F.col("solution").alias("va")), [key, "a"]).join(ends.select(key, F.col(at).alias("b"), F.col("solution").alias("vb")), [key, "b"])
+    value = lambda side: ends.select(key, F.col(at).alias(side), F.col("solution").alias(f"v{side}")).repartition(n, key, side)
+    both = segments.repartition(n, key, "a").join(value("a"), [key, "a"]).repartition(n, key, "b").join(value("b"), [key, "b"])
     each = both.select(key, "va", "vb", F.explode(F.arrays_zip("places", "p", "q", "r")).alias("x"))
     return each.select(key, F.col("x.places").alias(at), (F.col("x.p") + F.col("x.q") * F.col("va") + F.col("x.r") * F.col("vb")).alias("solution"))
 
@@ -192,7 +204,9 @@ def second_derivatives(points: DataFrame, key: str, x: str, y: str, first_slope:
         by_place("f", zero if free else 6 * (s1 - F.lit(first_slope)), 6 * (F.lit(last_slope) - s0) if tied else zero).otherwise(6 * (s1 - s0)).alias("f"),
     )
     solved = solve_tridiagonal(system, "key", "x", segment, direct)
-    return near.join(solved, ["key", "x"]).select(F.col("key").alias(key), F.col("x").alias(x), F.col("y").alias(y), F.col("solution").alias("m"))
+    n = _parts(near.count())
+    both = near.repartition(n, "key", "x").join(solved.repartition(n, "key", "x"), ["key", "x"])
+    return both.select(F.col("key").alias(key), F.col("x").alias(x), F.col("y").alias(y), F.col("solution").alias("m"))
 
 
 def evaluate(spline: DataFrame, at: DataFrame, key: str, x: str, y: str) -> DataFrame:
@@ -200,10 +214,11 @@ def evaluate(spline: DataFrame, at: DataFrame, key: str, x: str, y: str) -> Data
     (key, x), repeated ones too.  Beyond the ends the outermost pieces go on; where
     a key has fewer than two points y is null."""
     knots = stored(spline.select(F.col(key).alias("key"), F.col(x).alias("x"), F.struct(F.col(x).alias("x"), F.col(y).alias("y"), "m").alias("knot")))
-    pieces = nearest(knots, "key", ["x"], F.col("knot"), "lo", "hi")
+    n = knots.count()
+    pieces = nearest(knots, "key", ["x"], F.col("knot"), "lo", "hi", n)
     pieces = pieces.select("key", "x", F.lit(0).alias("asked"), F.when(F.col("hi").isNotNull(), F.struct(F.col("knot").alias("lo"), F.col("hi"))).alias("piece"))
     asked = at.select(F.col(key).alias("key"), F.col(x).cast("double").alias("x"), F.lit(1).alias("asked"), F.lit(None).cast(pieces.schema["piece"].dataType).alias("piece"))
-    rows = nearest(pieces.unionByName(asked), "key", ["x", "asked"], F.col("piece"), "below", "above").filter("asked = 1")
+    rows = nearest(pieces.unionByName(asked), "key", ["x", "asked"], F.col("piece"), "below", "above", n + at.count()).filter("asked = 1")
     piece = F.coalesce("below", "above")
     lo, hi = (lambda f: piece["lo"][f]), (lambda f: piece["hi"][f])
     h = hi("x") - lo("x")

@@ -87,3 +87,24 @@ def test_evaluation_has_no_frames_to_the_end(spark):
     got = splines.evaluate(knots, spark.createDataFrame([(1, 0.5), (1, 3.0)], "k int, x double"), "k", "x", "y")
     assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
     assert {r.x: r.y for r in got.collect()} == {0.5: 1.0, 3.0: 6.0}
+
+
+def test_parts_follow_the_rows(spark, monkeypatch):
+    """However few the cores, a part has so many rows and no more."""
+    monkeypatch.setattr(splines, "DEALT", 40)
+    data = series(5)
+    rows = [(k, float(a), float(b)) for k, (x, y) in data.items() for a, b in zip(x, y)]
+    points, parts = spark.createDataFrame(rows, "k int, x double, y double"), -(-len(rows) // 40)
+    assert parts > 8
+    spline = splines.second_derivatives(points, "k", "x", "y", segment=5, direct=20)
+    near = splines.nearest(points, "k", ["x"], splines.F.col("y"), "lo", "hi")
+    # What is dealt by rows isn't put together again.
+    assert all(f", {parts}), REPARTITION_BY_NUM" in d._jdf.queryExecution().executedPlan().toString() for d in (spline, near))
+    by = {}
+    for r in spline.collect():
+        by.setdefault(r.k, []).append((r.x, r.m))
+    for k, (x, y) in data.items():
+        mine = np.array(sorted(by[k]))
+        assert np.array_equal(mine[:, 0], x) and np.allclose(mine[:, 1], dense(x, y), atol=1e-9)
+    got = {(r.k, r.x): r.y for r in splines.evaluate(spline, points.select("k", "x"), "k", "x", "y").collect() if r.k > 1}
+    assert len(got) == sum(k > 1 for k, _, _ in rows) and all(got[k, a] == pytest.approx(b, abs=1e-7) for k, a, b in rows if k > 1)
