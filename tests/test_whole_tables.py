@@ -131,3 +131,14 @@ def test_varied_sites_gather_no_alleles(spark, monkeypatch):
     plans.append(catalogue.queries()["q_alignment_sites"](spark, "/root/testdata/sf0.001"))
     text = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
     assert len(text) == 2 and not any("Sort" in p for p in text) and "Exchange hashpartitioning" not in text[1]
+
+
+def test_sites_of_whole_sequences_vary(spark, tmp_path):
+    """Sequences that differ after their tenth residue alone, of several lengths."""
+    rows = [(1, "abcdefghijklmnop qrs", "B1"), (2, "abcdefghijklmnop qst", "B1"), (3, "abcdefghijkl", "B1"), (4, "short", "B2"), (5, "", "B2"), (6, None, "B2")]
+    pd.DataFrame(rows, columns=["p_partkey", "p_name", "p_brand"]).to_parquet(tmp_path / "part.parquet")
+    got = sorted(tuple(r) for r in run(spark, "q_alignment_sites", str(tmp_path)))
+    assert got == [("B1", 18, 1, "C"), ("B1", 18, 2, "G"), ("B1", 19, 1, "G"), ("B1", 19, 2, "T")]
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
+        assert sorted(db.execute(catalogue.oracle_sql()["q_alignment_sites"]).fetchall()) == got
